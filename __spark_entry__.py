@@ -8,12 +8,10 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from topictally.functions import is_article, lines, lower_words, split_words, start_millis
 from topictally.operators import (
-    Fold,
     changelog,
     count_by_key,
     flat_map_values,
@@ -28,6 +26,7 @@ from topictally.operators import (
     windowed_count,
 )
 from topictally.plans import jobs
+from topictally.plans.folds import ItemTotals, PageSpread
 from topictally.plans.standins import (
     chat_messages,
     events_stream,
@@ -48,7 +47,6 @@ from topictally.sources import (
 )
 from topictally.streaming import (
     Job,
-    TableFold,
     last_n_stream,
     latest,
     stream_changelog,
@@ -186,28 +184,6 @@ def last_events(spark, sf_dir):
     return last_n(rows, "user_id", "event_id", 5)
 
 
-class _Spread(Fold):
-    """Pages, views, and the most views any page of a group has."""
-
-    state = "pages bigint, views bigint, most bigint"
-    result = "pages bigint, views bigint, most bigint"
-
-    def zero(self):
-        return {"pages": 0, "views": 0, "most": 0}
-
-    def add(self, state, rows: pd.DataFrame):
-        return self.merge(
-            state, {"pages": len(rows), "views": rows["n"].sum(), "most": rows["n"].max()}
-        )
-
-    def merge(self, left, right):
-        return {
-            "pages": left["pages"] + right["pages"],
-            "views": left["views"] + right["views"],
-            "most": max(left["most"], right["most"]),
-        }
-
-
 def regroup_aggregate(spark, sf_dir):
     """A table of counts regrouped by industry and aggregated again."""
     views = keep(_views(spark, sf_dir), is_article())
@@ -221,7 +197,7 @@ def regroup_aggregate(spark, sf_dir):
 def fold_pages(spark, sf_dir):
     """The same regrouping with an aggregate of one's own."""
     counts = flatten_window(jobs.page_counts(_views(spark, sf_dir), "1 day"), "window_start")
-    return fold(counts, ["window_start", "industry"], _Spread())
+    return fold(counts, ["window_start", "industry"], PageSpread())
 
 
 # Topics
@@ -393,31 +369,10 @@ def stream_bottom_pages_live(spark, sf_dir):
     return _live_pages(spark, sf_dir, False)
 
 
-class _TableSpread(TableFold):
-    """Items and their total, kept by addition and removal."""
-
-    result = "items bigint, total bigint"
-
-    def zero(self):
-        return [0, 0]
-
-    def add(self, state, item, total):
-        return [state[0] + 1, state[1] + total]
-
-    def remove(self, state, item, total):
-        return [state[0] - 1, state[1] - total]
-
-    def merge(self, left, right):
-        return [left[0] + right[0], left[1] + right[1]]
-
-    def finish(self, state):
-        return {"items": state[0], "total": state[1]}
-
-
 def stream_table_fold(spark, sf_dir):
     """Pages and views per industry over the updating table of counts."""
     views = _article_stream(spark, sf_dir)
-    table_rows = updating_aggregate(views, "industry", "page", _TableSpread())
+    table_rows = updating_aggregate(views, "industry", "page", ItemTotals())
     out = _run(spark, "table-fold", lambda sink, job: table_rows.writeStream.foreachBatch(sink))
     newest = F.max_by(F.struct("items", "total"), "version").alias("newest")
     return out.groupBy("industry").agg(newest).select("industry", "newest.*")

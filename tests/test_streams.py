@@ -1,0 +1,332 @@
+import random
+from collections import Counter
+from datetime import datetime, timedelta, timezone
+from pathlib import Path
+
+import pyarrow as pa
+import pytest
+from conftest import rows_of
+from pyspark.sql import functions as F
+
+from topictally.operators import count_by_key, last_n, rekey, windowed_count
+from topictally.plans.folds import ItemTotals
+from topictally.session import shared_folder
+from topictally.sources import TopicSettings, batch_writer, print_table, write_topic
+from topictally.streaming import (
+    Job,
+    last_n_stream,
+    latest,
+    stream_changelog,
+    top_n_stream,
+    updating_aggregate,
+)
+
+START = datetime(2024, 1, 1, tzinfo=timezone.utc)
+SCHEMA = pa.schema(
+    [
+        ("key", pa.string()),
+        ("value", pa.string()),
+        ("offset", pa.int64()),
+        ("timestamp", pa.timestamp("us", tz="UTC")),
+    ]
+)
+DDL = "key string, value string, offset bigint, timestamp timestamp"
+
+
+def stream(spark, topic):
+    reader = spark.readStream.schema(DDL).option("maxFilesPerTrigger", 1)
+    return reader.parquet(str(topic.folder))
+
+
+def batch(spark, topic):
+    return spark.read.schema(DDL).parquet(str(topic.folder))
+
+
+def minutes(rows, first=0):
+    """(minute, key) pairs as records."""
+    return [
+        {"key": k, "value": k, "offset": first + i, "timestamp": START + timedelta(minutes=m)}
+        for i, (m, k) in enumerate(rows)
+    ]
+
+
+class Run:
+    """A job and its output, to be run several times over one checkpoint."""
+
+    def __init__(self, spark, folder, name):
+        self.spark = spark
+        self.settings = TopicSettings(root=str(folder))
+        self.job = Job(spark, name, f"{folder}/checkpoint")
+        self.sink = batch_writer("out", self.settings, key=None)
+
+    def __call__(self, writer):
+        self.query = self.job.run(writer, available_now=True)
+        return self.spark.read.parquet(self.settings.path("out"))
+
+
+@pytest.fixture
+def run(spark, tmp_path, request):
+    return Run(spark, tmp_path, request.node.name)
+
+
+@pytest.fixture
+def hot_topic(file_topic):
+    """Six files in time order; one key has most records, pages are counted very unevenly."""
+    random.seed(3)
+    topic = file_topic(SCHEMA)
+    offset = 0
+    for part in range(6):
+        rows = []
+        for _ in range(120):
+            minute = part * 600 + random.randrange(600)
+            key = "hot" if random.random() < 0.6 else random.choice("ab")
+            page = f"p{min(random.randrange(12), random.randrange(12))}"
+            rows.append({"key": key, "value": page, "offset": offset, "timestamp": START + timedelta(minutes=minute)})
+            offset += 1
+        topic.add(rows)
+    return topic
+
+
+def test_counts_in_complete_and_update_mode(spark, run, hot_topic, tmp_path):
+    expected = rows_of(count_by_key(batch(spark, hot_topic)), "key", "count")
+    counts = count_by_key(stream(spark, hot_topic))
+    out = run(counts.writeStream.outputMode("complete").foreachBatch(run.sink))
+    last = out.filter(F.col("batch") == out.agg(F.max("batch")).first()[0])
+    assert rows_of(last, "key", "count") == expected
+
+    settings = TopicSettings(root=str(tmp_path / "updates"))
+    job = Job(spark, "updates", str(tmp_path / "updates-checkpoint"))
+    write_topic(counts, "t", settings, "key", "count", "update", job, available_now=True)
+    updates = spark.read.parquet(settings.path("t"))
+    newest = updates.groupBy("key").agg(F.max_by("value", "batch").alias("count"))
+    assert rows_of(newest, "key", "count") == expected
+
+
+@pytest.mark.parametrize("advance", [None, "1 hour"])
+def test_windowed_count_gives_closed_windows(spark, run, hot_topic, advance):
+    size, delay = "2 hours", "10 hours"
+    counts = windowed_count(stream(spark, hot_topic), size=size, advance=advance, delay=delay)
+    out = run(counts.writeStream.foreachBatch(run.sink))
+    whole = windowed_count(batch(spark, hot_topic), size=size, advance=advance)
+    watermark = batch(spark, hot_topic).agg(F.max("timestamp") - F.expr("interval 10 hours")).first()[0]
+    closed = whole.filter(F.col("window.end") <= F.lit(watermark))
+    assert 0 < closed.count() < whole.count()
+    assert rows_of(out, "window", "key", "count") == rows_of(closed, "window", "key", "count")
+
+
+LATE_FILES = [
+    [(0, "a"), (0, "a"), (1, "b")],
+    [(0, "a"), (3000, "b")],
+    [(0, "a"), (3001, "b")],
+    [(2900, "a"), (0, "a"), (5, "z")],
+]
+
+
+def test_late_records(spark, run, file_topic):
+    topic = file_topic(SCHEMA)
+    for rows in LATE_FILES:
+        topic.add(minutes(rows))
+    counts = windowed_count(stream(spark, topic))
+    out = run(counts.writeStream.outputMode("update").foreachBatch(run.sink))
+    first = out.filter("unix_millis(window.start) = 1704067200000 AND key = 'a'")
+    assert first.agg(F.max("count")).first()[0] == 4
+    dropped = sum(
+        s.numRowsDroppedByWatermark for p in run.query.recentProgress for s in p.stateOperators
+    )
+    assert dropped == 2
+
+
+def test_restart_goes_on_where_it_stopped(spark, run, file_topic):
+    topic = file_topic(SCHEMA)
+    topic.add(minutes([(0, "a"), (1, "b")]))
+    topic.add(minutes([(2, "a")]))
+
+    def update():
+        counts = count_by_key(stream(spark, topic))
+        out = run(counts.writeStream.outputMode("update").foreachBatch(run.sink))
+        return rows_of(out.groupBy("key").agg(F.max_by("count", "batch").alias("n")), "key", "n")
+
+    assert update() == [("a", 2), ("b", 1)]
+    assert update() == [("a", 2), ("b", 1)]
+    topic.add(minutes([(3, "b"), (4, "c")]))
+    assert update() == [("a", 2), ("b", 2), ("c", 1)]
+    assert sum(p.numInputRows for p in run.query.recentProgress) == 2
+
+
+def test_changelog_of_a_stream_is_that_of_the_batch(spark, run, hot_topic):
+    writer = stream_changelog(stream(spark, hot_topic), run.sink, run.job.state_dir, block_rows=20)
+    out = run(writer)
+    seen = Counter()
+    expected = []
+    for row in sorted(batch(spark, hot_topic).collect(), key=lambda r: r.offset):
+        seen[row.key] += 1
+        expected.append((row.offset, row.key, seen[row.key]))
+    assert sorted(rows_of(out, "offset", "key", "count")) == expected
+
+
+def test_changelog_goes_on_after_a_restart_and_a_repeated_batch(spark, run, file_topic):
+    topic = file_topic(SCHEMA)
+
+    def update():
+        return run(stream_changelog(stream(spark, topic), run.sink, run.job.state_dir))
+
+    topic.add(minutes([(0, "a"), (1, "b"), (2, "a")]))
+    topic.add(minutes([(3, "a")], first=3))
+    update()
+    # Spark runs a batch again if it stopped before the batch was marked as done.
+    done = Path(run.job.checkpoint_dir) / "commits"
+    (done / "1").rename(done / "undone")
+    for crc in done.glob(".1.crc"):
+        crc.rename(done / "undone.crc")
+    topic.add(minutes([(4, "b"), (5, "a")], first=4))
+    out = update()
+    expected = [(0, "a", 1), (1, "b", 1), (2, "a", 2), (3, "a", 3), (4, "b", 2), (5, "a", 4)]
+    assert rows_of(out, "offset", "key", "count") == expected
+
+
+def test_windowed_changelog_with_late_records(spark, run, file_topic):
+    topic = file_topic(SCHEMA)
+    offset = 0
+    for rows in LATE_FILES:
+        topic.add(minutes(rows, first=offset))
+        offset += len(rows)
+    writer = stream_changelog(stream(spark, topic), run.sink, run.job.state_dir, size="1 minute")
+    out = run(writer).selectExpr("offset", "unix_millis(window.start) / 60000 - 28401120 AS m", "key", "count")
+    # The watermark comes from earlier batches: file 3 is the first that drops records of minute 0.
+    expected = [
+        (0, 0, "a", 1),
+        (1, 0, "a", 2),
+        (2, 1, "b", 1),
+        (3, 0, "a", 3),
+        (4, 3000, "b", 1),
+        (6, 3001, "b", 1),
+        (7, 2900, "a", 1),
+    ]
+    assert rows_of(out, "offset", "m", "key", "count") == sorted(expected, key=repr)
+
+
+def top_of(rows, n, descending):
+    """(window start, key, page) records as the ranked pages of each window and key."""
+    counted = Counter(rows)
+    groups = {}
+    for (start, key, page), count in counted.items():
+        groups.setdefault((start, key), []).append((-count if descending else count, page))
+    return sorted(
+        ((*g, p, abs(c), k) for g, items in groups.items() for k, (c, p) in enumerate(sorted(items)[:n], 1)),
+        key=repr,
+    )
+
+
+def page_records(spark, topic, hours=10):
+    size = hours * 3_600_000
+    rows = batch(spark, topic).select(F.unix_millis("timestamp").alias("t"), "key", "value").collect()
+    return [(r.t // size * size, r.key, r.value) for r in rows], max(r.t for r in rows)
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_final_top_n(spark, run, hot_topic, descending):
+    writer = top_n_stream(
+        stream(spark, hot_topic), "key", "value", run.sink, 3, "10 hours", "10 hours", descending
+    )
+    out = run(writer).selectExpr("unix_millis(window.start) AS start", "key", "value", "count", "rank")
+    records, newest = page_records(spark, hot_topic)
+    closed = [r for r in records if r[0] + 36_000_000 <= newest - 36_000_000]
+    assert 0 < len(closed) < len(records)
+    got = rows_of(out, "start", "key", "value", "count", "rank")
+    assert got == top_of(closed, 3, descending)
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_live_top_n(spark, run, hot_topic, descending):
+    """Every batch changes the lists; the newest version of each is exact."""
+    writer = top_n_stream(
+        stream(spark, hot_topic), "key", "value", run.sink, 3, "10 hours", "10 hours", descending, "update"
+    )
+    out = run(writer)
+    records, _ = page_records(spark, hot_topic)
+    newest = latest(out, ["window_start_ms", "key"], "top")
+    got = rows_of(newest, "window_start_ms", "key", "item", "count", "rank")
+    assert got == top_of(records, 3, descending)
+    versions = out.groupBy("window_start_ms", "key").agg(
+        F.count("*").alias("n"), F.max("version").alias("v")
+    )
+    assert versions.filter("n <> v").count() == 0
+
+
+def test_live_state_is_cleared_after_the_window(spark, run, file_topic):
+    topic = file_topic(SCHEMA)
+    for hour in range(0, 60, 10):
+        topic.add(minutes([(hour * 60, "a"), (hour * 60 + 1, "a")]))
+    run(top_n_stream(stream(spark, topic), "key", "value", run.sink, 2, "1 hour", "5 hours", emit="update"))
+    states = [s.numRowsTotal for s in run.query.lastProgress.stateOperators]
+    first = [s.numRowsTotal for s in run.query.recentProgress[0].stateOperators]
+    assert all(last <= 2 * one for last, one in zip(states, first))
+
+
+def test_updating_aggregate_with_increments_and_removal(spark, run, file_topic):
+    topic = file_topic(pa.schema([("key", pa.string()), ("item", pa.string()), ("n", pa.int64())]))
+    topic.add([{"key": "g", "item": "x", "n": 5}, {"key": "g", "item": "y", "n": 2}, {"key": None, "item": "x", "n": 1}])
+    topic.add([{"key": "g", "item": "x", "n": -5}, {"key": "g", "item": "z", "n": 4}])
+    topic.add([{"key": "g", "item": "z", "n": 1}, {"key": "g", "item": "z", "n": 1}])
+    reader = spark.readStream.schema("key string, item string, n bigint").option("maxFilesPerTrigger", 1)
+    rows = reader.parquet(str(topic.folder))
+    out = run(updating_aggregate(rows, "key", "item", ItemTotals(), "n").writeStream.foreachBatch(run.sink))
+    got = rows_of(out, "key", "version", "items", "total")
+    assert got == sorted([("g", 1, 2, 7), ("g", 2, 2, 6), ("g", 3, 2, 8), (None, 1, 1, 1)], key=repr)
+
+
+def test_last_n_of_a_stream(spark, run, hot_topic):
+    rows = stream(spark, hot_topic).select("key", "offset", "value")
+    out = run(last_n_stream(rows, "key", "offset", 4).writeStream.foreachBatch(run.sink))
+    whole = last_n(batch(spark, hot_topic).select("key", "offset", "value"), "key", "offset", 4)
+    columns = ["key", "offset", "value", "rank"]
+    assert rows_of(latest(out, "key", "last"), *columns) == rows_of(whole, *columns)
+
+
+def test_last_n_keeps_large_numbers_and_nulls(spark, run, file_topic):
+    topic = file_topic(pa.schema([("key", pa.int64()), ("offset", pa.int64()), ("v", pa.int64())]))
+    big = 2**53
+    topic.add([{"key": big, "offset": 1, "v": None}, {"key": big + 1, "offset": 1, "v": big + 1}])
+    topic.add([{"key": big, "offset": None, "v": 1}, {"key": None, "offset": 5, "v": 1}])
+    reader = spark.readStream.schema("key bigint, offset bigint, v bigint").option("maxFilesPerTrigger", 1)
+    out = run(last_n_stream(reader.parquet(str(topic.folder)), "key", "offset", 2).writeStream.foreachBatch(run.sink))
+    got = rows_of(latest(out, "key", "last"), "key", "offset", "v", "rank")
+    assert got == sorted([(big, 1, None, 1), (big, None, 1, 2), (big + 1, 1, big + 1, 1)], key=repr)
+    for n, order in ((0, "offset"), (1, "missing")):
+        with pytest.raises(ValueError):
+            last_n_stream(reader.parquet(str(topic.folder)), "key", order, n)
+
+
+def test_two_jobs_cannot_share_a_name_or_folder(spark, tmp_path, file_topic):
+    topic = file_topic(SCHEMA)
+    topic.add(minutes([(0, "a")]))
+    settings = TopicSettings(root=str(tmp_path))
+
+    def writer():
+        counts = count_by_key(stream(spark, topic))
+        return counts.writeStream.outputMode("update").foreachBatch(batch_writer("out", settings))
+
+    first = Job(spark, "one", str(tmp_path / "c")).start(writer())
+    try:
+        with pytest.raises(Exception):
+            Job(spark, "one", str(tmp_path / "other")).start(writer())
+        with pytest.raises(Exception):
+            second = Job(spark, "two", str(tmp_path / "c")).start(writer())
+            second.processAllAvailable()
+        assert first.isActive
+    finally:
+        first.stop()
+
+
+def test_a_job_for_some_seconds_prints_updates(spark, tmp_path, file_topic):
+    topic = file_topic(SCHEMA)
+    topic.add(minutes([(0, "a"), (0, "a")]))
+    writer = print_table(count_by_key(rekey(stream(spark, topic))))
+    query = Job(spark, "printed", str(tmp_path / "c")).run(writer, seconds=8)
+    assert not query.isActive
+    first = query.recentProgress[0]
+    assert first.numInputRows == 2 and "Console" in first.sink.description
+
+
+def test_checkpoint_folder_is_below_the_shared_one(spark):
+    assert Job(spark, "named").checkpoint_dir == f"{shared_folder(spark)}/jobs/named"

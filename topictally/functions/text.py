@@ -19,17 +19,24 @@ def split_words(text: Column | str) -> Column:
     word. Tabs and newlines are part of a word. Null gives null, so exploding it gives no rows.
     """
     text = as_column(text)
-    body = F.rtrim(text)
-    return (
-        F.when(text == "", F.array(F.lit("")))
-        .when(body == "", F.array().cast("array<string>"))
-        .otherwise(F.split(body, " "))
-    )
+    return _words(text, text)
 
 
 def lower_words(text: Column | str) -> Column:
     """Words of the lower-cased text; the case rule does not depend on the host's locale."""
-    return split_words(F.lower(as_column(text)))
+    text = as_column(text)
+    return _words(text, F.lower(text))
+
+
+def _words(text: Column, shown: Column) -> Column:
+    """Words of ``shown``, a form of ``text`` with the same spaces.
+
+    Written so that each form is computed once; only text that starts with a space is trimmed
+    twice. Splitting empty text gives the one empty word.
+    """
+    only_spaces = text.startswith(" ") & (F.rtrim(text) == "")
+    none = F.array().cast("array<string>")
+    return F.when(only_spaces, none).otherwise(F.split(F.rtrim(shown), " "))
 
 
 def is_article(flags: Column | str = "flags") -> Column:

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from typing import Any
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from topictally.operators.counts import key_columns
@@ -39,10 +43,16 @@ class Fold:
         return state
 
 
-def _group_key(values: Any) -> tuple:
-    """Group values as a dict key; every null counts as the same one."""
-    values = values if isinstance(values, tuple) else (values,)
-    return tuple(None if pd.isna(v) else v for v in values)
+def _rows_by_group(batch: pa.RecordBatch, by: list[str]) -> Iterator[tuple[tuple, np.ndarray]]:
+    """Each group's values and the places of its rows; null is a value like any other."""
+    # Arrow-backed columns keep nulls and large whole numbers as they are.
+    keys = pa.Table.from_batches([batch]).select(by).to_pandas(types_mapper=pd.ArrowDtype)
+    codes = keys.groupby(by, dropna=False, sort=False).ngroup().to_numpy()
+    sorted_places = np.argsort(codes, kind="stable")
+    starts = np.flatnonzero(np.diff(codes[sorted_places])) + 1
+    for places in np.split(sorted_places, starts):
+        if len(places):
+            yield tuple(batch.column(c)[int(places[0])].as_py() for c in by), places
 
 
 def fold(
@@ -59,42 +69,38 @@ def fold(
     state_fields = StructType.fromDDL(aggregate.state).names
     result_schema = StructType([*group_schema, *StructType.fromDDL(aggregate.result)])
     state_schema = StructType([*group_schema, *StructType.fromDDL(aggregate.state)])
+    arrow_states, arrow_results = to_arrow_schema(state_schema), to_arrow_schema(result_schema)
 
-    def frame(states: dict[tuple, dict]) -> pd.DataFrame:
-        rows = [(*key, *(state[f] for f in state_fields)) for key, state in states.items()]
-        return pd.DataFrame(rows, columns=[*by, *state_fields], dtype=object)
+    def table(groups: dict[tuple, dict], schema: pa.Schema) -> pa.Table:
+        rows = [{**dict(zip(by, key)), **values} for key, values in groups.items()]
+        return pa.Table.from_pylist(rows, schema=schema)
 
-    def fold_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fold_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states: dict[tuple, dict] = {}
         for batch in batches:
-            for values, rows in batch.groupby(by, dropna=False, sort=False):
-                key = _group_key(values)
+            rows = batch.to_pandas()
+            for key, places in _rows_by_group(batch, by):
                 held = states[key] if key in states else aggregate.zero()
-                states[key] = aggregate.add(held, rows)
+                states[key] = aggregate.add(held, rows.iloc[places])
             if len(states) >= held_groups:
-                yield frame(states)
+                yield from table(states, arrow_states).to_batches()
                 states = {}
         if states:
-            yield frame(states)
+            yield from table(states, arrow_states).to_batches()
 
-    def merged(part: pd.DataFrame) -> dict[str, Any]:
-        rows = part[state_fields].to_dict("records")
-        state = rows[0]
-        for other in rows[1:]:
-            state = aggregate.merge(state, other)
-        return state
+    def merged(part: pa.Table) -> tuple[tuple, dict[str, Any]]:
+        key = tuple(part.column(c)[0].as_py() for c in by)
+        return key, reduce(aggregate.merge, part.select(state_fields).to_pylist())
 
-    def merge_part(part: pd.DataFrame) -> pd.DataFrame:
-        key = _group_key(tuple(part[by].iloc[0]))
-        return frame({key: merged(part)})
+    def merge_part(part: pa.Table) -> pa.Table:
+        key, state = merged(part)
+        return table({key: state}, arrow_states)
 
-    def merge_all(part: pd.DataFrame) -> pd.DataFrame:
-        key = _group_key(tuple(part[by].iloc[0]))
-        result = aggregate.finish(merged(part))
-        row = (*key, *(result[f] for f in result_schema.names[len(by) :]))
-        return pd.DataFrame([row], columns=result_schema.names, dtype=object)
+    def merge_all(part: pa.Table) -> pa.Table:
+        key, state = merged(part)
+        return table({key: aggregate.finish(state)}, arrow_results)
 
-    states = df.mapInPandas(fold_task, state_schema)
+    states = df.mapInArrow(fold_task, state_schema)
     parts = states.withColumn("_part", F.spark_partition_id() % MERGE_PARTS)
-    fewer = parts.groupBy(*by, "_part").applyInPandas(merge_part, state_schema)
-    return fewer.groupBy(*by).applyInPandas(merge_all, result_schema)
+    fewer = parts.groupBy(*by, "_part").applyInArrow(merge_part, state_schema)
+    return fewer.groupBy(*by).applyInArrow(merge_all, result_schema)

@@ -19,11 +19,10 @@ def with_window(df: DataFrame, size: int | str | None, time: str) -> DataFrame:
     return df.withColumn("window", F.window(time, interval(size)))
 
 
-def block_start(order: str, block_rows: int) -> Column:
-    """First offset of the block a record falls into, in whole numbers only."""
+def block_number(order: str, block_rows: int) -> Column:
+    """Number of the block a record falls into, in whole numbers only."""
     missing = F.raise_error(F.lit(f"{order} is null; records without a place have no order"))
-    offset = F.coalesce(F.col(order).cast("bigint"), missing.cast("bigint"))
-    return offset - F.pmod(offset, F.lit(block_rows).cast("bigint"))
+    return F.coalesce(F.expr(f"`{order}` div {block_rows}"), missing.cast("bigint"))
 
 
 def changelog(
@@ -55,11 +54,13 @@ def changelog(
     order = key_columns(order)
     fields = [*(["window"] if size is not None else []), *key_columns(key)]
     rows = with_window(drop_null_key(df, key, keep_null_key), size, time)
-    # Struct equality takes null fields as equal, as grouping does; plain columns would not join.
     others = [c for c in rows.columns if c not in fields]
-    rows = rows.select(
-        F.struct(*fields).alias("_key"), block_start(order[0], block_rows).alias("_block"), *others
-    )
+    block = block_number(order[0], block_rows).alias("_block")
+    # Struct equality takes null fields as equal, as grouping does; plain columns would not join,
+    # but sort and hash faster, so a single key without nulls stays a plain column.
+    plain = size is None and isinstance(key, str) and not keep_null_key
+    group = F.col(fields[0]) if plain else F.struct(*fields)
+    rows = rows.select(group.alias("_key"), block, *others)
 
     earlier = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = rows.groupBy("_key", "_block").agg(F.count(F.lit(1)).alias("_records"))
@@ -67,17 +68,15 @@ def changelog(
         "_key", "_block", F.coalesce(F.sum("_records").over(earlier), F.lit(0)).alias("_before")
     )
     if carried is not None:
-        past = carried.select(F.struct(*fields).alias("_key"), "_carried")
-        blocks = blocks.join(past, "_key", "left").select(
-            "_key",
-            "_block",
-            (F.col("_before") + F.coalesce("_carried", F.lit(0))).alias("_before"),
-        )
+        past = carried.select(group.alias("_key"), "_carried")
+        before = F.col("_before") + F.coalesce("_carried", F.lit(0))
+        blocks = blocks.join(past, "_key", "left").select("_key", "_block", before.alias("_before"))
 
     inside = Window.partitionBy("_key", "_block").orderBy(*order)
     numbered = rows.withColumn("_number", F.row_number().over(inside).cast("bigint"))
+    restored = ["_key"] if plain else [f"_key.{f}" for f in fields]
     return numbered.join(blocks, ["_key", "_block"]).select(
-        *(F.col("_key")[f].alias(f) for f in fields),
+        *(F.col(c).alias(f) for c, f in zip(restored, fields)),
         *others,
         (F.col("_before") + F.col("_number")).alias(name),
     )

@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+_local_folders: dict[str, str] = {}
+
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators expect. Dots in names are written as ``__``."""
@@ -42,9 +44,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set; it must name a shared folder")
-    folder = tempfile.mkdtemp(prefix="topictally-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="topictally-")
+    return _local_folders[application]
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:

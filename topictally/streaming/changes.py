@@ -66,6 +66,14 @@ def stream_changelog(
     state = CarriedCounts(state_dir, StructType([*key_schema, *held]))
 
     def number_batch(batch: DataFrame, batch_id: int) -> None:
+        # Read three times below; the source, perhaps a broker, is to be read once.
+        batch.persist()
+        try:
+            _number_and_carry(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _number_and_carry(batch: DataFrame, batch_id: int) -> None:
         carried = state.read(batch.sparkSession, batch_id)
         rows = drop_null_key(batch, key, keep_null_key=False)
         open_windows = F.lit(True)

@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import ArrayType, StructField, StructType
@@ -117,7 +118,12 @@ class _LastRows(StatefulProcessor):
         held = list(self.rows.get()) if self.rows.exists() else []
         held += [tuple(row[f] for f in self.fields) for row in rows]
         places = [self.fields.index(o) for o in self.order]
-        last = heapq.nlargest(self.n, held, key=lambda row: tuple(row[p] for p in places))
+
+        def place(row: tuple) -> list:
+            """Sorts nulls before all values, so that they are the oldest."""
+            return [(False, 0) if row[p] is None else (True, row[p]) for p in places]
+
+        last = heapq.nlargest(self.n, held, key=place)
         self.rows.put(last)
         version = self.version.get()[0] + 1 if self.version.exists() else 1
         self.version.update((version,))
@@ -131,21 +137,25 @@ class _LastRows(StatefulProcessor):
 def last_in_task(df: DataFrame, by: list[str], order: list[str], n: int) -> DataFrame:
     """Leave out rows that cannot be among the last ``n`` of their key, inside each task."""
 
-    def cut(rows: pd.DataFrame) -> pd.DataFrame:
-        newest = rows.sort_values(order, ascending=False)
-        return newest.groupby(by, dropna=False, sort=False).head(n)
+    def cut(rows: pa.Table) -> pa.Table:
+        # Arrow-backed columns keep nulls and large whole numbers as they are.
+        places = rows.select([*by, *order]).to_pandas(types_mapper=pd.ArrowDtype)
+        newest = places.sort_values(order, ascending=False, na_position="last")
+        kept = newest.groupby(by, dropna=False, sort=False).head(n).index
+        return rows.take(kept.to_numpy())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            held = cut(batch if held is None else pd.concat([held, batch]))
+            part = pa.Table.from_batches([batch])
+            held = cut(part if held is None else pa.concat_tables([held, part]))
             if len(held) >= HELD_ROWS:
-                yield held
+                yield from held.to_batches()
                 held = None
         if held is not None:
-            yield held
+            yield from held.to_batches()
 
-    return df.mapInPandas(run, df.schema)
+    return df.mapInArrow(run, df.schema)
 
 
 def last_n_stream(
@@ -155,7 +165,8 @@ def last_n_stream(
 
     Each micro-batch gives one row per changed key: the key, ``version`` (1, 2, ...) and ``last``,
     an array of rank and the other columns. Tasks leave out rows that cannot be among the last
-    first, so a hot key sends ``n`` rows per task. ``order`` columns must not be null. Append mode.
+    first, so a hot key sends ``n`` rows per task. Rows without a place in the order are oldest.
+    Append mode.
     """
     if n < 1:
         raise ValueError("n must be at least 1")

@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
@@ -159,19 +159,22 @@ def count_in_task(df: DataFrame, fields: list[str], increment: str) -> DataFrame
     A hot item then leaves a task as one row per ``HELD_ROWS`` distinct rows, not one per record.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            part = batch if held is None else pd.concat([held, batch])
-            held = part.groupby(fields, dropna=False, sort=False, as_index=False)[increment].sum()
+            schema = pa.schema([f.with_nullable(True) for f in batch.schema])
+            part = pa.Table.from_batches([batch]).cast(schema)
+            rows = part if held is None else pa.concat_tables([held, part])
+            sums = rows.group_by(fields, use_threads=False).aggregate([(increment, "sum")])
+            held = sums.select([*fields, f"{increment}_sum"]).rename_columns(rows.column_names)
             if len(held) >= HELD_ROWS:
-                yield held
+                yield from held.to_batches()
                 held = None
         if held is not None:
-            yield held
+            yield from held.to_batches()
 
     rows = df.select(*fields, increment)
-    return rows.mapInPandas(run, rows.schema)
+    return rows.mapInArrow(run, rows.schema)
 
 
 def updating_aggregate(
