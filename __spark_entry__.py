@@ -54,10 +54,6 @@ from topictally.streaming import (
     updating_aggregate,
 )
 
-# Small enough that blocks matter at test size; the library's own default is much larger.
-BLOCK_ROWS = 1_000
-
-
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
@@ -138,12 +134,12 @@ def article_views(spark, sf_dir):
 
 
 def region_changelog(spark, sf_dir):
-    changes = changelog(rekey(_regions(spark, sf_dir)), block_rows=BLOCK_ROWS)
+    changes = changelog(rekey(_regions(spark, sf_dir)))
     return changes.select("offset", "key", "count")
 
 
 def windowed_changelog(spark, sf_dir):
-    changes = changelog(rekey(_regions(spark, sf_dir)), size="1 day", block_rows=BLOCK_ROWS)
+    changes = changelog(rekey(_regions(spark, sf_dir)), size="1 day")
     return _window_to_millis(changes, "offset", "key", "count")
 
 
@@ -218,7 +214,7 @@ def top_pages_topic(spark, sf_dir):
     return encode_window_key(jobs.top_pages_text(_views(spark, sf_dir), 3, "1 day"), "industry")
 
 
-def region_words(spark, sf_dir):
+def region_lines(spark, sf_dir):
     """Value transformation and line form: each region name once per line."""
     regions = count_by_key(rekey(_regions(spark, sf_dir)))
     values = map_values(regions.withColumn("value", F.col("key")), F.upper)
@@ -311,7 +307,7 @@ def stream_changes(spark, sf_dir):
     out = _run(
         spark,
         "changes",
-        lambda sink, job: stream_changelog(regions, sink, job.state_dir, block_rows=BLOCK_ROWS),
+        lambda sink, job: stream_changelog(regions, sink, job.state_dir),
     )
     return out.select("offset", "key", "count")
 
@@ -321,9 +317,7 @@ def stream_windowed_changes(spark, sf_dir):
     out = _run(
         spark,
         "windowed-changes",
-        lambda sink, job: stream_changelog(
-            regions, sink, job.state_dir, size="1 day", block_rows=BLOCK_ROWS
-        ),
+        lambda sink, job: stream_changelog(regions, sink, job.state_dir, size="1 day"),
     )
     return _window_to_millis(out, "offset", "key", "count")
 
@@ -419,7 +413,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             json_decode,
             region_json_topic,
             top_pages_topic,
-            region_words,
+            region_lines,
             topic_round_trip,
             word_count_job,
             stream_region_count,
@@ -580,7 +574,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT '{{"windowStart":' || window_start || ',"windowEnd":'
                 || (window_start + {_DAY_MS}) || ',"key":"' || industry || '"}}' AS key, value
             FROM ({_top_text_sql('1 day', 3)})""",
-        "region_words": """
+        "region_lines": """
             SELECT event_type AS key,
                    event_type || chr(10) || upper(event_type) || chr(10) AS value
             FROM events GROUP BY event_type""",

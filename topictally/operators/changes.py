@@ -7,9 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from topictally.functions.durations import interval
+from topictally.functions.windows import window_from
 from topictally.operators.counts import drop_null_key, key_columns
 
-BLOCK_ROWS = 1_000_000
+# Without a given block size, the offsets are cut into about this many blocks, of at least as many
+# offsets each.
+BLOCKS = 100_000
+LEAST_BLOCK_ROWS = 1_000
 
 
 def with_window(df: DataFrame, size: int | str | None, time: str) -> DataFrame:
@@ -19,10 +23,24 @@ def with_window(df: DataFrame, size: int | str | None, time: str) -> DataFrame:
     return df.withColumn("window", F.window(time, interval(size)))
 
 
-def block_number(order: str, block_rows: int) -> Column:
+def block_number(df: DataFrame, order: str, block_rows: int | None) -> Column:
     """Number of the block a record falls into, in whole numbers only."""
+    if block_rows is not None and block_rows < 1:
+        raise ValueError("block_rows must be at least 1")
     missing = F.raise_error(F.lit(f"{order} is null; records without a place have no order"))
-    return F.coalesce(F.expr(f"`{order}` div {block_rows}"), missing.cast("bigint"))
+    width = F.lit(block_rows) if block_rows is not None else block_width(df, order).scalar()
+    number = F.call_function("div", F.col(order).cast("bigint"), width.cast("bigint"))
+    return F.coalesce(number, missing.cast("bigint"))
+
+
+def block_width(df: DataFrame, order: str) -> DataFrame:
+    """Offsets per block that give about ``BLOCKS`` blocks, as one row, from the offsets' range."""
+    offset = F.col(order).cast("bigint")
+    last, first = (
+        F.call_function("div", f(offset), F.lit(BLOCKS).cast("bigint")) for f in (F.max, F.min)
+    )
+    least = F.lit(LEAST_BLOCK_ROWS).cast("bigint")
+    return df.agg(F.greatest(least, last - first + 1).alias("width"))
 
 
 def changelog(
@@ -31,7 +49,7 @@ def changelog(
     order: str | Sequence[str] = "offset",
     size: int | str | None = None,
     time: str = "timestamp",
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
     keep_null_key: bool = False,
     carried: DataFrame | None = None,
     name: str = "count",
@@ -42,40 +60,42 @@ def changelog(
     such as the offset, unique in its topic partition; add ``"partition"`` for topics of several
     partitions. Batch input only; see ``streaming.stream_changelog`` for streams.
 
-    No key is numbered in one task: offsets are cut into blocks of ``block_rows``, which bounds a
-    block's records by ``block_rows`` per topic partition whatever the keys are. Records are
-    numbered inside (key, block); the counts of a key's earlier blocks, summed from the counted
-    blocks, are added. Records cross the network once.
+    No key is numbered in one task: offsets are cut into blocks of ``block_rows``, by default from
+    the offsets' range. This bounds a block's records by ``block_rows`` per topic partition
+    whatever the keys are. Records are numbered inside (key, block); the counts of a key's earlier
+    blocks, summed from the counted blocks, are added. Records cross the network once.
 
     ``carried`` holds counts from before this input, as key columns and ``_carried``.
     """
-    if block_rows < 1:
-        raise ValueError("block_rows must be at least 1")
     order = key_columns(order)
-    fields = [*(["window"] if size is not None else []), *key_columns(key)]
-    rows = with_window(drop_null_key(df, key, keep_null_key), size, time)
-    others = [c for c in rows.columns if c not in fields]
-    block = block_number(order[0], block_rows).alias("_block")
+    fields = key_columns(key)
+    rows = drop_null_key(df, key, keep_null_key)
     # Struct equality takes null fields as equal, as grouping does; plain columns would not join,
     # but sort and hash faster, so a single key without nulls stays a plain column.
-    plain = size is None and isinstance(key, str) and not keep_null_key
+    plain = isinstance(key, str) and not keep_null_key
     group = F.col(fields[0]) if plain else F.struct(*fields)
-    rows = rows.select(group.alias("_key"), block, *others)
-
-    earlier = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = rows.groupBy("_key", "_block").agg(F.count(F.lit(1)).alias("_records"))
-    blocks = blocks.select(
-        "_key", "_block", F.coalesce(F.sum("_records").over(earlier), F.lit(0)).alias("_before")
-    )
+    parts = {"_key": group, "_block": block_number(df, order[0], block_rows)}
+    if size is not None:
+        parts = {"_start": F.window(time, interval(size)).start, **parts}
+    others = [c for c in df.columns if c not in fields]
+    rows = rows.select(*(c.alias(n) for n, c in parts.items()), *others)
+    cell, keyed = list(parts), [p for p in parts if p != "_block"]
+
+    earlier = Window.partitionBy(*keyed).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("_records"))
+    blocks = blocks.select(*cell, F.coalesce(F.sum("_records").over(earlier), F.lit(0)).alias("_before"))
     if carried is not None:
-        past = carried.select(group.alias("_key"), "_carried")
+        start = [F.col("window.start").alias("_start")] if size is not None else []
+        past = carried.select(*start, group.alias("_key"), "_carried")
         before = F.col("_before") + F.coalesce("_carried", F.lit(0))
-        blocks = blocks.join(past, "_key", "left").select("_key", "_block", before.alias("_before"))
+        blocks = blocks.join(past, keyed, "left").select(*cell, before.alias("_before"))
 
-    inside = Window.partitionBy("_key", "_block").orderBy(*order)
+    inside = Window.partitionBy(*cell).orderBy(*order)
     numbered = rows.withColumn("_number", F.row_number().over(inside).cast("bigint"))
+    window = [] if size is None else [window_from(F.col("_start"), size).alias("window")]
     restored = ["_key"] if plain else [f"_key.{f}" for f in fields]
-    return numbered.join(blocks, ["_key", "_block"]).select(
+    return numbered.join(blocks, cell).select(
+        *window,
         *(F.col(c).alias(f) for c, f in zip(restored, fields)),
         *others,
         (F.col("_before") + F.col("_number")).alias(name),

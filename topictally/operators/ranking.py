@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from topictally.functions.text import lines
+from topictally.functions.windows import with_window_starts
 from topictally.operators.counts import key_columns
 
 SALTS = 64
@@ -45,7 +46,8 @@ def top_n(
     """
     if n < 1:
         raise ValueError("n must be at least 1")
-    by = key_columns(by)
+    columns = df.columns
+    df, by = with_window_starts(df, key_columns(by))
     ordering = ranking_order(order, descending, ties)
     if n > int(df.sparkSession.conf.get(GROUP_LIMIT_CONF, "1000")):
         salted = df.withColumn("_salt", F.spark_partition_id() % SALTS)
@@ -54,7 +56,7 @@ def top_n(
         df = df.drop("_salt", "_place")
     whole = Window.partitionBy(*by).orderBy(*ordering)
     ranked = df.withColumn(rank, F.row_number().over(whole)).filter(F.col(rank) <= n)
-    return ranked.withColumn(rank, F.col(rank).cast("bigint"))
+    return ranked.select(*columns, F.col(rank).cast("bigint").alias(rank))
 
 
 def top_n_text(
@@ -71,10 +73,16 @@ def top_n_text(
 
     Only the ``n`` ranked rows of a group are collected; the grouping reuses the rank's shuffle.
     """
-    ranked = top_n(df, by, order, n, descending, ties, rank="_rank")
+    by = key_columns(by)
+    df, group = with_window_starts(df, by)
+    ranked = top_n(df, group, order, n, descending, ties, rank="_rank")
     ordered = F.sort_array(F.collect_list(F.struct("_rank", F.col(item).alias("_item"))))
     items = F.transform(ordered, lambda row: row["_item"].cast("string"))
-    return ranked.groupBy(*key_columns(by)).agg(lines(items).alias(name))
+    windows = [c for c in by if c not in group]
+    texts = ranked.groupBy(*group).agg(
+        *(F.any_value(c).alias(c) for c in windows), lines(items).alias(name)
+    )
+    return texts.select(*by, name)
 
 
 def last_n(

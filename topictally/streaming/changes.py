@@ -9,7 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import LongType, StructField, StructType
 
 from topictally.functions.durations import millis
-from topictally.operators.changes import BLOCK_ROWS, changelog, with_window
+from topictally.operators.changes import changelog, with_window
 from topictally.operators.counts import drop_null_key, key_columns
 from topictally.sources.sinks import BatchSink
 
@@ -49,7 +49,7 @@ def stream_changelog(
     size: int | str | None = None,
     delay: int | str = "1 day",
     time: str = "timestamp",
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
     name: str = "count",
 ) -> DataStreamWriter:
     """One row per record of a stream with its key's count so far, passed on to ``sink``.
