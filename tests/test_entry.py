@@ -39,3 +39,13 @@ def test_every_query_has_sql():
 @needs_tables
 def test_entry(spark):
     assert driver.entry(spark).columns == ["windowStart", "region", "count"]
+
+
+@needs_tables
+@pytest.mark.parametrize("name", ["event_type_count", "stream_region_count", "stream_changes"])
+def test_tables_may_be_folders_of_files(spark, database, tmp_path, name):
+    events = spark.read.parquet(str(TABLES / "events.parquet"))
+    events.repartitionByRange(3, "event_id").write.parquet(str(tmp_path / "events.parquet"))
+    df = driver.queries()[name](spark, str(tmp_path))
+    expected = database.execute(driver.oracle_sql()[name]).fetchall()
+    assert df.count() == len(expected)

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 from datetime import datetime, timedelta, timezone
 from pathlib import Path
+from threading import Thread
 
 import pyarrow as pa
 import pytest
@@ -12,6 +13,7 @@ from topictally.operators import count_by_key, last_n, rekey, windowed_count
 from topictally.plans.folds import ItemTotals
 from topictally.session import shared_folder
 from topictally.sources import TopicSettings, batch_writer, print_table, write_topic
+from topictally.streaming.tasks import combine_in_task
 from topictally.streaming import (
     Job,
     last_n_stream,
@@ -330,3 +332,39 @@ def test_a_job_for_some_seconds_prints_updates(spark, tmp_path, file_topic):
 
 def test_checkpoint_folder_is_below_the_shared_one(spark):
     assert Job(spark, "named").checkpoint_dir == f"{shared_folder(spark)}/jobs/named"
+
+
+@pytest.mark.parametrize("held_rows", [1, 10, 10_000])
+def test_combining_inside_tasks(spark, held_rows):
+    def sums(rows):
+        counted = rows.group_by("key", use_threads=False).aggregate([("n", "sum")])
+        return counted.select(["key", "n_sum"]).rename_columns(["key", "n"])
+
+    df = spark.range(500).selectExpr("id % 3 AS key", "1L AS n").repartition(2)
+    combined = combine_in_task(df, sums, held_rows)
+    if held_rows > 10:
+        assert combined.count() == 6
+    got = combined.groupBy("key").agg(F.sum("n").alias("n"))
+    assert rows_of(got, "key", "n") == [(0, 167), (1, 167), (2, 166)]
+
+
+def test_a_job_runs_until_it_is_stopped(spark, tmp_path, file_topic):
+    topic = file_topic(SCHEMA)
+    topic.add(minutes([(0, "a")]))
+    settings = TopicSettings(root=str(tmp_path))
+    counts = count_by_key(stream(spark, topic))
+    job = Job(spark, "endless", str(tmp_path / "c"))
+    writer = counts.writeStream.outputMode("update").foreachBatch(batch_writer("out", settings, None))
+    runner = Thread(target=job.run, args=(writer,))
+    runner.start()
+    while not (running := [q for q in spark.streams.active if q.name == "endless"]):
+        assert runner.is_alive()
+    running[0].processAllAvailable()
+    topic.add(minutes([(0, "a")]))
+    running[0].processAllAvailable()
+    assert runner.is_alive()
+    running[0].stop()
+    runner.join(60)
+    assert not runner.is_alive()
+    out = spark.read.parquet(settings.path("out"))
+    assert rows_of(out, "key", "count") == [("a", 1), ("a", 2)]

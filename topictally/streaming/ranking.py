@@ -17,13 +17,13 @@ from topictally.operators.ranking import top_n
 from topictally.sources.sinks import BatchSink
 from topictally.streaming.tables import (
     BUCKETS,
-    HELD_ROWS,
     Change,
     Items,
     TableFold,
     _schema,
     updating_aggregate,
 )
+from topictally.streaming.tasks import combine_in_task
 
 
 class TopFold(TableFold):
@@ -144,18 +144,7 @@ def last_in_task(df: DataFrame, by: list[str], order: list[str], n: int) -> Data
         kept = newest.groupby(by, dropna=False, sort=False).head(n).index
         return rows.take(kept.to_numpy())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            part = pa.Table.from_batches([batch])
-            held = cut(part if held is None else pa.concat_tables([held, part]))
-            if len(held) >= HELD_ROWS:
-                yield from held.to_batches()
-                held = None
-        if held is not None:
-            yield from held.to_batches()
-
-    return df.mapInArrow(run, df.schema)
+    return combine_in_task(df, cut)
 
 
 def last_n_stream(

@@ -13,9 +13,9 @@ from pyspark.sql.types import StructType
 
 from topictally.functions.durations import interval, millis
 from topictally.operators.counts import key_columns
+from topictally.streaming.tasks import combine_in_task
 
 BUCKETS = 32
-HELD_ROWS = 200_000
 
 Items = Callable[[], Iterator[tuple[str, int]]]
 Change = tuple[str, int | None, int | None]
@@ -153,28 +153,19 @@ class _GroupResult(_Windowed):
         yield Row(**values, version=version, **self.fold.finish(merged))
 
 
-def count_in_task(df: DataFrame, fields: list[str], increment: str) -> DataFrame:
-    """Sum increments per distinct row inside each task, without a shuffle or state.
+def count_in_task(df: DataFrame, increment: str) -> DataFrame:
+    """Sum increments per otherwise equal row inside each task.
 
-    A hot item then leaves a task as one row per ``HELD_ROWS`` distinct rows, not one per record.
+    A hot item then leaves a task as a few rows, not as one per record.
     """
+    fields = [c for c in df.columns if c != increment]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            schema = pa.schema([f.with_nullable(True) for f in batch.schema])
-            part = pa.Table.from_batches([batch]).cast(schema)
-            rows = part if held is None else pa.concat_tables([held, part])
-            sums = rows.group_by(fields, use_threads=False).aggregate([(increment, "sum")])
-            held = sums.select([*fields, f"{increment}_sum"]).rename_columns(rows.column_names)
-            if len(held) >= HELD_ROWS:
-                yield from held.to_batches()
-                held = None
-        if held is not None:
-            yield from held.to_batches()
+    def sums(rows: pa.Table) -> pa.Table:
+        total = f"{increment}_sum"
+        counted = rows.group_by(fields, use_threads=False).aggregate([(increment, "sum")])
+        return counted.select([*fields, total]).rename_columns([*fields, increment])
 
-    rows = df.select(*fields, increment)
-    return rows.mapInArrow(run, rows.schema)
+    return combine_in_task(df.select(*fields, increment), sums)
 
 
 def updating_aggregate(
@@ -219,7 +210,7 @@ def updating_aggregate(
         value.cast("bigint").alias("_increment"),
     )
     group = [c for c in rows.columns if not c.startswith("_")]
-    rows = count_in_task(rows, [*group, "_item", "_bucket"], "_increment")
+    rows = count_in_task(rows, "_increment")
     time_mode, event_time = "None", ""
     if timed:
         # The watermark follows window ends; the added size keeps it from closing windows early.
