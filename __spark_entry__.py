@@ -342,7 +342,15 @@ def _live_pages(spark, sf_dir, descending):
         spark,
         "live-pages",
         lambda sink, job: top_n_stream(
-            views, "industry", "page", sink, 3, "1 day", descending=descending, emit="update"
+            views,
+            "industry",
+            "page",
+            sink,
+            3,
+            "1 day",
+            descending=descending,
+            emit="update",
+            state_dir=job.state_dir,
         ),
     )
     ranked = latest(out, ["window_start_ms", "industry"], "top")

@@ -16,6 +16,7 @@ from topictally.sources import TopicSettings, batch_writer, print_table, write_t
 from topictally.streaming.tasks import combine_in_task
 from topictally.streaming import (
     Job,
+    TopFold,
     last_n_stream,
     latest,
     stream_changelog,
@@ -241,30 +242,107 @@ def test_final_top_n(spark, run, hot_topic, descending):
 @pytest.mark.parametrize("descending", [True, False])
 def test_live_top_n(spark, run, hot_topic, descending):
     """Every batch changes the lists; the newest version of each is exact."""
-    writer = top_n_stream(
-        stream(spark, hot_topic), "key", "value", run.sink, 3, "10 hours", "10 hours", descending, "update"
+    live = top_n_stream(
+        stream(spark, hot_topic),
+        "key",
+        "value",
+        run.sink,
+        3,
+        "10 hours",
+        "10 hours",
+        descending,
+        "update",
+        state_dir=run.job.state_dir,
     )
-    out = run(writer)
+    out = run(live)
     records, _ = page_records(spark, hot_topic)
     newest = latest(out, ["window_start_ms", "key"], "top")
     got = rows_of(newest, "window_start_ms", "key", "item", "count", "rank")
     assert got == top_of(records, 3, descending)
+    check_versions(out)
+
+
+def check_versions(out):
+    """Each version of a list is told once, and there are several."""
     versions = out.groupBy("window_start_ms", "key").agg(
-        F.count("*").alias("n"), F.max("version").alias("v")
+        F.count("*").alias("n"), F.count_distinct("version").alias("v")
     )
     assert versions.filter("n <> v").count() == 0
+    assert versions.agg(F.max("n")).first()[0] > 1
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_live_lists_by_an_updating_aggregate(spark, run, hot_topic, descending):
+    live = updating_aggregate(
+        stream(spark, hot_topic), "key", "value", TopFold(3, descending), size="6 hours", buckets=4
+    )
+    out = run(live.writeStream.foreachBatch(run.sink))
+    records, _ = page_records(spark, hot_topic, 6)
+    newest = latest(out, ["window_start_ms", "key"], "top")
+    got = rows_of(newest, "window_start_ms", "key", "item", "count", "rank")
+    assert got == top_of(records, 3, descending)
+    check_versions(out)
+
+
+def test_live_lists_take_in_what_the_counts_take_in(spark, run, file_topic):
+    """The watermark lags by a batch: the third file is still counted, the fourth is not."""
+    topic = file_topic(SCHEMA)
+    topic.add(minutes([(0, "a")] * 3 + [(1, "a")] * 2))
+    topic.add(minutes([(600, "a")]))
+    topic.add(minutes([(2, "a")] * 4 + [(601, "a")]))
+    topic.add(minutes([(3, "a")] * 9 + [(602, "a")]))
+    rows = stream(spark, topic).withColumn("value", F.date_format("timestamp", "mm"))
+    state_dir = run.job.state_dir
+    live = top_n_stream(
+        rows, "key", "value", run.sink, 2, "1 hour", "1 hour", emit="update", state_dir=state_dir
+    )
+    lists = {
+        ((r.window_start_ms // 1000 - START.timestamp()) / 3600, r.version): [
+            (t.item, t["count"]) for t in r.top
+        ]
+        for r in run(live).collect()
+    }
+    assert lists == {
+        (0, 1): [("00", 3), ("01", 2)],
+        (10, 2): [("00", 1)],
+        (0, 3): [("02", 4), ("00", 3)],
+        (10, 3): [("00", 1), ("01", 1)],
+    }
 
 
 def test_live_state_is_cleared_after_the_window(spark, run, file_topic):
     topic = file_topic(SCHEMA)
     for hour in range(0, 60, 10):
         topic.add(minutes([(hour * 60, "a"), (hour * 60 + 1, "a")]))
-    run(top_n_stream(stream(spark, topic), "key", "value", run.sink, 2, "1 hour", "5 hours", emit="update"))
+    rows = stream(spark, topic)
+    live = updating_aggregate(rows, "key", "value", TopFold(2), size="1 hour", delay="5 hours")
+    run(live.writeStream.foreachBatch(run.sink))
     states = [s.numRowsTotal for s in run.query.lastProgress.stateOperators]
     first = [s.numRowsTotal for s in run.query.recentProgress[0].stateOperators]
     assert all(last <= 2 * one for last, one in zip(states, first))
 
 
+def test_carried_lists_are_let_go_of_after_the_window(spark, run, file_topic):
+    topic = file_topic(SCHEMA)
+    for hour in range(0, 60, 10):
+        topic.add(minutes([(hour * 60, "a"), (hour * 60 + 1, "a")]))
+    rows = stream(spark, topic)
+    state_dir = run.job.state_dir
+    live = top_n_stream(
+        rows, "key", "value", run.sink, 2, "1 hour", "5 hours", emit="update", state_dir=state_dir
+    )
+    run(live)
+    slots = [spark.read.parquet(f"{state_dir}/slot={i}") for i in (0, 1)]
+    assert all(1 <= s.select("_start").distinct().count() <= 2 for s in slots)
+
+
+def test_live_list_arguments(spark, run, file_topic):
+    topic = file_topic(SCHEMA)
+    for arguments in ({"emit": "update"}, {"emit": "never"}, {"n": 0}):
+        with pytest.raises(ValueError):
+            top_n_stream(stream(spark, topic), "key", "value", run.sink, **arguments)
+
+
 def test_updating_aggregate_with_increments_and_removal(spark, run, file_topic):
     topic = file_topic(pa.schema([("key", pa.string()), ("item", pa.string()), ("n", pa.int64())]))
     topic.add([{"key": "g", "item": "x", "n": 5}, {"key": "g", "item": "y", "n": 2}, {"key": None, "item": "x", "n": 1}])

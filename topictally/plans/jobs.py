@@ -117,8 +117,13 @@ def _run_counts(
         write = batch_writer(topic, sink, "key", "count")
 
         def print_and_write(changed: DataFrame, batch_id: int) -> None:
-            print_table(changed)
-            write(changed, batch_id)
+            # Used twice, and the counts' state is to be updated once.
+            changed.persist()
+            try:
+                print_table(changed)
+                write(changed, batch_id)
+            finally:
+                changed.unpersist()
 
         return job.run(counts.writeStream.outputMode("update").foreachBatch(print_and_write), **run)
     if print_updates:
@@ -236,6 +241,14 @@ def run_top_pages(
 
     articles = keep(views, is_article())
     writer = top_n_stream(
-        articles, "industry", "page", write_texts, n, size, descending=descending, emit=emit
+        articles,
+        "industry",
+        "page",
+        write_texts,
+        n,
+        size,
+        descending=descending,
+        emit=emit,
+        state_dir=job.state_dir,
     )
     return job.run(writer, **run)

@@ -12,32 +12,7 @@ from topictally.functions.durations import millis
 from topictally.operators.changes import changelog, with_window
 from topictally.operators.counts import drop_null_key, key_columns
 from topictally.sources.sinks import BatchSink
-
-
-class CarriedCounts:
-    """Counts per key between micro-batches, in two folders used in turn.
-
-    Batch ``n`` reads what ``n - 1`` wrote and replaces what ``n - 2`` wrote, so a batch that is
-    run again finds its input unchanged.
-    """
-
-    def __init__(self, folder: str, schema: StructType):
-        self.folder = folder
-        self.schema = StructType([*schema, StructField("_batch", LongType())])
-
-    def read(self, spark, batch_id: int) -> DataFrame:
-        if batch_id == 0:
-            return spark.createDataFrame([], self.schema).drop("_batch")
-        slot = f"{self.folder}/slot={(batch_id - 1) % 2}"
-        table = spark.read.schema(self.schema).parquet(slot)
-        wrong = table.filter(F.col("_batch") != batch_id - 1).select("_batch").first()
-        if wrong is not None:
-            raise RuntimeError(f"{slot} holds batch {wrong[0]}, expected {batch_id - 1}")
-        return table.drop("_batch")
-
-    def write(self, counts: DataFrame, batch_id: int) -> None:
-        numbered = counts.withColumn("_batch", F.lit(batch_id).cast("bigint"))
-        numbered.write.mode("overwrite").parquet(f"{self.folder}/slot={batch_id % 2}")
+from topictally.streaming.carried import CarriedRows
 
 
 def stream_changelog(
@@ -63,7 +38,7 @@ def stream_changelog(
     fields = [*(["window"] if size is not None else []), *key_columns(key)]
     key_schema = with_window(df, size, time).select(*fields).schema
     held = [StructField("_carried", LongType()), StructField("_latest", LongType())]
-    state = CarriedCounts(state_dir, StructType([*key_schema, *held]))
+    state = CarriedRows(state_dir, StructType([*key_schema, *held]))
 
     def number_batch(batch: DataFrame, batch_id: int) -> None:
         # Read three times below; the source, perhaps a broker, is to be read once.

@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import ArrayType, StructField, StructType
 
+from topictally.functions.durations import millis
 from topictally.operators.counts import key_columns, windowed_count
 from topictally.operators.ranking import top_n
 from topictally.sources.sinks import BatchSink
+from topictally.streaming.carried import CarriedRows
 from topictally.streaming.tables import (
-    BUCKETS,
     Change,
     Items,
     TableFold,
@@ -74,6 +75,7 @@ def top_n_stream(
     descending: bool = True,
     emit: str = "final",
     time: str = "timestamp",
+    state_dir: str | None = None,
 ) -> DataStreamWriter:
     """The ``n`` items with most records per window and group, passed on to ``sink``.
 
@@ -81,23 +83,87 @@ def top_n_stream(
     the same micro-batch, so ranking that batch's output by ``top_n`` is exact and holds no
     group's items in one place. Rows: ``window``, group, item, ``count``, ``rank``.
 
-    ``emit="update"``: the new list of each group that changed, per micro-batch, as
-    ``updating_aggregate`` gives it; see ``latest``.
+    ``emit="update"``: the new list of each group whose list changed, per micro-batch. Rows:
+    ``window_start_ms``, ``window_end_ms``, group, ``version`` (higher is newer) and ``top``, an array
+    of rank, item and count; see ``latest``. Counts only grow, so an item outside a list can enter
+    it only when its own count changes: the new lists are the top of the changed counts and the
+    lists before, which are kept in ``state_dir``. This does not hold for the lowest items; those
+    come from ``updating_aggregate``, which needs no ``state_dir``.
     """
     by = key_columns(by)
-    if emit == "update":
+    if n < 1:
+        raise ValueError("n must be at least 1")
+    if emit not in ("final", "update"):
+        raise ValueError(f"emit must be final or update, not {emit!r}")
+    if emit == "update" and not descending:
         live = updating_aggregate(df, by, item, TopFold(n, descending), None, size, delay, time)
         return live.writeStream.outputMode("append").foreachBatch(sink)
-    if emit != "final":
-        raise ValueError(f"emit must be final or update, not {emit!r}")
-    rows = df.filter(F.col(item).isNotNull())
+    if emit == "update" and state_dir is None:
+        raise ValueError("the highest items of open windows need a state_dir")
+    rows = df.filter(F.col(item).isNotNull()).withColumn(item, F.col(item).cast("string"))
     counts = windowed_count(rows, [*by, item], size, delay=delay, time=time)
+    if emit == "update":
+        rank_changes = _rank_changes(counts, by, item, sink, n, millis(size), millis(delay), state_dir)
+        return counts.writeStream.outputMode("update").foreachBatch(rank_changes)
 
-    def rank_batch(closed: DataFrame, batch_id: int) -> None:
+    def rank_closed(closed: DataFrame, batch_id: int) -> None:
         ranked = top_n(closed, ["window", *by], "count", n, descending, ties=[item])
         sink(ranked, batch_id)
 
-    return counts.writeStream.outputMode("append").foreachBatch(rank_batch)
+    return counts.writeStream.outputMode("append").foreachBatch(rank_closed)
+
+
+def _rank_changes(
+    counts: DataFrame,
+    by: list[str],
+    item: str,
+    sink: BatchSink,
+    n: int,
+    size_ms: int,
+    delay_ms: int,
+    state_dir: str,
+) -> BatchSink:
+    """The work of a micro-batch of changed counts, for live lists of the highest items."""
+    columns = [F.col("window.start").alias("_start"), *by, item, "count"]
+    state = CarriedRows(state_dir, counts.select(*columns).schema)
+    group = ["_start", *by]
+
+    def rank_changes(changed: DataFrame, batch_id: int) -> None:
+        carried = state.read(changed.sparkSession, batch_id)
+        new = changed.select(*columns, F.lit(True).alias("_new"))
+        both = new.unionByName(carried.withColumn("_new", F.lit(False))).groupBy(*group, item)
+        newest = both.agg(F.max("count").alias("count"), F.bool_or("_new").alias("_new"))
+        # Used twice, and the counts' state is to be updated once.
+        tops = top_n(newest, group, "count", n, ties=[item]).persist()
+        try:
+            sink(lists(tops, batch_id), batch_id)
+            state.write(still_open(tops, carried).select(*group, item, "count"), batch_id)
+        finally:
+            tops.unpersist()
+
+    def lists(tops: DataFrame, batch_id: int) -> DataFrame:
+        rows = F.struct("rank", F.col(item).alias("item"), "count")
+        found = tops.groupBy(*group).agg(
+            F.bool_or("_new").alias("_new"), F.sort_array(F.collect_list(rows)).alias("top")
+        )
+        start = F.unix_millis("_start")
+        return found.filter("_new").select(
+            start.alias("window_start_ms"),
+            (start + size_ms).alias("window_end_ms"),
+            *by,
+            F.lit(batch_id + 1).cast("bigint").alias("version"),
+            "top",
+        )
+
+    def still_open(tops: DataFrame, carried: DataFrame) -> DataFrame:
+        # Late records are dropped by the watermark of the batch before, so windows are let go of
+        # by what was known then. Window starts are never ahead of the records' times.
+        known = carried.agg(F.max(F.unix_millis("_start"))).scalar()
+        return tops.filter(
+            F.coalesce(F.unix_millis("_start") + size_ms > known - delay_ms, F.lit(True))
+        )
+
+    return rank_changes
 
 
 class _LastRows(StatefulProcessor):
