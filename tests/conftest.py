@@ -19,7 +19,7 @@ def spark(tmp_path_factory):
         "tests",
         "local[4]",
         spark__ui__enabled="false",
-        spark__sql__shuffle__partitions="4",
+        spark__sql__shuffle__partitions="2",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
         # Small batches, so that functions that work batch by batch see more than one.
         spark__sql__execution__arrow__maxRecordsPerBatch="7",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from topictally.operators import count_by_key, last_n, rekey, windowed_count
 from topictally.plans.folds import ItemTotals
 from topictally.session import shared_folder
-from topictally.sources import TopicSettings, batch_writer, print_table, write_topic
+from topictally.sources import TopicSettings, batch_writer, print_table, read_topic, write_topic
 from topictally.streaming.tasks import combine_in_task
 from topictally.streaming import (
     Job,
@@ -446,3 +446,32 @@ def test_a_job_runs_until_it_is_stopped(spark, tmp_path, file_topic):
     assert not runner.is_alive()
     out = spark.read.parquet(settings.path("out"))
     assert rows_of(out, "key", "count") == [("a", 1), ("a", 2)]
+
+
+@pytest.mark.parametrize("encoded", [False, True])
+def test_records_appended_to_a_topic_are_a_stream_again(spark, tmp_path, file_topic, encoded):
+    first, settings = file_topic(SCHEMA), TopicSettings(root=str(tmp_path), encoded=encoded)
+    copy = Job(spark, "copy", str(tmp_path / "copy-checkpoint"))
+    count = Job(spark, "count", str(tmp_path / "count-checkpoint"))
+
+    def update():
+        write_topic(stream(spark, first), "copied", settings, job=copy, available_now=True)
+        records = read_topic(spark, "copied", settings, streaming=True)
+        out = TopicSettings(root=str(tmp_path))
+        counts = count_by_key(rekey(records))
+        write_topic(counts, "counts", out, "key", "count", "update", count, available_now=True)
+        table = spark.read.parquet(out.path("counts"))
+        return rows_of(table.groupBy("key").agg(F.max_by("value", "batch").alias("n")), "key", "n")
+
+    first.add(minutes([(0, "a"), (1, "b")]))
+    assert update() == [("a", 1), ("b", 1)]
+    first.add(minutes([(2, "a")], first=2))
+    assert update() == [("a", 2), ("b", 1)]
+    batch_read = read_topic(spark, "copied", settings)
+    assert rows_of(batch_read, "key", "offset") == [("a", 0), ("a", 2), ("b", 1)]
+
+
+def test_writing_a_stream_needs_a_job(spark, tmp_path, file_topic):
+    topic = file_topic(SCHEMA)
+    with pytest.raises(ValueError):
+        write_topic(stream(spark, topic), "t", TopicSettings(root=str(tmp_path)))
