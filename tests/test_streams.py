@@ -156,9 +156,10 @@ def test_restart_goes_on_where_it_stopped(spark, run, file_topic):
     assert sum(p.numInputRows for p in run.query.recentProgress) == 2
 
 
-def test_changelog_of_a_stream_is_that_of_the_batch(spark, run, hot_topic):
-    writer = stream_changelog(stream(spark, hot_topic), run.sink, run.job.state_dir, block_rows=20)
-    out = run(writer)
+@pytest.mark.parametrize("hold", [False, True])
+def test_changelog_of_a_stream_is_that_of_the_batch(spark, run, hot_topic, hold):
+    rows = stream(spark, hot_topic)
+    out = run(stream_changelog(rows, run.sink, run.job.state_dir, block_rows=20, hold=hold))
     seen = Counter()
     expected = []
     for row in sorted(batch(spark, hot_topic).collect(), key=lambda r: r.offset):

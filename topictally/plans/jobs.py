@@ -197,6 +197,7 @@ def run_windowed_region_count(
             job.state_dir,
             order=order,
             size=REGION_WINDOW,
+            hold=source.is_kafka,
         )
         return job.run(writer, **run)
     counts = messages(windowed_count(regions, size=REGION_WINDOW))

@@ -50,21 +50,19 @@ def region_records(events: DataFrame) -> DataFrame:
 
 
 def order_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The region of each order, counted before each join: value, ``records``.
+    """The region of each order, counted per customer before the joins: value, ``records``.
 
-    Orders are counted per customer and then per nation, so a customer or nation with a large
-    share of all orders is one row in the next join. No join is hinted; Spark broadcasts the
-    tables below its size threshold.
+    A customer with a large share of all orders is one row in the join. No join is hinted; Spark
+    broadcasts the tables below its size threshold, ``nation`` and ``region`` always among them.
     """
     orders = count_by_key(table(spark, sf_dir, "orders"), "o_custkey", name="records")
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    by_customer = orders.join(customer, orders.o_custkey == customer.c_custkey)
-    by_nation = count_by_key(by_customer, "c_nationkey", weight="records", name="records")
+    places = nation.join(region, nation.n_regionkey == region.r_regionkey)
     return (
-        by_nation.join(nation, by_nation.c_nationkey == nation.n_nationkey)
-        .join(region, nation.n_regionkey == region.r_regionkey)
+        orders.join(customer, orders.o_custkey == customer.c_custkey)
+        .join(places, customer.c_nationkey == places.n_nationkey)
         .select(F.col("r_name").alias("value"), "records")
     )
 

@@ -25,6 +25,7 @@ def stream_changelog(
     delay: int | str = "1 day",
     time: str = "timestamp",
     block_rows: int | None = None,
+    hold: bool = False,
     name: str = "count",
 ) -> DataStreamWriter:
     """One row per record of a stream with its key's count so far, passed on to ``sink``.
@@ -34,21 +35,23 @@ def stream_changelog(
     tasks, on top of the counts carried from the batches before. Those hold one row per key; with
     ``size`` only windows that may still get records are held, and records of closed windows
     are left out: windows that end at or before the latest time of earlier batches less ``delay``.
+
+    A micro-batch is read several times, mostly a few columns of it. ``hold`` keeps it in memory or
+    on local disk instead, for brokers, where reading is dear and batches are limited in size.
     """
     fields = [*(["window"] if size is not None else []), *key_columns(key)]
     key_schema = with_window(df, size, time).select(*fields).schema
     held = [StructField("_carried", LongType()), StructField("_latest", LongType())]
     state = CarriedRows(state_dir, StructType([*key_schema, *held]))
 
-    def number_batch(batch: DataFrame, batch_id: int) -> None:
-        # Read three times below; the source, perhaps a broker, is to be read once.
+    def number_held_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            _number_and_carry(batch, batch_id)
+            number_batch(batch, batch_id)
         finally:
             batch.unpersist()
 
-    def _number_and_carry(batch: DataFrame, batch_id: int) -> None:
+    def number_batch(batch: DataFrame, batch_id: int) -> None:
         carried = state.read(batch.sparkSession, batch_id)
         rows = drop_null_key(batch, key, keep_null_key=False)
         open_windows = F.lit(True)
@@ -69,4 +72,4 @@ def stream_changelog(
         totals = both.agg(F.sum("_carried").alias("_carried"), F.max("_latest").alias("_latest"))
         state.write(totals, batch_id)
 
-    return df.writeStream.foreachBatch(number_batch)
+    return df.writeStream.foreachBatch(number_held_batch if hold else number_batch)
