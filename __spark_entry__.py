@@ -40,7 +40,6 @@ from topictally.sources import (
     TopicSettings,
     batch_writer,
     decode_json,
-    encode_json,
     encode_window_key,
     read_topic,
     write_topic,
@@ -541,7 +540,8 @@ def oracle_sql() -> dict[str, str]:
             JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
             JOIN region ON n_regionkey = r_regionkey GROUP BY ALL""",
         "event_type_count": type_counts,
-        "region_count_windowed": f'SELECT start AS "windowStart", region, count FROM ({minute_counts})',
+        "region_count_windowed": f"""
+            SELECT start AS "windowStart", region, count FROM ({minute_counts})""",
         "region_count_hopping": hopping_two,
         "region_count_hopping_wide": _hopping_sql(24, "region").format(start='"windowStart"'),
         "hourly_article_views": f"""

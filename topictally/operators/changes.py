@@ -81,9 +81,11 @@ def changelog(
     rows = rows.select(*(c.alias(n) for n, c in parts.items()), *others)
     cell, keyed = list(parts), [p for p in parts if p != "_block"]
 
-    earlier = Window.partitionBy(*keyed).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keyed).orderBy("_block")
+    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_records").over(earlier), F.lit(0))
     blocks = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("_records"))
-    blocks = blocks.select(*cell, F.coalesce(F.sum("_records").over(earlier), F.lit(0)).alias("_before"))
+    blocks = blocks.select(*cell, before.alias("_before"))
     if carried is not None:
         start = [F.col("window.start").alias("_start")] if size is not None else []
         past = carried.select(*start, group.alias("_key"), "_carried")
@@ -94,7 +96,7 @@ def changelog(
     numbered = rows.withColumn("_number", F.row_number().over(inside).cast("bigint"))
     window = [] if size is None else [window_from(F.col("_start"), size).alias("window")]
     restored = ["_key"] if plain else [f"_key.{f}" for f in fields]
-    return numbered.join(blocks, cell).select(
+    return numbered.join(blocks, cell, "left").select(
         *window,
         *(F.col(c).alias(f) for c, f in zip(restored, fields)),
         *others,

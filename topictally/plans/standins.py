@@ -21,7 +21,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def events_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
+def events_stream(
+    spark: SparkSession, sf_dir: str, files_per_batch: int | None = None
+) -> DataFrame:
     """The table ``events`` as a stream, be it one file or a folder of files."""
     use_utc(spark)
     reader = spark.readStream.schema(EVENTS)

@@ -21,7 +21,7 @@ from topictally.streaming.tables import (
     Change,
     Items,
     TableFold,
-    _schema,
+    schema_with,
     updating_aggregate,
 )
 from topictally.streaming.tasks import combine_in_task
@@ -84,8 +84,8 @@ def top_n_stream(
     group's items in one place. Rows: ``window``, group, item, ``count``, ``rank``.
 
     ``emit="update"``: the new list of each group whose list changed, per micro-batch. Rows:
-    ``window_start_ms``, ``window_end_ms``, group, ``version`` (higher is newer) and ``top``, an array
-    of rank, item and count; see ``latest``. Counts only grow, so an item outside a list can enter
+    ``window_start_ms``, ``window_end_ms``, group, ``version`` (higher is newer) and ``top``, an
+    array of rank, item and count; see ``latest``. Counts only grow, so an item outside a list can enter
     it only when its own count changes: the new lists are the top of the changed counts and the
     lists before, which are kept in ``state_dir``. This does not hold for the lowest items; those
     come from ``updating_aggregate``, which needs no ``state_dir``.
@@ -103,7 +103,8 @@ def top_n_stream(
     rows = df.filter(F.col(item).isNotNull()).withColumn(item, F.col(item).cast("string"))
     counts = windowed_count(rows, [*by, item], size, delay=delay, time=time)
     if emit == "update":
-        rank_changes = _rank_changes(counts, by, item, sink, n, millis(size), millis(delay), state_dir)
+        spans = millis(size), millis(delay)
+        rank_changes = _rank_changes(counts, by, item, sink, n, *spans, state_dir)
         return counts.writeStream.outputMode("update").foreachBatch(rank_changes)
 
     def rank_closed(closed: DataFrame, batch_id: int) -> None:
@@ -231,7 +232,7 @@ def last_n_stream(
         raise ValueError(f"no such column to order by: {missing}")
     row_schema = df.select(*fields).schema
     ranked = StructType([*StructType.fromDDL("rank bigint"), *row_schema])
-    keyed = _schema(df, by, "version bigint")
+    keyed = schema_with(df, by, "version bigint")
     out = StructType([*keyed, StructField("last", ArrayType(ranked))])
     row_ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in row_schema)
     rows = last_in_task(df.filter(F.col(by[0]).isNotNull()) if len(by) == 1 else df, by, order, n)

@@ -183,8 +183,8 @@ def updating_aggregate(
 
     An item's total is its number of records, or the sum of ``increment``; at 0 the item is gone.
     With ``size`` groups are per window, and a window's state is cleared once it is ``delay`` (and
-    less than one size) behind. Each micro-batch gives one row per changed group: ``window_start_ms``
-    and ``window_end_ms`` with ``size``, the group, ``version`` (1, 2, ...) and the result.
+    less than one size) behind. Each micro-batch gives one row per changed group, with
+    ``window_start_ms`` and ``window_end_ms`` if there is a size, the group, ``version`` (1, 2, ...) and the result.
 
     Two stages: totals and states per bucket of a group's items, then one result per group from
     its at most ``buckets`` states. So neither a hot group nor, as tasks count first, a hot item
@@ -221,7 +221,7 @@ def updating_aggregate(
         group.append(event_time)
 
     per_bucket = [*group, "_bucket"]
-    state_schema = _schema(rows, per_bucket, "_state string")
+    state_schema = schema_with(rows, per_bucket, "_state string")
     states = rows.groupBy(*per_bucket).transformWithState(
         _BucketState(per_bucket, timed, fold),
         state_schema,
@@ -229,13 +229,13 @@ def updating_aggregate(
         time_mode,
         eventTimeColumnName=event_time,
     )
-    result_schema = _schema(rows, group, f"version bigint, {fold.result}")
+    result_schema = schema_with(rows, group, f"version bigint, {fold.result}")
     results = states.groupBy(*group).transformWithState(
         _GroupResult(group, timed, fold), result_schema, "Append", time_mode
     )
     return results.drop(event_time) if timed else results
 
 
-def _schema(df: DataFrame, fields: Sequence[str], more: str) -> StructType:
+def schema_with(df: DataFrame, fields: Sequence[str], more: str) -> StructType:
     """The named fields of ``df``, then those of the DDL text ``more``."""
     return StructType([*df.select(*fields).schema, *StructType.fromDDL(more)])
