@@ -134,6 +134,13 @@ def test_top_pages(spark, places, kind):
     assert got == (FIRST_TEXTS if kind == "final" else FIRST_TEXTS | LAST_TEXT)
 
 
+def test_avro_views_need_the_package(spark, places):
+    source, sink, job = places
+    view_topic(spark, source)
+    with pytest.raises(RuntimeError, match="spark-avro"):
+        jobs.run_top_pages(spark, source, sink, job, streaming=False, avro_schema='"string"')
+
+
 def test_least_viewed_first(spark, places):
     source, sink, job = places
     view_topic(spark, source)

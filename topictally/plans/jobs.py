@@ -21,7 +21,7 @@ from topictally.operators.rows import (
     regroup,
     rekey,
 )
-from topictally.sources.codecs import encode_json, encode_window_key
+from topictally.sources.codecs import decode_avro, encode_json, encode_window_key
 from topictally.sources.sinks import batch_writer, print_table, stream_writer, write_topic
 from topictally.sources.topics import TopicSettings, read_topic
 from topictally.streaming.changes import stream_changelog
@@ -216,11 +216,21 @@ def run_top_pages(
     n: int = TOP_PAGES,
     size: int | str = ARTICLE_WINDOW,
     descending: bool = True,
+    avro_schema: str | None = None,
+    avro_header_bytes: int = 0,
     **run,
 ) -> StreamingQuery | None:
-    """JOB-4 and JOB-5: page views to the top pages per window and industry, as text."""
-    scan = read_topic(spark, topic, source, "binary", PAGE_VIEW, streaming)
-    views = scan.select("value.*", "timestamp")
+    """JOB-4 and JOB-5: page views to the top pages per window and industry, as text.
+
+    Views are JSON records, or with ``avro_schema`` (JSON text) Avro records after
+    ``avro_header_bytes`` of other content.
+    """
+    scan = read_topic(
+        spark, topic, source, "binary", "binary" if avro_schema else PAGE_VIEW, streaming
+    )
+    if avro_schema:
+        scan = decode_avro(scan, avro_schema, header_bytes=avro_header_bytes)
+    views = scan.select("value.page", "value.industry", "value.flags", "timestamp")
     if not streaming:
         texts = encode_window_key(top_pages_text(views, n, size, descending), "industry")
         return write_topic(texts, output, sink, mode="overwrite")

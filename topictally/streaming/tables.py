@@ -183,8 +183,8 @@ def updating_aggregate(
 
     An item's total is its number of records, or the sum of ``increment``; at 0 the item is gone.
     With ``size`` groups are per window, and a window's state is cleared once it is ``delay`` (and
-    less than one size) behind. Each micro-batch gives one row per changed group, with
-    ``window_start_ms`` and ``window_end_ms`` if there is a size, the group, ``version`` (1, 2, ...) and the result.
+    less than one size) behind. Each micro-batch gives one row per changed group: with a size
+    ``window_start_ms`` and ``window_end_ms``, the group, ``version`` (1, 2, ...) and the result.
 
     Two stages: totals and states per bucket of a group's items, then one result per group from
     its at most ``buckets`` states. So neither a hot group nor, as tasks count first, a hot item
