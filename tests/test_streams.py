@@ -476,3 +476,71 @@ def test_writing_a_stream_needs_a_job(spark, tmp_path, file_topic):
     topic = file_topic(SCHEMA)
     with pytest.raises(ValueError):
         write_topic(stream(spark, topic), "t", TopicSettings(root=str(tmp_path)))
+
+
+def live_lists(spark, run, topic):
+    return top_n_stream(
+        stream(spark, topic),
+        "key",
+        "value",
+        run.sink,
+        3,
+        "10 hours",
+        "100 hours",
+        emit="update",
+        state_dir=run.job.state_dir,
+    )
+
+
+def live_aggregate(spark, run, topic):
+    rows = stream(spark, topic)
+    live = updating_aggregate(rows, "key", "value", TopFold(3), size="10 hours", delay="100 hours")
+    return live.writeStream.foreachBatch(run.sink)
+
+
+@pytest.mark.parametrize("make", [live_lists, live_aggregate])
+def test_live_lists_go_on_after_a_restart(spark, run, file_topic, make):
+    random.seed(5)
+    topic = file_topic(SCHEMA)
+
+    def add_file(first):
+        rows = minutes([(random.randrange(1500), random.choice("ab")) for _ in range(60)], first)
+        for row in rows:
+            row["value"] = f"p{random.randrange(5)}"
+        topic.add(rows)
+
+    for round_ in range(2):
+        add_file(round_ * 200)
+        add_file(round_ * 200 + 100)
+        out = run(make(spark, run, topic))
+        newest = latest(out, ["window_start_ms", "key"], "top")
+        got = rows_of(newest, "window_start_ms", "key", "item", "count", "rank")
+        assert got == top_of(page_records(spark, topic)[0], 3, True)
+
+
+def test_last_rows_go_on_after_a_restart(spark, run, file_topic):
+    topic = file_topic(SCHEMA)
+    for first in (0, 10, 20):
+        topic.add(minutes([(i, k) for i, k in enumerate("aabba"[: 5 - first // 10])], first))
+        rows = stream(spark, topic).select("key", "offset")
+        out = run(last_n_stream(rows, "key", "offset", 4).writeStream.foreachBatch(run.sink))
+        whole = last_n(batch(spark, topic).select("key", "offset"), "key", "offset", 4)
+        columns = ["key", "offset", "rank"]
+        assert rows_of(latest(out, "key", "last"), *columns) == rows_of(whole, *columns)
+
+
+def test_final_lists_after_a_restart(spark, run, file_topic):
+    """A window that is open when the job stops is told once, after the restart."""
+    topic = file_topic(SCHEMA)
+
+    def update():
+        rows = stream(spark, topic)
+        out = run(top_n_stream(rows, "key", "value", run.sink, 2, "1 hour", "1 hour"))
+        return rows_of(out, "value", "count", "rank")
+
+    topic.add(minutes([(0, "a"), (1, "a"), (70, "b")]))
+    assert update() == []
+    topic.add(minutes([(2, "a"), (119, "b")]))
+    assert update() == []
+    topic.add(minutes([(300, "c")]))
+    assert update() == [("a", 3, 1), ("b", 2, 1)]
