@@ -226,7 +226,8 @@ def _scratch(spark: SparkSession, name: str, **settings) -> TopicSettings:
 
 def _job(spark: SparkSession, settings: TopicSettings, name: str) -> Job:
     unique = settings.root.rsplit("-", 1)[-1]
-    return Job(spark, f"{name}-{unique}", f"{settings.root}/checkpoint")
+    cores = spark.sparkContext.defaultParallelism
+    return Job(spark, f"{name}-{unique}", f"{settings.root}/checkpoint", partitions=cores)
 
 
 def topic_round_trip(spark, sf_dir):

@@ -544,3 +544,16 @@ def test_final_lists_after_a_restart(spark, run, file_topic):
     assert update() == []
     topic.add(minutes([(300, "c")]))
     assert update() == [("a", 3, 1), ("b", 2, 1)]
+
+
+def test_a_job_names_the_parts_of_its_state(spark, tmp_path, file_topic):
+    topic = file_topic(SCHEMA)
+    topic.add(minutes([(0, "a")]))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    settings = TopicSettings(root=str(tmp_path))
+    job = Job(spark, "parts", str(tmp_path / "c"), partitions=3)
+    writer = count_by_key(stream(spark, topic)).writeStream.outputMode("update")
+    job.run(writer.foreachBatch(batch_writer("out", settings, None)), available_now=True)
+    state = tmp_path / "c" / "state" / "0"
+    assert sorted(p.name for p in state.iterdir() if p.name.isdigit()) == ["0", "1", "2"]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before

@@ -9,6 +9,7 @@ from topictally.session import ROCKSDB_PROVIDER, shared_folder
 
 PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
 RESTART_CONF = "spark.sql.streaming.stopActiveRunOnRestart"
+PARTITIONS_CONF = "spark.sql.shuffle.partitions"
 
 
 class Job:
@@ -16,11 +17,21 @@ class Job:
 
     The folder defaults to one of the job's name below the shared folder, so a job started again
     goes on where it stopped. Two running jobs cannot share a name or a folder.
+
+    ``partitions`` is the number of parts the job's state is kept in, the session's number of shuffle
+    partitions if not given. The first start settles it for good.
     """
 
-    def __init__(self, spark: SparkSession, name: str, checkpoint_dir: str | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        name: str,
+        checkpoint_dir: str | None = None,
+        partitions: int | None = None,
+    ):
         self.spark = spark
         self.name = name
+        self.partitions = partitions
         self.checkpoint_dir = checkpoint_dir or f"{shared_folder(spark)}/jobs/{name}"
 
     @property
@@ -36,7 +47,13 @@ class Job:
         writer = writer.queryName(self.name).option("checkpointLocation", self.checkpoint_dir)
         if available_now:
             writer = writer.trigger(availableNow=True)
-        return writer.start()
+        # A query takes over the session's settings when it starts.
+        session_partitions = self.spark.conf.get(PARTITIONS_CONF)
+        self.spark.conf.set(PARTITIONS_CONF, str(self.partitions or session_partitions))
+        try:
+            return writer.start()
+        finally:
+            self.spark.conf.set(PARTITIONS_CONF, session_partitions)
 
     def run(
         self,
