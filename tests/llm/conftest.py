@@ -1,0 +1 @@
+"""Fixtures of these tests; the session is that of the other tests."""
