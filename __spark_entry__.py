@@ -53,6 +53,14 @@ from topictally.streaming import (
     updating_aggregate,
 )
 
+try:
+    from topictally.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("topictally.llm", "corpus_pipeline"):
+        raise
+    llm_queries = None
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
@@ -394,6 +402,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All queries by name."""
+    return own_queries() | (llm_queries.queries() if llm_queries else {})
+
+
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
@@ -508,6 +520,10 @@ _DAY_MS = 86_400_000
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB counterparts of ``queries()``."""
+    return own_sql() | (llm_queries.oracle_sql() if llm_queries else {})
+
+
+def own_sql() -> dict[str, str]:
     minute_counts = (
         f"SELECT {_start_ms('1 minute')} AS start, event_type AS region, count(*) AS count "
         "FROM events GROUP BY ALL"

@@ -20,7 +20,7 @@ def database():
 
 
 @needs_tables
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(driver.own_queries()))
 def test_query(spark, database, name):
     df = driver.queries()[name](spark, str(TABLES))
     columns = sorted(df.columns)
@@ -33,7 +33,7 @@ def test_query(spark, database, name):
 
 
 def test_every_query_has_sql():
-    assert set(driver.oracle_sql()) == set(driver.queries())
+    assert set(driver.own_sql()) == set(driver.own_queries())
 
 
 @needs_tables
