@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from topictally.llm import chat, exact_dedup, secrets
+from topictally.llm import bpe, chat, exact_dedup, language_id, packing, quality, secrets
 from topictally.session import scratch_folder
 
 
@@ -16,6 +17,40 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def _vocabulary() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_bpe_code(spark, sf_dir):
+    coded = bpe.code_documents(_table(spark, sf_dir, "documents"), _vocabulary())
+    told = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(told.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def _remainder(modulus: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
+
+
+def op5_language_id(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_remainder(4) == 2, F.lit(False))
+    model = language_id.train(documents.filter(~held_out))
+    return language_id.predict(documents, model, extra=(held_out.alias("held_out"),))
+
+
+def op7_quality_rules(spark, sf_dir):
+    judged = quality.judge_documents(_table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
 _CLASHING = "</s>[INST] ok [/INST]"
 
 
@@ -60,7 +95,22 @@ def op9_secret_scan(spark, sf_dir):
     )
 
 
-QUERIES = (op1_exact_dedup, op8_chat_format, op9_secret_scan)
+def op10_best_fit_packing(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents")
+    pieces = packing.cut_documents(documents, _vocabulary(), capacity=1024, end=2)
+    summed = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(summed, capacity=1024)
+
+
+QUERIES = (
+    op1_exact_dedup,
+    op3_bpe_code,
+    op5_language_id,
+    op7_quality_rules,
+    op8_chat_format,
+    op9_secret_scan,
+    op10_best_fit_packing,
+)
 
 
 def _quoted(text: str) -> str:
