@@ -6,8 +6,8 @@ left are never touched again. The run of bytes grows from round to round, so the
 is logarithmic in the longest text. No digest decides equality.
 
 A round is one aggregation, which Spark pre-aggregates inside each task, and one join of the open
-rows with the groups that have company. The groups come from a written table, so Spark knows their
-size: it broadcasts few, and otherwise joins by sorting, where it splits a hot group by itself.
+rows with the groups that have company. The join is by sorting at every size, where Spark splits a
+hot group by itself; the groups come from a written table, so no aggregation stands in its way.
 """
 
 from __future__ import annotations
@@ -77,7 +77,7 @@ def exact_dedup(
         groups.write.parquet(f"{place}/groups")
         shared = spark.read.parquet(f"{place}/groups")
         ended = F.col("size").isNull() | (F.length("digit") < run)
-        split = keyed.join(shared, ["class", "digit"], "left").select(
+        split = keyed.join(shared.hint("merge"), ["class", "digit"], "left").select(
             "row", "id", "points", "sha", "size", "best_id", "best_row",
             F.col("next").alias("class"),
             F.when(~ended, F.col("rest")).alias("rest"),
