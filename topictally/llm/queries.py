@@ -5,7 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from topictally.llm import bpe, chat, exact_dedup, language_id, packing, quality, secrets
+from topictally.llm import (
+    bpe,
+    chat,
+    exact_dedup,
+    html_extract,
+    jaccard_join,
+    language_id,
+    packing,
+    quality,
+    secrets,
+)
 from topictally.session import scratch_folder
 
 
@@ -32,6 +42,10 @@ def op3_bpe_code(spark, sf_dir):
     )
 
 
+def op4_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents")).drop("row")
+
+
 def _remainder(modulus: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
 
@@ -43,6 +57,11 @@ def op5_language_id(spark, sf_dir):
     return language_id.predict(documents, model, extra=(held_out.alias("held_out"),))
 
 
+def op6_html_extract(spark, sf_dir):
+    texts = html_extract.extract(_table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 def op7_quality_rules(spark, sf_dir):
     judged = quality.judge_documents(_table(spark, sf_dir, "documents"))
     return judged.select(
@@ -105,7 +124,9 @@ def op10_best_fit_packing(spark, sf_dir):
 QUERIES = (
     op1_exact_dedup,
     op3_bpe_code,
+    op4_jaccard_join,
     op5_language_id,
+    op6_html_extract,
     op7_quality_rules,
     op8_chat_format,
     op9_secret_scan,
@@ -127,6 +148,35 @@ SELECT doc_id, first(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY body
 FROM n WINDOW w AS (PARTITION BY body ORDER BY points DESC, doc_id)
 """
 
+#: ASCII letters only, as the operators lower them.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _jaccard_sql(table: str, width: int, percent: int) -> str:
+    """Every pair of texts with a common shingle, counted, and the links followed to their ends."""
+    shingle = " || ' ' || ".join(f"ws[i + {k}]" for k in range(width))
+    return rf"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS ws FROM {table}),
+s AS (
+    SELECT doc_id, CASE WHEN len(ws) = 0 THEN []
+        WHEN len(ws) < {width} THEN [array_to_string(ws, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(ws) - {width - 2}), lambda i: {shingle})) END AS g
+    FROM w),
+x AS (SELECT doc_id, len(g) AS n, unnest(g) AS g FROM s),
+o AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) + any_value(b.n) AS n, count(*) AS o
+    FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM o WHERE 100 * o >= {percent} * (n - o)),
+both_ways AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (
+    SELECT doc_id, doc_id AS root FROM w
+    UNION SELECT e.b, r.root FROM r JOIN both_ways e ON e.a = r.doc_id)
+SELECT doc_id, any_value(len(g)) AS n_shingles, min(root) AS component_id
+FROM r JOIN s USING (doc_id) GROUP BY doc_id
+"""
+
+
 _CHAT_SQL = r"""
 WITH c AS (
     SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
@@ -189,6 +239,7 @@ def _re2(rule: secrets.Rule) -> str:
 
 SQL = {
     "op1_exact_dedup": _DEDUP_SQL,
+    "op4_jaccard_join": _jaccard_sql("documents", 4, 85),
     "op8_chat_format": _CHAT_SQL,
     "op9_secret_scan": _secret_sql(),
 }
