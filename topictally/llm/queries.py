@@ -12,6 +12,7 @@ from topictally.llm import (
     html_extract,
     jaccard_join,
     language_id,
+    ngram_lm,
     packing,
     quality,
     secrets,
@@ -31,6 +32,12 @@ def _vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_ngram_lm(spark, sf_dir):
+    held_out = F.coalesce(_remainder(7) == 2, F.lit(False))
+    scored = ngram_lm.score_corpus(_table(spark, sf_dir, "documents"), ~held_out)
+    return scored.withColumn("held_out", ~F.col("trained")).drop("trained")
+
+
 def op3_bpe_code(spark, sf_dir):
     coded = bpe.code_documents(_table(spark, sf_dir, "documents"), _vocabulary())
     told = F.concat_ws(",", F.col("ids").cast("array<string>"))
@@ -123,6 +130,7 @@ def op10_best_fit_packing(spark, sf_dir):
 
 QUERIES = (
     op1_exact_dedup,
+    op2_ngram_lm,
     op3_bpe_code,
     op4_jaccard_join,
     op5_language_id,
