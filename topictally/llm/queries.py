@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -50,7 +51,7 @@ def op3_bpe_code(spark, sf_dir):
 
 
 def op4_jaccard_join(spark, sf_dir):
-    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents")).drop("row")
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
 def _remainder(modulus: int):
@@ -128,6 +129,10 @@ def op10_best_fit_packing(spark, sf_dir):
     return packing.pack(summed, capacity=1024)
 
 
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = (
     op1_exact_dedup,
     op2_ngram_lm,
@@ -139,6 +144,7 @@ QUERIES = (
     op8_chat_format,
     op9_secret_scan,
     op10_best_fit_packing,
+    pipeline,
 )
 
 
@@ -258,4 +264,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    whole = corpus_pipeline.ORACLE_SQL
+    return SQL | ({"pipeline": whole} if whole else {})

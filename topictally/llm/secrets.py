@@ -137,8 +137,7 @@ def scan(
     texts = versions.select(
         F.col(key).alias("own_path"), F.sha2(body.cast("binary"), 256).alias("blob"), body.alias("body")
     )
-    hint = "|".join(HINTS.get(r.name, r.pattern) for r in rules)
-    suspects = texts.filter(F.col("body").rlike(hint))
+    suspects = texts.filter(F.col("body").rlike(_hint(rules)))
     same = (F.col("own_path").eqNullSafe(F.col("path"))) & (
         suspects["blob"] == unseen["blob"]
     )
@@ -189,6 +188,40 @@ def findings(paths: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) ->
     )
 
 
+def redact_documents(
+    docs: DataFrame,
+    ledger: str,
+    text: str = "text",
+    key: str = "doc_id",
+    length: str | None = "n_chars",
+    rules: tuple[Rule, ...] = RULES,
+) -> DataFrame:
+    """All rows and columns of ``docs``, with every finding in a text replaced by its rule's name.
+
+    Where a text changes, the column ``length``, if there is one, gets its new number of code points.
+    Texts that no rule can match pass by the join; null texts stay null.
+    """
+    scan(docs, ledger, text, key, rules)
+    by_blob = docs.sparkSession.read.parquet(f"{ledger}/by-blob")
+    by_blob = by_blob.select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
+    body = F.col(text).cast("string")
+    suspect = F.coalesce(body.rlike(_hint(rules)), F.lit(False))
+    named = docs.filter(suspect).withColumn("_blob", F.sha2(body.cast("binary"), 256))
+    found = named.join(by_blob.hint("merge"), "_blob", "left")
+    clean = F.when(F.col("_spans").isNull(), body).otherwise(redact(body, F.col("_spans")))
+    found = found.withColumn("_clean", clean)
+    changed = {text: F.col("_clean")}
+    if length in docs.columns:
+        size = F.char_length("_clean").cast(docs.schema[length].dataType)
+        changed[length] = F.when(F.col("_spans").isNull(), F.col(length)).otherwise(size)
+    found = found.withColumns(changed).select(*docs.columns)
+    return docs.filter(~suspect).union(found)
+
+
+def _hint(rules: tuple[Rule, ...]) -> str:
+    return "|".join(HINTS.get(r.name, r.pattern) for r in rules)
+
+
 def joined(spans: Column) -> Column:
     """Spans as ``rule:start:end``, joined by commas."""
     texts = F.transform(
@@ -198,11 +231,13 @@ def joined(spans: Column) -> Column:
 
 
 def redact(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by ``[rule]``; spans that overlap become one mark."""
+    """The text with every span replaced by ``[rule]``, spans that overlap by the first one's."""
 
     def step(state: Column, s: Column) -> Column:
         inside = s["start"] < state["at"]
-        gap = F.substring(text, state["at"] + 1, s["start"] - state["at"])
+        gap = F.substring(
+            text, (state["at"] + 1).cast("int"), (s["start"] - state["at"]).cast("int")
+        )
         mark = F.concat(state["out"], gap, F.lit("["), s["rule"], F.lit("]"))
         return F.struct(
             F.greatest(state["at"], s["end"]).cast("bigint").alias("at"),
@@ -210,10 +245,10 @@ def redact(text: Column, spans: Column) -> Column:
         )
 
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    rest = F.char_length(text).cast("bigint")
+    rest = F.char_length(text)
     return F.aggregate(
         spans,
         start,
         step,
-        lambda end: F.concat(end["out"], F.substring(text, end["at"] + 1, rest - end["at"])),
+        lambda end: F.concat(end["out"], F.substring(text, (end["at"] + 1).cast("int"), rest)),
     )
