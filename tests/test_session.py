@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from topictally.session import scratch_folder, shared_folder, use_utc
+from topictally.functions.windows import instant
+from topictally.session import scratch_folder, shared_folder
 
 
 class Settings(dict):
@@ -24,7 +25,13 @@ def test_a_cluster_without_a_shared_folder_is_refused():
         shared_folder(Settings({"spark.master": "yarn"}))
 
 
-def test_zone_less_timestamps_are_utc(spark):
-    use_utc(spark)
-    millis = F.unix_millis(F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").cast("timestamp"))
-    assert spark.range(1).select(millis).first()[0] == 1_704_067_200_000
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tehran", "Europe/Berlin"])
+def test_zone_less_timestamps_are_utc(spark, zone):
+    times = spark.sql("SELECT timestamp_ntz'2024-03-31 02:30:00.5' AS t UNION ALL SELECT NULL")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = times.select(F.unix_millis(instant(times, "t")).alias("m")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert {r["m"] for r in got} == {1_711_852_200_500, None}

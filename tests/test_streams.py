@@ -372,7 +372,8 @@ def test_last_n_keeps_large_numbers_and_nulls(spark, run, file_topic):
     reader = spark.readStream.schema("key bigint, offset bigint, v bigint").option("maxFilesPerTrigger", 1)
     out = run(last_n_stream(reader.parquet(str(topic.folder)), "key", "offset", 2).writeStream.foreachBatch(run.sink))
     got = rows_of(latest(out, "key", "last"), "key", "offset", "v", "rank")
-    assert got == sorted([(big, 1, None, 1), (big, None, 1, 2), (big + 1, 1, big + 1, 1)], key=repr)
+    expected = [(big, 1, None, 1), (big, None, 1, 2), (big + 1, 1, big + 1, 1), (None, 5, 1, 1)]
+    assert got == sorted(expected, key=repr)
     for n, order in ((0, "offset"), (1, "missing")):
         with pytest.raises(ValueError):
             last_n_stream(reader.parquet(str(topic.folder)), "key", order, n)
@@ -402,11 +403,17 @@ def test_two_jobs_cannot_share_a_name_or_folder(spark, tmp_path, file_topic):
 def test_a_job_for_some_seconds_prints_updates(spark, tmp_path, file_topic):
     topic = file_topic(SCHEMA)
     topic.add(minutes([(0, "a"), (0, "a")]))
-    writer = print_table(count_by_key(rekey(stream(spark, topic))))
+    place = str(tmp_path / "printed")
+
+    def show(text):
+        with open(place, "a") as file:
+            file.write(text + "\n")
+
+    writer = print_table(count_by_key(rekey(stream(spark, topic))), show=show)
     query = Job(spark, "printed", str(tmp_path / "c")).run(writer, seconds=8)
     assert not query.isActive
-    first = query.recentProgress[0]
-    assert first.numInputRows == 2 and "Console" in first.sink.description
+    assert query.recentProgress[0].numInputRows == 2
+    assert Path(place).read_text().splitlines() == ['{"key":"a","count":2}']
 
 
 def test_checkpoint_folder_is_below_the_shared_one(spark):

@@ -1,5 +1,6 @@
 import struct
 from datetime import datetime, timezone
+from pathlib import Path
 
 import pytest
 from conftest import rows_of
@@ -154,6 +155,31 @@ def test_avro_needs_its_package(spark):
         decode_avro(df, '"string"', header_bytes=5).collect()
 
 
-def test_print_table(spark, capfd):
-    assert print_table(spark.createDataFrame([("a", 1)], "key string, count bigint")) is None
-    assert "|a  |1    |" in capfd.readouterr().out
+def test_print_table_prints_every_row(spark, tmp_path):
+    place = str(tmp_path / "printed")
+
+    def show(text):
+        with open(place, "a") as file:
+            file.write(text + "\n")
+
+    df = spark.range(100).withColumn("key", F.lit(None).cast("string")).repartition(3)
+    assert print_table(df, show=show) is None
+    printed = Path(place).read_text().splitlines()
+    assert sorted(printed) == sorted(f'{{"id":{i},"key":null}}' for i in range(100))
+
+
+def test_broken_messages_of_a_topic(spark, tmp_path):
+    settings = TopicSettings(root=str(tmp_path), encoded=True)
+    messages = spark.createDataFrame([(str(i), t[0]) for i, t in enumerate(BAD_JSON)], "key string, value string")
+    write_topic(messages, "m", settings)
+
+    def read(**how):
+        rows = read_topic(spark, "m", settings, "string", "message string", **how)
+        return sorted(((r["key"], r["value"] and r["value"]["message"]) for r in rows.collect()), key=repr)
+
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        read()
+    assert read(on_error="null") == [("0", None), ("1", "hi"), ("2", None)]
+    assert read(on_error="drop") == [("1", "hi"), ("2", None)]
+    with pytest.raises(ValueError):
+        read(on_error="skip")

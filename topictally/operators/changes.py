@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from topictally.functions.durations import interval
-from topictally.functions.windows import window_from
+from topictally.functions.windows import instant, window_from
 from topictally.operators.counts import drop_null_key, key_columns
 
 # Without a given block size, the offsets are cut into about this many blocks, of at least as many
@@ -20,7 +20,7 @@ def with_window(df: DataFrame, size: int | str | None, time: str) -> DataFrame:
     """Add the tumbling ``window`` column if a size is given."""
     if size is None:
         return df
-    return df.withColumn("window", F.window(time, interval(size)))
+    return df.withColumn("window", F.window(instant(df, time), interval(size)))
 
 
 def block_number(df: DataFrame, order: str, block_rows: int | None) -> Column:
@@ -76,7 +76,7 @@ def changelog(
     group = F.col(fields[0]) if plain else F.struct(*fields)
     parts = {"_key": group, "_block": block_number(df, order[0], block_rows)}
     if size is not None:
-        parts = {"_start": F.window(time, interval(size)).start, **parts}
+        parts = {"_start": F.window(instant(df, time), interval(size)).start, **parts}
     others = [c for c in df.columns if c not in fields]
     rows = rows.select(*(c.alias(n) for n, c in parts.items()), *others)
     cell, keyed = list(parts), [p for p in parts if p != "_block"]

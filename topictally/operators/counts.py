@@ -8,10 +8,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import TimestampNTZType
 
 from topictally.functions.durations import interval, millis
-from topictally.functions.windows import window_from
+from topictally.functions.windows import window_from, with_instant
 
 # Hopping windows put each record in size/advance windows. From this overlap on, batch input is
 # counted per advance-sized pane first, and only the pane counts are copied to their windows.
@@ -72,8 +71,7 @@ def windowed_count(
     if not 0 < advance_ms <= size_ms:
         raise ValueError(f"advance must be above 0 and at most the size, got {advance!r}")
     rows = drop_null_key(df, key, keep_null_key)
-    if isinstance(df.schema[time].dataType, TimestampNTZType):
-        rows = rows.withColumn(time, F.col(time).cast("timestamp"))
+    rows = with_instant(rows, time)
     window = F.window(time, interval(size_ms), interval(advance_ms))
     if df.isStreaming:
         if delay is not None:

@@ -6,6 +6,8 @@ the ``run_*`` functions read, plan and write.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -111,8 +113,9 @@ def top_pages_text(
 
 
 def _run_counts(
-    counts: DataFrame, job: Job, topic: str, sink: TopicSettings, print_updates: bool, run: dict
+    counts: DataFrame, job: Job, topic: str, sink: TopicSettings, print_updates: bool | Callable[[str], None], run: dict
 ) -> StreamingQuery | None:
+    show = print_updates if callable(print_updates) else print
     if counts.isStreaming and print_updates:
         write = batch_writer(topic, sink, "key", "count")
 
@@ -120,14 +123,14 @@ def _run_counts(
             # Used twice, and the counts' state is to be updated once.
             changed.persist()
             try:
-                print_table(changed)
+                print_table(changed, show=show)
                 write(changed, batch_id)
             finally:
                 changed.unpersist()
 
         return job.run(counts.writeStream.outputMode("update").foreachBatch(print_and_write), **run)
     if print_updates:
-        print_table(counts)
+        print_table(counts, show=show)
     mode = "update" if counts.isStreaming else "overwrite"
     return write_topic(counts, topic, sink, "key", "count", mode=mode, job=job, **run)
 
@@ -140,11 +143,16 @@ def run_word_count(
     topic: str = MESSAGES_TOPIC,
     output: str = WORD_COUNTS_TOPIC,
     streaming: bool = True,
-    print_updates: bool = False,
+    print_updates: bool | Callable[[str], None] = False,
+    on_error: str = "fail",
     **run,
 ) -> StreamingQuery | None:
-    """JOB-1: messages to word counts. ``run`` goes to ``Job.run``, as in all runs."""
-    messages = read_topic(spark, topic, source, "string", MESSAGE, streaming)
+    """JOB-1: messages to word counts. ``run`` goes to ``Job.run``, as in all runs.
+
+    ``on_error`` says what a broken message does, see ``read_topic``; ``print_updates`` may be the
+    function that prints a row.
+    """
+    messages = read_topic(spark, topic, source, "string", MESSAGE, streaming, on_error)
     return _run_counts(word_count(messages), job, output, sink, print_updates, run)
 
 
@@ -156,7 +164,7 @@ def run_region_count(
     topic: str = REGIONS_TOPIC,
     output: str = REGION_COUNTS_TOPIC,
     streaming: bool = True,
-    print_updates: bool = False,
+    print_updates: bool | Callable[[str], None] = False,
     **run,
 ) -> StreamingQuery | None:
     """JOB-2: region records to region counts."""
@@ -212,21 +220,25 @@ def run_top_pages(
     topic: str = PAGE_VIEWS_TOPIC,
     output: str = TOP_PAGES_TOPIC,
     streaming: bool = True,
-    emit: str = "final",
+    emit: str = "update",
     n: int = TOP_PAGES,
     size: int | str = ARTICLE_WINDOW,
     descending: bool = True,
     avro_schema: str | None = None,
     avro_header_bytes: int = 0,
+    on_error: str = "fail",
     **run,
 ) -> StreamingQuery | None:
     """JOB-4 and JOB-5: page views to the top pages per window and industry, as text.
 
+    A stream gives the newest text of each window and industry that changed, per micro-batch, or
+    with ``emit="final"`` one text once a window has closed. ``on_error`` is as in ``read_topic``.
+
     Views are JSON records, or with ``avro_schema`` (JSON text) Avro records after
     ``avro_header_bytes`` of other content.
     """
     scan = read_topic(
-        spark, topic, source, "binary", "binary" if avro_schema else PAGE_VIEW, streaming
+        spark, topic, source, "binary", "binary" if avro_schema else PAGE_VIEW, streaming, on_error
     )
     if avro_schema:
         scan = decode_avro(scan, avro_schema, header_bytes=avro_header_bytes)

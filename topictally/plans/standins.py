@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from topictally.operators.counts import count_by_key
-from topictally.session import use_utc
+from topictally.functions.windows import instant
 
 EVENTS = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
@@ -17,7 +17,6 @@ EVENTS = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    use_utc(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -25,7 +24,6 @@ def events_stream(
     spark: SparkSession, sf_dir: str, files_per_batch: int | None = None
 ) -> DataFrame:
     """The table ``events`` as a stream, be it one file or a folder of files."""
-    use_utc(spark)
     reader = spark.readStream.schema(EVENTS)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -47,7 +45,7 @@ def region_records(events: DataFrame) -> DataFrame:
         F.col("event_id").alias("key"),
         F.col("event_type").alias("value"),
         F.col("event_id").alias("offset"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        instant(events, "ts").alias("timestamp"),
     )
 
 
@@ -76,5 +74,5 @@ def page_views(events: DataFrame) -> DataFrame:
         F.concat(F.lit("page-"), (F.col("user_id") % 20).cast("string")).alias("page"),
         F.col("event_type").alias("industry"),
         F.when(score < 50, F.lit("ART")).otherwise(F.lit("AD")).alias("flags"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        instant(events, "ts").alias("timestamp"),
     )

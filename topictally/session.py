@@ -29,11 +29,6 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> None:
-    """Windows are aligned to the UTC epoch; zone-less timestamps are read as UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 

@@ -22,8 +22,11 @@ def as_type(value: DataType | str) -> DataType:
     return DataType.fromDDL(value) if isinstance(value, str) else value
 
 
-def decode_column(column: Column, data_type: DataType | str) -> Column:
-    """Bytes of a topic as a typed column: UTF-8 text, 8-byte big-endian long, or JSON record."""
+def decode_column(column: Column, data_type: DataType | str, on_error: str = "fail") -> Column:
+    """Bytes of a topic as a typed column: UTF-8 text, 8-byte big-endian long, or JSON record.
+
+    A broken JSON record ends the query (``on_error="fail"``) or gives null fields (``"null"``).
+    """
     data_type = as_type(data_type)
     if isinstance(data_type, BinaryType):
         return column
@@ -33,7 +36,8 @@ def decode_column(column: Column, data_type: DataType | str) -> Column:
         # A negative target base makes conv read the 16 hex digits as a signed number.
         return F.conv(F.hex(column), 16, -10).cast("bigint")
     if isinstance(data_type, StructType):
-        return F.from_json(column.cast("string"), data_type)
+        mode = {"fail": "FAILFAST", "null": "PERMISSIVE"}[on_error]
+        return F.from_json(column.cast("string"), data_type, {"mode": mode})
     raise ValueError(f"no topic encoding for {data_type.simpleString()}")
 
 

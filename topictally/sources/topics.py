@@ -17,7 +17,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from topictally.sources.codecs import as_type, decode_column
+from topictally.sources.codecs import as_type, decode_column, decode_json
 
 # The columns of a topic besides key and value.
 ENVELOPE = {
@@ -79,13 +79,19 @@ def read_topic(
     key_type: DataType | str | None = None,
     value_type: DataType | str | None = None,
     streaming: bool = False,
+    on_error: str = "fail",
 ) -> DataFrame:
     """Scan a topic as key, value, topic, partition, offset, timestamp with typed key and value.
 
     Without stored progress a stream starts at ``settings.starting``; with a checkpoint it goes
     on where it stopped. File topics are always read from their first file. Envelope columns a
     file topic does not store are null.
+
+    ``on_error`` says what a value that is no JSON record does, as in ``decode_json``: it ends the
+    query (``"fail"``), gives null fields (``"null"``), or is left out (``"drop"``).
     """
+    if on_error not in ("fail", "null", "drop"):
+        raise ValueError(f"on_error must be null, fail or drop, not {on_error!r}")
     key_type = as_type(key_type or settings.key_type)
     value_type = as_type(value_type or settings.value_type)
     reader = spark.readStream if streaming else spark.read
@@ -99,8 +105,12 @@ def read_topic(
         raw = reader.options(**settings.options).load(settings.path(topic))
     if not (settings.is_kafka or settings.encoded):
         return raw
+    if on_error == "drop" and isinstance(value_type, StructType):
+        decoded = decode_json(raw.withColumn("value", F.col("value").cast("string")), value_type, on_error=on_error)
+        return decoded.select(decode_column(F.col("key"), key_type).alias("key"), "value", *ENVELOPE)
+    errors = "null" if on_error == "drop" else on_error
     return raw.select(
-        decode_column(F.col("key"), key_type).alias("key"),
-        decode_column(F.col("value"), value_type).alias("value"),
+        decode_column(F.col("key"), key_type, errors).alias("key"),
+        decode_column(F.col("value"), value_type, errors).alias("value"),
         *ENVELOPE,
     )

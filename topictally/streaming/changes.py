@@ -9,6 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import LongType, StructField, StructType
 
 from topictally.functions.durations import millis
+from topictally.functions.windows import with_instant
 from topictally.operators.changes import changelog, with_window
 from topictally.operators.counts import drop_null_key, key_columns
 from topictally.sources.sinks import BatchSink
@@ -26,6 +27,7 @@ def stream_changelog(
     time: str = "timestamp",
     block_rows: int | None = None,
     hold: bool = False,
+    keep_null_key: bool = False,
     name: str = "count",
 ) -> DataStreamWriter:
     """One row per record of a stream with its key's count so far, passed on to ``sink``.
@@ -53,7 +55,7 @@ def stream_changelog(
 
     def number_batch(batch: DataFrame, batch_id: int) -> None:
         carried = state.read(batch.sparkSession, batch_id)
-        rows = drop_null_key(batch, key, keep_null_key=False)
+        rows = drop_null_key(with_instant(batch, time) if size is not None else batch, key, keep_null_key)
         open_windows = F.lit(True)
         if size is not None:
             latest = carried.agg(F.max("_latest")).first()[0]
@@ -62,7 +64,9 @@ def stream_changelog(
                 open_windows = F.unix_micros(F.col("window.end")) > closed_until
                 rows = with_window(rows, size, time).filter(open_windows).drop("window")
         past = carried.select(*fields, "_carried")
-        changes = changelog(rows, key, order, size, time, block_rows, carried=past, name=name)
+        changes = changelog(
+            rows, key, order, size, time, block_rows, keep_null_key, carried=past, name=name
+        )
         sink(changes, batch_id)
         seen = F.lit(None).cast("bigint") if size is None else F.max(F.unix_micros(time))
         counted = with_window(rows, size, time).groupBy(*fields).agg(

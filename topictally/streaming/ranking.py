@@ -100,7 +100,7 @@ def top_n_stream(
         return live.writeStream.outputMode("append").foreachBatch(sink)
     if emit == "update" and state_dir is None:
         raise ValueError("the highest items of open windows need a state_dir")
-    rows = df.filter(F.col(item).isNotNull()).withColumn(item, F.col(item).cast("string"))
+    rows = df.withColumn(item, F.col(item).cast("string"))
     counts = windowed_count(rows, [*by, item], size, delay=delay, time=time)
     if emit == "update":
         spans = millis(size), millis(delay)
@@ -235,7 +235,7 @@ def last_n_stream(
     keyed = schema_with(df, by, "version bigint")
     out = StructType([*keyed, StructField("last", ArrayType(ranked))])
     row_ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in row_schema)
-    rows = last_in_task(df.filter(F.col(by[0]).isNotNull()) if len(by) == 1 else df, by, order, n)
+    rows = last_in_task(df, by, order, n)
     processor = _LastRows(by, fields, order, n, row_ddl)
     return rows.groupBy(*by).transformWithState(processor, out, "Append", "None")
 

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 from topictally.functions.durations import interval, millis
+from topictally.functions.windows import instant
 from topictally.operators.counts import key_columns
 from topictally.streaming.tasks import combine_in_task
 
@@ -193,10 +194,10 @@ def updating_aggregate(
     by = key_columns(by)
     timed = size is not None
     value = F.lit(1) if increment is None else F.col(increment)
-    rows = df.filter(F.col(item).isNotNull())
+    rows = df
     window_fields = []
     if timed:
-        bounds = F.window(time, interval(size))
+        bounds = F.window(instant(df, time), interval(size))
         rows = rows.withColumn("_window", bounds)
         window_fields = [
             F.unix_millis("_window.start").alias("window_start_ms"),
