@@ -9,7 +9,9 @@ from collections.abc import Callable
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
+from topictally.functions.windows import instant
 from topictally.functions import is_article, lines, lower_words, split_words, start_millis
 from topictally.operators import (
     changelog,
@@ -28,12 +30,15 @@ from topictally.operators import (
 from topictally.plans import jobs
 from topictally.plans.folds import ItemTotals, PageSpread
 from topictally.plans.standins import (
+    EVENTS,
+    SLICES,
     chat_messages,
     events_stream,
     order_regions,
     page_views,
     region_records,
     table,
+    time_slices,
 )
 from topictally.session import scratch_folder
 from topictally.sources import (
@@ -286,15 +291,67 @@ def stream_region_count(spark, sf_dir):
     return _newest_batch(out)
 
 
+def _run_in_slices(spark, sf_dir, name, writer_of, late=False) -> DataFrame:
+    """Like ``_run``, but the events arrive in parts, and the job is stopped and started between."""
+    settings = _scratch(spark, name)
+    job = _job(spark, settings, name)
+    arrived = f"{settings.root}/events"
+    for part in time_slices(table(spark, sf_dir, "events"), late):
+        part.write.mode("append").parquet(arrived)
+        events = spark.readStream.schema(EVENTS).parquet(arrived)
+        sink = batch_writer("out", settings, key=None)
+        job.run(writer_of(events, sink, job), available_now=True)
+    return spark.read.parquet(settings.path("out"))
+
+
+def _newest(out: DataFrame, by: list[str], value: str = "count") -> DataFrame:
+    """The last update of each key."""
+    return out.groupBy(*by).agg(F.max_by(value, "batch").alias(value))
+
+
+def _updates(counts: DataFrame, sink) -> DataStreamWriter:
+    return counts.writeStream.outputMode("update").foreachBatch(sink)
+
+
 def stream_region_updates(spark, sf_dir):
     """Update mode: each key's last update is its count."""
-    counts = jobs.region_count(region_records(events_stream(spark, sf_dir)))
-    out = _run(
+    out = _run_in_slices(
         spark,
+        sf_dir,
         "region-updates",
-        lambda sink, job: counts.writeStream.outputMode("update").foreachBatch(sink),
+        lambda events, sink, job: _updates(jobs.region_count(region_records(events)), sink),
+    )
+    return _newest(out, ["key"])
+
+
+def _windowed_updates(spark, sf_dir, late=False, **settings) -> DataFrame:
+    out = _run_in_slices(
+        spark,
+        sf_dir,
+        "windowed-updates",
+        lambda events, sink, job: _updates(
+            windowed_count(rekey(region_records(events)), **settings), sink
+        ),
+        late,
     )
-    return out.groupBy("key").agg(F.max_by("count", "batch").alias("count"))
+    return _window_to_millis(_newest(out, ["window", "key"]), "key", "count")
+
+
+def stream_windowed_updates(spark, sf_dir):
+    """Every window, closed or not."""
+    return _windowed_updates(spark, sf_dir)
+
+
+def stream_hopping_updates(spark, sf_dir):
+    return _windowed_updates(spark, sf_dir, size="2 hours", advance="1 hour")
+
+
+def stream_late_records(spark, sf_dir):
+    """Records late by less than the delay are counted, later ones are not."""
+    micros = F.unix_micros(instant(table(spark, sf_dir, "events"), "ts"))
+    first, last = table(spark, sf_dir, "events").agg(F.min(micros), F.max(micros)).first()
+    delay = 0 if first is None else (last - first) * 11 // (5 * SLICES * 1000)
+    return _windowed_updates(spark, sf_dir, late=True, size="1 hour", delay=delay)
 
 
 def stream_windowed_count(spark, sf_dir):
@@ -311,31 +368,36 @@ def stream_hopping_count(spark, sf_dir):
 
 
 def stream_changes(spark, sf_dir):
-    regions = rekey(region_records(events_stream(spark, sf_dir)))
-    out = _run(
+    out = _run_in_slices(
         spark,
+        sf_dir,
         "changes",
-        lambda sink, job: stream_changelog(regions, sink, job.state_dir),
+        lambda events, sink, job: stream_changelog(
+            rekey(region_records(events)), sink, job.state_dir
+        ),
     )
     return out.select("offset", "key", "count")
 
 
 def stream_windowed_changes(spark, sf_dir):
-    regions = rekey(region_records(events_stream(spark, sf_dir)))
-    out = _run(
+    out = _run_in_slices(
         spark,
+        sf_dir,
         "windowed-changes",
-        lambda sink, job: stream_changelog(regions, sink, job.state_dir, size="1 day"),
+        lambda events, sink, job: stream_changelog(
+            rekey(region_records(events)), sink, job.state_dir, size="1 day"
+        ),
     )
     return _window_to_millis(out, "offset", "key", "count")
 
 
-def _article_stream(spark, sf_dir):
-    return keep(page_views(events_stream(spark, sf_dir)), is_article())
+def _articles(events):
+    return keep(page_views(events), is_article())
 
 
 def stream_top_pages(spark, sf_dir):
-    views = _article_stream(spark, sf_dir)
+    """Each window once, after it closed."""
+    views = _articles(events_stream(spark, sf_dir))
     out = _run(
         spark,
         "top-pages",
@@ -344,13 +406,13 @@ def stream_top_pages(spark, sf_dir):
     return _window_to_millis(out, "industry", "page", F.col("count").alias("n"), "rank")
 
 
-def _live_pages(spark, sf_dir, descending):
-    views = _article_stream(spark, sf_dir)
-    out = _run(
+def _live_pages(spark, sf_dir, descending, views_of=_articles):
+    out = _run_in_slices(
         spark,
+        sf_dir,
         "live-pages",
-        lambda sink, job: top_n_stream(
-            views,
+        lambda events, sink, job: top_n_stream(
+            views_of(events),
             "industry",
             "page",
             sink,
@@ -380,21 +442,194 @@ def stream_bottom_pages_live(spark, sf_dir):
 
 
 def stream_table_fold(spark, sf_dir):
-    """Pages and views per industry over the updating table of counts."""
-    views = _article_stream(spark, sf_dir)
-    table_rows = updating_aggregate(views, "industry", "page", ItemTotals())
-    out = _run(spark, "table-fold", lambda sink, job: table_rows.writeStream.foreachBatch(sink))
+    """Pages and views per industry over the updating table of counts.
+
+    A page's count changes from part to part, so its old row is removed and a new one added.
+    """
+    out = _run_in_slices(
+        spark,
+        sf_dir,
+        "table-fold",
+        lambda events, sink, job: updating_aggregate(
+            _articles(events), "industry", "page", ItemTotals()
+        ).writeStream.foreachBatch(sink),
+    )
     newest = F.max_by(F.struct("items", "total"), "version").alias("newest")
     return out.groupBy("industry").agg(newest).select("industry", "newest.*")
 
 
+def _last_rows(events):
+    return events.select("user_id", "event_id", "event_type", "value")
+
+
 def stream_last_events(spark, sf_dir):
-    rows = events_stream(spark, sf_dir).select("user_id", "event_id", "event_type", "value")
-    last = last_n_stream(rows, "user_id", "event_id", 5)
-    out = _run(spark, "last-events", lambda sink, job: last.writeStream.foreachBatch(sink))
+    out = _run_in_slices(
+        spark,
+        sf_dir,
+        "last-events",
+        lambda events, sink, job: last_n_stream(
+            _last_rows(events), "user_id", "event_id", 5
+        ).writeStream.foreachBatch(sink),
+    )
     return latest(out, "user_id", "last")
 
 
+# Rows without a page or a key, and broken messages
+
+
+def _views_without_pages(events):
+    views = _articles(events)
+    return views.withColumn("page", F.when(F.col("page") != "page-3", F.col("page")))
+
+
+def null_pages(spark, sf_dir):
+    """Views without a page are one item like others."""
+    views = page_views(_events(spark, sf_dir))
+    views = views.withColumn("page", F.when(F.col("page") != "page-3", F.col("page")))
+    ranked = jobs.top_pages(views, 3, "1 day")
+    return _window_to_millis(ranked, "industry", "page", "n", "rank")
+
+
+def stream_null_pages(spark, sf_dir):
+    return _live_pages(spark, sf_dir, True, _views_without_pages)
+
+
+def _rows_without_keys(events):
+    user = F.when(F.col("user_id") % 10 != 0, F.col("user_id")).alias("user_id")
+    return events.select(user, "event_id", "event_type")
+
+
+def null_keys(spark, sf_dir):
+    """Rows without a key are one group like others."""
+    return last_n(_rows_without_keys(_events(spark, sf_dir)), "user_id", "event_id", 5)
+
+
+def stream_null_keys(spark, sf_dir):
+    out = _run_in_slices(
+        spark,
+        sf_dir,
+        "null-keys",
+        lambda events, sink, job: last_n_stream(
+            _rows_without_keys(events), "user_id", "event_id", 5
+        ).writeStream.foreachBatch(sink),
+    )
+    return latest(out, "user_id", "last")
+
+
+def _broken_messages(spark, sf_dir, settings):
+    """Chat messages as JSON, every seventh turn broken off."""
+    messages = table(spark, sf_dir, "conversations")
+    text = F.to_json(F.struct(F.col("text").alias("message")))
+    broken = F.pmod(F.col("conv_id") + F.col("turn"), F.lit(7)) == 0
+    value = F.when(broken, F.substring(text, 1, 12)).otherwise(text)
+    records = messages.select(F.col("conv_id").cast("string").alias("key"), value.alias("value"))
+    write_topic(records, jobs.MESSAGES_TOPIC, settings, mode="overwrite")
+
+
+def broken_messages(spark, sf_dir):
+    """The word count job over messages of which some are broken and left out by name."""
+    settings = _scratch(spark, "broken", encoded=True)
+    _broken_messages(spark, sf_dir, settings)
+    sink = TopicSettings(root=settings.root)
+    job = _job(spark, settings, "broken")
+    jobs.run_word_count(spark, settings, sink, job, streaming=False, on_error="drop")
+    counts = read_topic(spark, jobs.WORD_COUNTS_TOPIC, sink, "string", "bigint")
+    return counts.select("key", F.col("value").alias("count"))
+
+
+def stream_broken_messages(spark, sf_dir):
+    settings = _scratch(spark, "stream-broken", encoded=True)
+    _broken_messages(spark, sf_dir, settings)
+    sink = TopicSettings(root=settings.root)
+    job = _job(spark, settings, "stream-broken")
+    jobs.run_word_count(spark, settings, sink, job, on_error="null", available_now=True)
+    counts = spark.read.parquet(sink.path(jobs.WORD_COUNTS_TOPIC))
+    return _newest(counts, ["key"], "value").select("key", F.col("value").alias("count"))
+
+
+# Whole jobs, from topic to topic, stopped and started while records arrive
+
+
+def _run_job(spark, sf_dir, name, records_of, topic, output, run, **settings) -> DataFrame:
+    source = _scratch(spark, name, **settings)
+    sink = TopicSettings(root=source.root)
+    job = _job(spark, source, name)
+    for part in time_slices(table(spark, sf_dir, "events")):
+        write_topic(records_of(part), topic, source)
+        run(source, sink, job)
+    return spark.read.parquet(sink.path(output))
+
+
+def region_count_job(spark, sf_dir):
+    out = _run_job(
+        spark,
+        sf_dir,
+        "region-count-job",
+        region_records,
+        jobs.REGIONS_TOPIC,
+        jobs.REGION_COUNTS_TOPIC,
+        lambda *places: jobs.run_region_count(spark, *places, available_now=True),
+        encoded=True,
+    )
+    return _newest(out, ["key"], "value").select("key", F.col("value").alias("count"))
+
+
+def _windowed_job(spark, sf_dir, per_record):
+    return _run_job(
+        spark,
+        sf_dir,
+        "windowed-job",
+        lambda events: region_records(events).withColumn("partition", F.lit(0)),
+        jobs.REGIONS_TOPIC,
+        jobs.WINDOWED_COUNTS_TOPIC,
+        lambda *places: jobs.run_windowed_region_count(
+            spark, *places, per_record=per_record, available_now=True
+        ),
+        encoded=True,
+    )
+
+
+def windowed_count_job(spark, sf_dir):
+    """One update per count and micro-batch; the last one of each key."""
+    return _newest(_windowed_job(spark, sf_dir, False), ["key"], "value")
+
+
+def windowed_count_job_per_record(spark, sf_dir):
+    """One update per record, all of them."""
+    return _windowed_job(spark, sf_dir, True).select("key", "value")
+
+
+def top_pages_job(spark, sf_dir):
+    out = _run_job(
+        spark,
+        sf_dir,
+        "top-pages-job",
+        lambda events: page_views(events).select(
+            F.lit(None).cast("binary").alias("key"),
+            F.struct("page", "industry", "flags").alias("value"),
+            "timestamp",
+        ),
+        jobs.PAGE_VIEWS_TOPIC,
+        jobs.TOP_PAGES_TOPIC,
+        lambda *places: jobs.run_top_pages(spark, *places, n=3, size="1 day", available_now=True),
+        encoded=True,
+    )
+    return _newest(out, ["key"], "value")
+
+
+def default_types(spark, sf_dir):
+    """A topic read with the settings' own types, once before and once after more records came."""
+    settings = _scratch(spark, "defaults", key_type="bigint", value_type="string", encoded=True)
+    sink = TopicSettings(root=settings.root)
+    job = _job(spark, settings, "defaults")
+    for part in time_slices(table(spark, sf_dir, "events")):
+        write_topic(region_records(part), jobs.REGIONS_TOPIC, settings)
+        records = read_topic(spark, jobs.REGIONS_TOPIC, settings, streaming=True)
+        read = records.select("key", "value")
+        write_topic(read, "copied", sink, job=job, available_now=True)
+    return read_topic(spark, "copied", sink, "bigint", "string").select("key", "value")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: region counts per minute."""
     return region_count_windowed(spark, "/root/testdata/sf0.001")
@@ -447,6 +682,20 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             stream_bottom_pages_live,
             stream_table_fold,
             stream_last_events,
+            stream_windowed_updates,
+            stream_hopping_updates,
+            stream_late_records,
+            null_pages,
+            stream_null_pages,
+            null_keys,
+            stream_null_keys,
+            broken_messages,
+            stream_broken_messages,
+            region_count_job,
+            windowed_count_job,
+            windowed_count_job_per_record,
+            top_pages_job,
+            default_types,
         )
     }
 
@@ -518,6 +767,35 @@ def _closed(start: str, width_ms: int) -> str:
 _DAY_MS = 86_400_000
 
 
+def _null_pages_sql() -> str:
+    views = _PAGE_VIEWS.replace(
+        "'page-' || (user_id % 20) AS page",
+        "CASE WHEN user_id % 20 <> 3 THEN 'page-' || (user_id % 20) END AS page",
+    )
+    return f"""
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY window_start, industry
+            ORDER BY n DESC, page NULLS FIRST) AS rank FROM
+            (SELECT {_start_ms('1 day')} AS window_start, industry, page, count(*) AS n
+             FROM ({views}) WHERE contains(flags, 'ART') GROUP BY ALL))
+        WHERE rank <= 3
+    """
+
+
+# Events of the first fifth of the time that arrive with the last fifth are too late.
+_IN_TIME = """
+    SELECT events.* FROM events, (SELECT min(epoch_us(ts)) AS a, max(epoch_us(ts)) AS b FROM events)
+    WHERE NOT (event_id % 89 = 0 AND (epoch_us(ts) - a) * 5 // (b - a + 1) = 0)
+"""
+
+
+def _json_counts_sql(counts: str) -> str:
+    return f"""
+        SELECT '{{"windowStart":' || start || ',"region":"' || region || '"}}' AS key,
+               '{{"count":' || count || ',"region":"' || region || '"}}' AS value
+        FROM ({counts})
+    """
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB counterparts of ``queries()``."""
     return own_sql() | (llm_queries.oracle_sql() if llm_queries else {})
@@ -543,6 +821,21 @@ def own_sql() -> dict[str, str]:
         "SELECT * FROM (SELECT user_id, event_id, event_type, value, row_number() OVER "
         "(PARTITION BY user_id ORDER BY event_id DESC) AS rank FROM events) WHERE rank <= 5"
     )
+    top_texts = f"""
+        SELECT '{{"windowStart":' || window_start || ',"windowEnd":'
+            || (window_start + {_DAY_MS}) || ',"key":"' || industry || '"}}' AS key, value
+        FROM ({_top_text_sql('1 day', 3)})"""
+    last_of_null = (
+        "SELECT * FROM (SELECT user_id, event_id, event_type, row_number() OVER "
+        "(PARTITION BY user_id ORDER BY event_id DESC) AS rank FROM (SELECT CASE WHEN user_id % 10 "
+        "<> 0 THEN user_id END AS user_id, event_id, event_type FROM events)) WHERE rank <= 5"
+    )
+    whole_messages = _word_count_sql("(SELECT * FROM conversations WHERE (conv_id + turn) % 7 <> 0)")
+    minute_changes = (
+        f"SELECT {_start_ms('1 minute')} AS start, event_type AS region, count(*) OVER (PARTITION BY "
+        "event_type, time_bucket(INTERVAL '1 minute', ts) ORDER BY event_id ROWS UNBOUNDED "
+        "PRECEDING) AS count FROM events"
+    )
     hopping_two = _hopping_sql(2, "region").format(start='"windowStart"')
     stream_hopping = _hopping_sql(2, "key").format(start="window_start")
     return {
@@ -591,14 +884,8 @@ def own_sql() -> dict[str, str]:
                    max(n) AS most
             FROM ({_page_counts_sql('1 day')}) GROUP BY ALL""",
         "json_decode": "SELECT event_id, (props ->> '$.k')::BIGINT AS k FROM events",
-        "region_json_topic": f"""
-            SELECT '{{"windowStart":' || start || ',"region":"' || region || '"}}' AS key,
-                   '{{"count":' || count || ',"region":"' || region || '"}}' AS value
-            FROM ({minute_counts})""",
-        "top_pages_topic": f"""
-            SELECT '{{"windowStart":' || window_start || ',"windowEnd":'
-                || (window_start + {_DAY_MS}) || ',"key":"' || industry || '"}}' AS key, value
-            FROM ({_top_text_sql('1 day', 3)})""",
+        "region_json_topic": _json_counts_sql(minute_counts),
+        "top_pages_topic": top_texts,
         "region_lines": """
             SELECT event_type AS key,
                    event_type || chr(10) || upper(event_type) || chr(10) AS value
@@ -625,4 +912,21 @@ def own_sql() -> dict[str, str]:
                    count(*) AS total
             FROM events WHERE (props ->> '$.k')::INT < 50 GROUP BY ALL""",
         "stream_last_events": last_five,
+        "stream_windowed_updates": f"""
+            SELECT start AS window_start, region AS key, count FROM ({minute_counts})""",
+        "stream_hopping_updates": stream_hopping,
+        "stream_late_records": f"""
+            SELECT {_start_ms('1 hour')} AS window_start, event_type AS key, count(*) AS count
+            FROM ({_IN_TIME}) GROUP BY ALL""",
+        "null_pages": _null_pages_sql(),
+        "stream_null_pages": _null_pages_sql(),
+        "null_keys": last_of_null,
+        "stream_null_keys": last_of_null,
+        "broken_messages": whole_messages,
+        "stream_broken_messages": whole_messages,
+        "region_count_job": type_counts,
+        "windowed_count_job": _json_counts_sql(minute_counts),
+        "windowed_count_job_per_record": _json_counts_sql(minute_changes),
+        "top_pages_job": top_texts,
+        "default_types": "SELECT event_id AS key, event_type AS value FROM events",
     }

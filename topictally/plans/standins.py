@@ -5,11 +5,14 @@ Each takes a table (batch or streaming) and returns rows with the topic columns
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from topictally.operators.counts import count_by_key
 from topictally.functions.windows import instant
 
+from topictally.operators.counts import count_by_key
+
 EVENTS = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
     "props string"
@@ -20,15 +23,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def events_stream(
-    spark: SparkSession, sf_dir: str, files_per_batch: int | None = None
-) -> DataFrame:
+def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table ``events`` as a stream, be it one file or a folder of files."""
-    reader = spark.readStream.schema(EVENTS)
-    if files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     # A stream reads a single file only if its path is a pattern.
-    return reader.parquet(f"{sf_dir}/{{events.parquet}}")
+    return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/{{events.parquet}}")
+
+
+SLICES = 5
+
+
+def time_slices(events: DataFrame, late: bool = False) -> Iterator[DataFrame]:
+    """The events in ``SLICES`` parts of equal time, as they would arrive one after the other.
+
+    With ``late`` every 97th event comes one part after its time, and every 89th event of the first
+    part comes in the last one.
+    """
+    micros = F.unix_micros(instant(events, "ts"))
+    first, last = events.agg(F.min(micros), F.max(micros)).first()
+    if first is None:
+        return
+    place = F.call_function("div", (micros - first) * SLICES, F.lit(last - first + 1).cast("bigint"))
+    if late:
+        delayed = F.least(place + 1, F.lit(SLICES - 1))
+        by_one = F.when(F.col("event_id") % 97 == 0, delayed).otherwise(place)
+        place = F.when((F.col("event_id") % 89 == 0) & (place == 0), SLICES - 1).otherwise(by_one)
+    placed = events.withColumn("_place", place)
+    for i in range(SLICES):
+        yield placed.filter(F.col("_place") == i).drop("_place")
 
 
 def chat_messages(conversations: DataFrame) -> DataFrame:
