@@ -28,7 +28,7 @@ from topictally.operators import (
     windowed_count,
 )
 from topictally.plans import jobs
-from topictally.plans.folds import ItemTotals, PageSpread
+from topictally.plans.folds import ItemTotals, ViewDivisor
 from topictally.plans.standins import (
     EVENTS,
     SLICES,
@@ -203,9 +203,16 @@ def regroup_aggregate(spark, sf_dir):
 
 
 def fold_pages(spark, sf_dir):
-    """The same regrouping with an aggregate of one's own."""
+    """The same regrouping with an aggregate that Spark lacks."""
     counts = flatten_window(jobs.page_counts(_views(spark, sf_dir), "1 day"), "window_start")
-    return fold(counts, ["window_start", "industry"], PageSpread())
+    return fold(counts, ["window_start", "industry"], ViewDivisor())
+
+
+def page_spread(spark, sf_dir):
+    """The same regrouping with several built-in aggregates."""
+    counts = flatten_window(jobs.page_counts(_views(spark, sf_dir), "1 day"), "window_start")
+    views = F.sum("n").alias("views"), F.max("n").alias("most")
+    return counts.groupBy("window_start", "industry").agg(F.count(F.lit(1)).alias("pages"), *views)
 
 
 # Topics
@@ -665,6 +672,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             last_events,
             regroup_aggregate,
             fold_pages,
+            page_spread,
             json_decode,
             region_json_topic,
             top_pages_topic,
@@ -880,6 +888,10 @@ def own_sql() -> dict[str, str]:
                    sum(n)::BIGINT AS views
             FROM ({_page_counts_sql('1 day')}) GROUP BY ALL""",
         "fold_pages": f"""
+            SELECT window_start, industry, count(*) AS pages,
+                   list_reduce(list(n), lambda a, b: gcd(a, b)) AS divisor
+            FROM ({_page_counts_sql('1 day')}) GROUP BY ALL""",
+        "page_spread": f"""
             SELECT window_start, industry, count(*) AS pages, sum(n)::BIGINT AS views,
                    max(n) AS most
             FROM ({_page_counts_sql('1 day')}) GROUP BY ALL""",

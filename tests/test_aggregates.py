@@ -1,5 +1,7 @@
 from collections import defaultdict
 
+import numpy as np
+import pandas as pd
 import pytest
 from conftest import rows_of
 
@@ -10,26 +12,19 @@ class Span(Fold):
     state = "rows bigint, low bigint, high bigint"
     result = "rows bigint, span bigint"
 
-    def zero(self):
-        return {"rows": 0, "low": None, "high": None}
+    def start(self, rows):
+        return pd.DataFrame({"rows": 1, "low": rows["n"], "high": rows["n"]})
 
-    def add(self, state, rows):
-        part = {"rows": len(rows), "low": rows["n"].min(), "high": rows["n"].max()}
-        return part if not state["rows"] else self.merge(state, part)
+    def merge(self, states, firsts):
+        reduced = zip(states.columns, (np.add, np.minimum, np.maximum))
+        return pd.DataFrame({c: f.reduceat(states[c].to_numpy(), firsts) for c, f in reduced})
 
-    def merge(self, left, right):
-        return {
-            "rows": left["rows"] + right["rows"],
-            "low": min(left["low"], right["low"]),
-            "high": max(left["high"], right["high"]),
-        }
+    def finish(self, states):
+        return pd.DataFrame({"rows": states["rows"], "span": states["high"] - states["low"]})
 
-    def finish(self, state):
-        return {"rows": state["rows"], "span": state["high"] - state["low"]}
 
-
-@pytest.mark.parametrize("held_groups", [1, 2, 1000])
-def test_fold_against_brute_force(spark, held_groups):
+@pytest.mark.parametrize("held_rows", [1, 2, 1000])
+def test_fold_against_brute_force(spark, held_rows):
     # Keys that a float could not tell apart, and a null key.
     keys = [2**53, 2**53 + 1, None, 7]
     rows = [(keys[i % 7 % 4], i * i) for i in range(200)]
@@ -37,7 +32,7 @@ def test_fold_against_brute_force(spark, held_groups):
     for key, n in rows:
         groups[key].append(n)
     df = spark.createDataFrame(rows, "key bigint, n bigint").repartition(5)
-    got = {r.key: (r.rows, r.span) for r in fold(df, "key", Span(), held_groups).collect()}
+    got = {r.key: (r.rows, r.span) for r in fold(df, "key", Span(), held_rows).collect()}
     assert got == {k: (len(v), max(v) - min(v)) for k, v in groups.items()}
 
 

@@ -13,7 +13,7 @@ from topictally.operators import count_by_key, last_n, rekey, windowed_count
 from topictally.plans.folds import ItemTotals
 from topictally.session import shared_folder
 from topictally.sources import TopicSettings, batch_writer, print_table, read_topic, write_topic
-from topictally.streaming.tasks import combine_in_task
+from topictally.operators.tasks import combine_in_task
 from topictally.streaming import (
     Job,
     TopFold,

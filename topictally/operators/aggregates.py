@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from functools import reduce
-from typing import Any
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -14,93 +12,76 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from topictally.operators.counts import key_columns
+from topictally.operators.tasks import combine_in_task
 
-MERGE_PARTS = 64
-HELD_GROUPS = 10_000
+HELD_ROWS = 100_000
 
 
 class Fold:
-    """An aggregate as start value, addition, merge and result.
+    """An aggregate over columns of many groups at once: start, merge and result.
 
-    The state is a dict with the fields of ``state``, the result one with those of ``result``
-    (both DDL text). ``merge`` must not depend on the order of its parts.
+    A row's state has the fields of ``state``, a group's result those of ``result`` (both DDL text).
+    ``merge`` must not depend on the order of a group's states.
     """
 
     state: str
     result: str
 
-    def zero(self) -> dict[str, Any]:
+    def start(self, rows: pd.DataFrame) -> pd.DataFrame:
+        """The state of each row on its own."""
         raise NotImplementedError
 
-    def add(self, state: dict[str, Any], rows: pd.DataFrame) -> dict[str, Any]:
-        """Take in some rows of a group, as many as are at hand."""
+    def merge(self, states: pd.DataFrame, firsts: np.ndarray) -> pd.DataFrame:
+        """One state per group; a group's states lie together, the first ones at ``firsts``."""
         raise NotImplementedError
 
-    def merge(self, left: dict[str, Any], right: dict[str, Any]) -> dict[str, Any]:
-        raise NotImplementedError
-
-    def finish(self, state: dict[str, Any]) -> dict[str, Any]:
-        return state
-
-
-def _rows_by_group(batch: pa.RecordBatch, by: list[str]) -> Iterator[tuple[tuple, np.ndarray]]:
-    """Each group's values and the places of its rows; null is a value like any other."""
-    # Arrow-backed columns keep nulls and large whole numbers as they are.
-    keys = pa.Table.from_batches([batch]).select(by).to_pandas(types_mapper=pd.ArrowDtype)
-    codes = keys.groupby(by, dropna=False, sort=False).ngroup().to_numpy()
-    sorted_places = np.argsort(codes, kind="stable")
-    starts = np.flatnonzero(np.diff(codes[sorted_places])) + 1
-    for places in np.split(sorted_places, starts):
-        if len(places):
-            yield tuple(batch.column(c)[int(places[0])].as_py() for c in by), places
+    def finish(self, states: pd.DataFrame) -> pd.DataFrame:
+        """The result of each group from its one state."""
+        return states
 
 
 def fold(
-    df: DataFrame, by: str | Sequence[str], aggregate: Fold, held_groups: int = HELD_GROUPS
+    df: DataFrame, by: str | Sequence[str], aggregate: Fold, held_rows: int = HELD_ROWS
 ) -> DataFrame:
     """Aggregate each group with ``aggregate``; only state rows are shuffled.
 
-    Each task folds its own rows batch by batch and passes on its states once ``held_groups``
-    groups are held, so its memory is bounded. States of a group are merged in parts by task
-    number first, then together, so no task gets one state per task of the whole job.
+    Tasks merge the states of their own rows whenever ``held_rows`` are held, so their memory is
+    bounded and a hot group leaves a task in few rows. After the shuffle one call merges the states
+    of all groups that a hash puts together. Null is a value like any other in ``by``.
     """
     by = key_columns(by)
     group_schema = df.select(*by).schema
-    state_fields = StructType.fromDDL(aggregate.state).names
-    result_schema = StructType([*group_schema, *StructType.fromDDL(aggregate.result)])
     state_schema = StructType([*group_schema, *StructType.fromDDL(aggregate.state)])
-    arrow_states, arrow_results = to_arrow_schema(state_schema), to_arrow_schema(result_schema)
+    result_schema = StructType([*group_schema, *StructType.fromDDL(aggregate.result)])
+    states_of = StructType.fromDDL(aggregate.state).names
 
-    def table(groups: dict[tuple, dict], schema: pa.Schema) -> pa.Table:
-        rows = [{**dict(zip(by, key)), **values} for key, values in groups.items()]
-        return pa.Table.from_pylist(rows, schema=schema)
+    def table(keys: pa.Table, columns: pd.DataFrame, schema: StructType) -> pa.Table:
+        wanted = to_arrow_schema(schema)
+        arrays = [keys.column(c).combine_chunks() for c in by]
+        arrays += [pa.array(columns[n], wanted.field(n).type) for n in schema.names[len(by) :]]
+        return pa.Table.from_arrays([a.cast(f.type) for a, f in zip(arrays, wanted)], schema=wanted)
 
-    def fold_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        states: dict[tuple, dict] = {}
+    def start(batches):
         for batch in batches:
-            rows = batch.to_pandas()
-            for key, places in _rows_by_group(batch, by):
-                held = states[key] if key in states else aggregate.zero()
-                states[key] = aggregate.add(held, rows.iloc[places])
-            if len(states) >= held_groups:
-                yield from table(states, arrow_states).to_batches()
-                states = {}
-        if states:
-            yield from table(states, arrow_states).to_batches()
-
-    def merged(part: pa.Table) -> tuple[tuple, dict[str, Any]]:
-        key = tuple(part.column(c)[0].as_py() for c in by)
-        return key, reduce(aggregate.merge, part.select(state_fields).to_pylist())
-
-    def merge_part(part: pa.Table) -> pa.Table:
-        key, state = merged(part)
-        return table({key: state}, arrow_states)
-
-    def merge_all(part: pa.Table) -> pa.Table:
-        key, state = merged(part)
-        return table({key: aggregate.finish(state)}, arrow_results)
-
-    states = df.mapInArrow(fold_task, state_schema)
-    parts = states.withColumn("_part", F.spark_partition_id() % MERGE_PARTS)
-    fewer = parts.groupBy(*by, "_part").applyInArrow(merge_part, state_schema)
-    return fewer.groupBy(*by).applyInArrow(merge_all, result_schema)
+            if batch.num_rows:
+                rows = pa.Table.from_batches([batch])
+                yield from table(rows, aggregate.start(rows.to_pandas()), state_schema).to_batches()
+
+    def merge(rows: pa.Table) -> pa.Table:
+        # Arrow-backed columns keep nulls and large whole numbers as they are.
+        keys = rows.select(by).to_pandas(types_mapper=pd.ArrowDtype)
+        codes = keys.groupby(by, dropna=False, sort=False).ngroup().to_numpy()
+        places = np.argsort(codes, kind="stable")
+        firsts = np.flatnonzero(np.diff(codes[places], prepend=-1))
+        states = rows.select(states_of).take(places).to_pandas()
+        return table(rows.take(places[firsts]), aggregate.merge(states, firsts), state_schema)
+
+    def finish(rows: pa.Table) -> pa.Table:
+        merged = merge(rows)
+        return table(merged, aggregate.finish(merged.select(states_of).to_pandas()), result_schema)
+
+    states = combine_in_task(df.mapInArrow(start, state_schema), merge, held_rows)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Several parts for each task after the shuffle, so that each call's groups are few.
+    part = F.pmod(F.xxhash64(*by), F.lit(4 * parts)).alias("_part")
+    return states.groupBy(part).applyInArrow(finish, result_schema)

@@ -11,10 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from topictally.functions.durations import interval, millis
 from topictally.functions.windows import window_from, with_instant
-
-# Hopping windows put each record in size/advance windows. From this overlap on, batch input is
-# counted per advance-sized pane first, and only the pane counts are copied to their windows.
-PANE_OVERLAP = 4
+from topictally.operators.tasks import sum_in_task
 
 
 def key_columns(key: str | Sequence[str]) -> list[str]:
@@ -64,6 +61,10 @@ def windowed_count(
     Windows are half-open and aligned to the epoch; ``advance`` defaults to ``size`` (tumbling).
     ``delay`` is how late a record of a stream may come; ``None`` leaves a watermark set
     before. Columns: ``window``, the key columns, the count.
+
+    Where ``advance`` divides ``size``, hopping windows are counted per pane of one advance first, and
+    only the pane counts are copied to their windows. In a stream tasks do that before the shuffle,
+    and a record's lateness is that of its pane: a window closes at most one advance later.
     """
     keys = key_columns(key)
     size_ms = millis(size)
@@ -73,12 +74,17 @@ def windowed_count(
     rows = drop_null_key(df, key, keep_null_key)
     rows = with_instant(rows, time)
     window = F.window(time, interval(size_ms), interval(advance_ms))
+    panes = advance_ms < size_ms and size_ms % advance_ms == 0
+    pane = F.window(time, interval(advance_ms)).start.alias(time)
     if df.isStreaming:
+        if panes and delay is not None:
+            value = F.lit(1) if weight is None else F.col(weight)
+            rows = rows.select(pane, *keys, value.cast("bigint").alias("_records"))
+            rows, weight = sum_in_task(rows, "_records"), "_records"
         if delay is not None:
             rows = rows.withWatermark(time, interval(delay))
         return rows.groupBy(window.alias("window"), *keys).agg(_measure(weight).alias(name))
-    if size_ms % advance_ms == 0 and size_ms // advance_ms >= PANE_OVERLAP:
-        pane = F.window(time, interval(advance_ms)).start.alias(time)
+    if panes:
         rows = rows.groupBy(pane, *keys).agg(_measure(weight).alias("_records"))
         weight = "_records"
     # Plain timestamps as keys stay in Spark's fast aggregation path; a window struct would not.

@@ -10,7 +10,6 @@ from topictally.functions.text import lines
 from topictally.functions.windows import with_window_starts
 from topictally.operators.counts import key_columns
 
-SALTS = 64
 GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
@@ -41,8 +40,8 @@ def top_n(
     decide between equal measures. ``descending=False`` gives the lowest first.
 
     Spark cuts each task's groups to ``n`` rows before the shuffle (``WindowGroupLimit``), so
-    a hot group costs ``n`` rows per task. It does so up to a configured ``n`` only; above it the
-    groups are cut in salted parts first, which selects the same rows.
+    a hot group costs ``n`` rows per task. It does so up to a setting of the session, which is
+    raised to ``n`` if it is lower; it changes no result.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
@@ -50,10 +49,7 @@ def top_n(
     df, by = with_window_starts(df, key_columns(by))
     ordering = ranking_order(order, descending, ties)
     if n > int(df.sparkSession.conf.get(GROUP_LIMIT_CONF, "1000")):
-        salted = df.withColumn("_salt", F.spark_partition_id() % SALTS)
-        part = Window.partitionBy(*by, "_salt").orderBy(*ordering)
-        df = salted.withColumn("_place", F.row_number().over(part)).filter(F.col("_place") <= n)
-        df = df.drop("_salt", "_place")
+        df.sparkSession.conf.set(GROUP_LIMIT_CONF, str(n))
     whole = Window.partitionBy(*by).orderBy(*ordering)
     ranked = df.withColumn(rank, F.row_number().over(whole)).filter(F.col(rank) <= n)
     return ranked.select(*columns, F.col(rank).cast("bigint").alias(rank))

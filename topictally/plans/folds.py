@@ -1,32 +1,27 @@
 """Aggregates of one's own over page counts."""
 
+import numpy as np
 import pandas as pd
 
 from topictally.operators.aggregates import Fold
 from topictally.streaming.tables import TableFold
 
 
-class PageSpread(Fold):
-    """Pages, views, and the most views any page of a group has."""
+class ViewDivisor(Fold):
+    """Pages, and the greatest common divisor of their views."""
 
-    state = "pages bigint, views bigint, most bigint"
-    result = "pages bigint, views bigint, most bigint"
+    state = "pages bigint, divisor bigint"
+    result = "pages bigint, divisor bigint"
 
-    def zero(self):
-        return {"pages": 0, "views": 0, "most": 0}
+    def start(self, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"pages": np.ones(len(rows), dtype=np.int64), "divisor": rows["n"]})
 
-    def add(self, state, rows: pd.DataFrame):
-        return self.merge(
-            state, {"pages": len(rows), "views": rows["n"].sum(), "most": rows["n"].max()}
+    def merge(self, states: pd.DataFrame, firsts: np.ndarray) -> pd.DataFrame:
+        pages = np.add.reduceat(states["pages"].to_numpy(), firsts)
+        return pd.DataFrame(
+            {"pages": pages, "divisor": np.gcd.reduceat(states["divisor"].to_numpy(), firsts)}
         )
 
-    def merge(self, left, right):
-        return {
-            "pages": left["pages"] + right["pages"],
-            "views": left["views"] + right["views"],
-            "most": max(left["most"], right["most"]),
-        }
-
 
 class ItemTotals(TableFold):
     """Items and their total, kept by addition and removal."""

@@ -24,7 +24,7 @@ from topictally.streaming.tables import (
     schema_with,
     updating_aggregate,
 )
-from topictally.streaming.tasks import combine_in_task
+from topictally.operators.tasks import combine_in_task
 
 
 class TopFold(TableFold):

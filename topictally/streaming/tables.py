@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from topictally.functions.durations import interval, millis
 from topictally.functions.windows import instant
 from topictally.operators.counts import key_columns
-from topictally.streaming.tasks import combine_in_task
+from topictally.operators.tasks import sum_in_task
 
 BUCKETS = 32
 
@@ -154,21 +154,6 @@ class _GroupResult(_Windowed):
         yield Row(**values, version=version, **self.fold.finish(merged))
 
 
-def count_in_task(df: DataFrame, increment: str) -> DataFrame:
-    """Sum increments per otherwise equal row inside each task.
-
-    A hot item then leaves a task as a few rows, not as one per record.
-    """
-    fields = [c for c in df.columns if c != increment]
-
-    def sums(rows: pa.Table) -> pa.Table:
-        total = f"{increment}_sum"
-        counted = rows.group_by(fields, use_threads=False).aggregate([(increment, "sum")])
-        return counted.select([*fields, total]).rename_columns([*fields, increment])
-
-    return combine_in_task(df.select(*fields, increment), sums)
-
-
 def updating_aggregate(
     df: DataFrame,
     by: str | Sequence[str],
@@ -211,7 +196,7 @@ def updating_aggregate(
         value.cast("bigint").alias("_increment"),
     )
     group = [c for c in rows.columns if not c.startswith("_")]
-    rows = count_in_task(rows, "_increment")
+    rows = sum_in_task(rows, "_increment")
     time_mode, event_time = "None", ""
     if timed:
         # The watermark follows window ends; the added size keeps it from closing windows early.
