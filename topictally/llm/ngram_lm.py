@@ -28,7 +28,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from topictally.llm.elias_fano import EliasFano, mapped
 from topictally.session import scratch_folder
@@ -64,16 +67,12 @@ def _starts(sizes: np.ndarray) -> np.ndarray:
     return np.cumsum(sizes) - sizes
 
 
-READ = (
-    "kind string, block string, shard int, row array<bigint>, n_tokens bigint, "
-    "one binary, two binary, three binary"
-)
+READ = "kind string, block string, shard int, one binary, two binary, three binary"
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     kinds = {
         "string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(),
-        "array<bigint>": pa.list_(pa.int64()), "double": pa.float64(),
     }
     names, types = zip(*(c.split() for c in schema.split(", ")))
     columns = list(zip(*rows)) or [()] * len(names)
@@ -81,20 +80,28 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, list(names))
 
 
+def _with_keys(batch: pa.RecordBatch, keys: list | None, kind: pa.DataType) -> pa.RecordBatch:
+    """The batch with a column ``keys``, filled in its first row only."""
+    column = pa.array([keys] + [None] * (batch.num_rows - 1), pa.list_(kind))
+    return pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, "keys"])
+
+
 def _read_blocks(texts: DataFrame, shards: int) -> DataFrame:
     """Blocks of texts as numbers of their own words, and their words for each shard.
 
-    A "text" row has the rows of a block's texts, the tokens of each, whether each is trained on, and
+    A "text" row has the keys of a block's texts, the tokens of each, whether each is trained on, and
     the numbers of all tokens. A "words" row has sorted hashes and their counts in trained texts.
+    Blocks are named by their task's number and their place in it.
     """
+    kind = to_arrow_type(texts.schema["id"].dataType)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers: dict[bytes, int] = {END: 0}
-        rows, sizes, trained, tokens = [], [], [], []
-        held = 0
+        keys, sizes, trained, tokens = [], [], [], []
+        held = made = 0
 
         def block() -> pa.RecordBatch:
-            name = str(rows[0])
+            name = f"{TaskContext.get().partitionId()}-{made}"
             ids = np.concatenate(tokens)
             learned = np.repeat(np.array(trained, dtype=bool), sizes)
             hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in numbers], dtype=np.uint64)
@@ -106,35 +113,40 @@ def _read_blocks(texts: DataFrame, shards: int) -> DataFrame:
             counts = np.bincount(ids[learned], minlength=len(hashes))
             shard = ((hashes >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
             cuts = np.flatnonzero(np.diff(shard)) + 1
-            out = [("text", name, None, list(rows), len(ids), pack(np.array(sizes), "<u4"),
-                    pack(np.array(trained), "u1"), pack(ids, "<u4"))]
+            packed = pack(np.array(sizes), "<u4"), pack(np.array(trained), "u1"), pack(ids, "<u4")
+            out = [("text", name, None, *packed)]
             for s, h, c in zip(
                 np.split(shard, cuts), np.split(hashes, cuts), np.split(counts, cuts)
             ):
-                out.append(("words", name, int(s[0]), None, None, pack_sorted(h), pack(c, "<u4"), None))
-            for x in (rows, sizes, trained, tokens):
+                out.append(("words", name, int(s[0]), pack_sorted(h), pack(c, "<u4"), None))
+            whole = _with_keys(_batch(out, READ), list(keys), kind)
+            for x in (keys, sizes, trained, tokens):
                 x.clear()
             numbers.clear()
             numbers[END] = 0
-            return _batch(out, READ)
+            return whole
 
         for batch in batches:
-            for row, learned, body in zip(*batch.columns):
+            for key, learned, body in zip(*batch.columns):
                 words = body.as_py().lower().split()
                 own = [numbers.setdefault(w, len(numbers)) for w in words]
                 own.append(0)
-                rows.append(row.as_py())
+                keys.append(key.as_py())
                 sizes.append(len(own))
                 trained.append(learned.as_py())
                 tokens.append(np.array(own, dtype=np.uint32))
                 held += len(own)
                 if held >= BLOCK:
                     yield block()
-                    held = 0
-        if rows:
+                    held, made = 0, made + 1
+        if keys:
             yield block()
 
-    return texts.mapInArrow(read, READ)
+    return texts.mapInArrow(read, f"{READ}, {_keys(texts.schema['id'].dataType)}")
+
+
+def _keys(kind: DataType) -> str:
+    return f"keys array<{kind.simpleString()}>"
 
 
 NAMED = "kind string, block string, shard int, known bigint, tokens bigint, one binary, two binary"
@@ -193,7 +205,7 @@ class BlockOfTexts:
         kinds = table.column("kind").to_pylist()
         at = kinds.index("text")
         one, two, three = (table.column(c) for c in ("one", "two", "three"))
-        self.rows = table.column("row")[at].as_py()
+        self.keys = table.column("keys").combine_chunks()[at].values
         self.sizes = unpack(one[at].as_py(), "<u4").astype(np.int64)
         self.trained = unpack(two[at].as_py(), "u1").astype(bool)
         self.tokens = unpack(three[at].as_py(), "<u4").astype(np.int64)
@@ -366,12 +378,14 @@ def _answer_pairs(asked: DataFrame) -> DataFrame:
     return asked.groupBy("shard").applyInArrow(answer, ANSWERED)
 
 
-SCORED = "row bigint, n_tokens bigint, n_known bigint, base_score double, score double"
+SCORED = "trained boolean, n_tokens bigint, n_known bigint, base_score double, score double"
+
 
+def _score_blocks(blocks: DataFrame, totals: Totals, shards: int, key: str, kind: DataType) -> DataFrame:
+    names = [key, *(c.split()[0] for c in SCORED.split(", "))]
 
-def _score_blocks(blocks: DataFrame, totals: Totals, shards: int) -> DataFrame:
     def score(table: pa.Table) -> pa.Table:
-        block = BlockOfTexts(table.select(["kind", "block", "shard", "row", "one", "two", "three"]))
+        block = BlockOfTexts(table)
         kinds = table.column("kind").to_pylist()
         number = table.column("shard").to_pylist()
         answers = {number[i]: i for i, kind in enumerate(kinds) if kind == "answers"}
@@ -394,15 +408,16 @@ def _score_blocks(blocks: DataFrame, totals: Totals, shards: int) -> DataFrame:
         model = np.log10(direct + left * plain)
         starts = _starts(block.sizes)
         columns = [
-            pa.array(block.rows, pa.int64()),
+            block.keys,
+            pa.array(block.trained),
             pa.array(block.sizes),
             pa.array(np.add.reduceat((block.counts[now] > 0).astype(np.int64), starts)),
             pa.array(np.add.reduceat(np.log10(plain), starts)),
             pa.array(np.add.reduceat(model, starts)),
         ]
-        return pa.Table.from_arrays(columns, [c.split()[0] for c in SCORED.split(", ")])
+        return pa.Table.from_arrays(columns, names)
 
-    return blocks.groupBy("block").applyInArrow(score, SCORED)
+    return blocks.groupBy("block").applyInArrow(score, f"`{key}` {kind.simpleString()}, {SCORED}")
 
 
 def score_corpus(
@@ -423,45 +438,33 @@ def score_corpus(
     spark = docs.sparkSession
     folder = scratch_folder(spark, "ngram-lm")
     body = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
-    numbered = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.coalesce(trained, F.lit(False)).alias("trained"),
-        body.alias("body"),
-        F.col(key).alias("id"),
+    texts = docs.select(
+        F.col(key).alias("id"), F.coalesce(trained, F.lit(False)).alias("trained"), body.alias("body")
     )
-    numbered.write.parquet(f"{folder}/texts")
-    numbered = spark.read.parquet(f"{folder}/texts")
-    size = numbered.agg(F.sum(F.length("body"))).first()[0] or 0
+    kind = texts.schema["id"].dataType
+    size = texts.agg(F.sum(F.length("body"))).first()[0] or 0
     word_shards = 1 + size // WORD_BYTES
-    read = _read_blocks(numbered.select("row", "trained", "body"), word_shards)
-    read.write.partitionBy("kind").parquet(f"{folder}/blocks")
-    read = spark.read.schema(READ).parquet(f"{folder}/blocks")
+    _read_blocks(texts, word_shards).write.partitionBy("kind").parquet(f"{folder}/blocks")
+    read = spark.read.schema(f"{READ}, {_keys(kind)}").parquet(f"{folder}/blocks")
     words = read.filter("kind = 'words'").select("shard", "block", "one", "two")
     _name_words(words, word_shards).write.partitionBy("kind").parquet(f"{folder}/words")
     names = spark.read.schema(NAMED).parquet(f"{folder}/words")
     sums = names.filter("kind = 'level'").agg(F.sum("known"), F.sum("tokens")).first()
     totals = Totals(sums[0] or 0, sums[1] or 0)
-    texts = read.filter("kind = 'text'").select("kind", "block", "shard", "row", "one", "two", "three")
-    none = F.lit(None)
-    named = names.filter("kind = 'names'").select(
-        "kind", "block", "shard", none.cast("array<bigint>").alias("row"), "one", "two",
-        none.cast("binary").alias("three"),
-    )
-    blocks = texts.union(named)
+
+    def as_blocks(rows: DataFrame) -> DataFrame:
+        none = F.lit(None)
+        three = F.col("three") if "three" in rows.columns else none.cast("binary").alias("three")
+        keys = none.cast(read.schema["keys"].dataType).alias("keys")
+        return rows.select("kind", "block", "shard", "one", "two", three, keys)
+
+    own = read.filter("kind = 'text'").select("kind", "block", "shard", "one", "two", "three", "keys")
+    blocks = own.union(as_blocks(names.filter("kind = 'names'")))
     shards = 1 + totals.tokens // SHARD
     asked = _ask_pairs(blocks, totals, shards)
     _answer_pairs(asked).write.partitionBy("kind").parquet(f"{folder}/pairs")
     answers = spark.read.schema(ANSWERED).parquet(f"{folder}/pairs").filter("kind = 'answers'")
-    answered = answers.select(
-        "kind", "block", "shard", none.cast("array<bigint>").alias("row"), "one", "two", "three"
-    )
-    scored = _score_blocks(blocks.union(answered), totals, shards)
-    return numbered.select("row", "id", "trained").join(scored.hint("merge"), "row").select(
-        F.col("id").alias(key),
-        "trained",
-        "n_tokens",
-        "n_known",
-        F.lit(totals.tokens).cast("bigint").alias("train_tokens"),
-        "base_score",
-        "score",
+    scored = _score_blocks(blocks.union(as_blocks(answers)), totals, shards, key, kind)
+    return scored.withColumn("train_tokens", F.lit(totals.tokens).cast("bigint")).select(
+        key, "trained", "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
