@@ -475,8 +475,8 @@ def stream_last_events(spark, sf_dir):
         sf_dir,
         "last-events",
         lambda events, sink, job: last_n_stream(
-            _last_rows(events), "user_id", "event_id", 5
-        ).writeStream.foreachBatch(sink),
+            _last_rows(events), "user_id", "event_id", sink, 5, job.state_dir
+        ),
     )
     return latest(out, "user_id", "last")
 
@@ -517,8 +517,8 @@ def stream_null_keys(spark, sf_dir):
         sf_dir,
         "null-keys",
         lambda events, sink, job: last_n_stream(
-            _rows_without_keys(events), "user_id", "event_id", 5
-        ).writeStream.foreachBatch(sink),
+            _rows_without_keys(events), "user_id", "event_id", sink, 5, job.state_dir
+        ),
     )
     return latest(out, "user_id", "last")
 

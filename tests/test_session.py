@@ -16,8 +16,12 @@ class Settings(dict):
 def test_the_shared_folder_is_the_one_the_cluster_names():
     named = Settings({"spark.checkpoint.dir": "hdfs://shared/x/", "spark.master": "yarn"})
     assert shared_folder(named) == "hdfs://shared/x"
-    assert scratch_folder(named, "run").startswith("hdfs://shared/x/run-")
-    assert scratch_folder(named, "run") != scratch_folder(named, "run")
+
+
+def test_scratch_folders_are_new_and_there(spark):
+    first, second = scratch_folder(spark, "run"), scratch_folder(spark, "run")
+    assert first != second and first.startswith(f"{shared_folder(spark)}/run-")
+    assert spark.read.schema("a int").parquet(first).isEmpty()
 
 
 def test_a_cluster_without_a_shared_folder_is_refused():

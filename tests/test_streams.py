@@ -159,7 +159,7 @@ def test_restart_goes_on_where_it_stopped(spark, run, file_topic):
 @pytest.mark.parametrize("hold", [False, True])
 def test_changelog_of_a_stream_is_that_of_the_batch(spark, run, hot_topic, hold):
     rows = stream(spark, hot_topic)
-    out = run(stream_changelog(rows, run.sink, run.job.state_dir, block_rows=20, hold=hold))
+    out = run(stream_changelog(rows, run.sink, run.job.state_dir, blocks=20, hold=hold))
     seen = Counter()
     expected = []
     for row in sorted(batch(spark, hot_topic).collect(), key=lambda r: r.offset):
@@ -358,7 +358,7 @@ def test_updating_aggregate_with_increments_and_removal(spark, run, file_topic):
 
 def test_last_n_of_a_stream(spark, run, hot_topic):
     rows = stream(spark, hot_topic).select("key", "offset", "value")
-    out = run(last_n_stream(rows, "key", "offset", 4).writeStream.foreachBatch(run.sink))
+    out = run(last_n_stream(rows, "key", "offset", run.sink, 4, run.job.state_dir))
     whole = last_n(batch(spark, hot_topic).select("key", "offset", "value"), "key", "offset", 4)
     columns = ["key", "offset", "value", "rank"]
     assert rows_of(latest(out, "key", "last"), *columns) == rows_of(whole, *columns)
@@ -370,13 +370,13 @@ def test_last_n_keeps_large_numbers_and_nulls(spark, run, file_topic):
     topic.add([{"key": big, "offset": 1, "v": None}, {"key": big + 1, "offset": 1, "v": big + 1}])
     topic.add([{"key": big, "offset": None, "v": 1}, {"key": None, "offset": 5, "v": 1}])
     reader = spark.readStream.schema("key bigint, offset bigint, v bigint").option("maxFilesPerTrigger", 1)
-    out = run(last_n_stream(reader.parquet(str(topic.folder)), "key", "offset", 2).writeStream.foreachBatch(run.sink))
+    out = run(last_n_stream(reader.parquet(str(topic.folder)), "key", "offset", run.sink, 2, run.job.state_dir))
     got = rows_of(latest(out, "key", "last"), "key", "offset", "v", "rank")
     expected = [(big, 1, None, 1), (big, None, 1, 2), (big + 1, 1, big + 1, 1), (None, 5, 1, 1)]
     assert got == sorted(expected, key=repr)
     for n, order in ((0, "offset"), (1, "missing")):
         with pytest.raises(ValueError):
-            last_n_stream(reader.parquet(str(topic.folder)), "key", order, n)
+            last_n_stream(reader.parquet(str(topic.folder)), "key", order, print, n, "unused")
 
 
 def test_two_jobs_cannot_share_a_name_or_folder(spark, tmp_path, file_topic):
@@ -530,7 +530,7 @@ def test_last_rows_go_on_after_a_restart(spark, run, file_topic):
     for first in (0, 10, 20):
         topic.add(minutes([(i, k) for i, k in enumerate("aabba"[: 5 - first // 10])], first))
         rows = stream(spark, topic).select("key", "offset")
-        out = run(last_n_stream(rows, "key", "offset", 4).writeStream.foreachBatch(run.sink))
+        out = run(last_n_stream(rows, "key", "offset", run.sink, 4, run.job.state_dir))
         whole = last_n(batch(spark, topic).select("key", "offset"), "key", "offset", 4)
         columns = ["key", "offset", "rank"]
         assert rows_of(latest(out, "key", "last"), *columns) == rows_of(whole, *columns)

@@ -10,12 +10,6 @@ from topictally.functions.durations import interval
 from topictally.functions.windows import instant, window_from
 from topictally.operators.counts import drop_null_key, key_columns
 
-# Without a given block size, the offsets are cut into about this many blocks, of at least as many
-# offsets each.
-BLOCKS = 100_000
-LEAST_BLOCK_ROWS = 1_000
-
-
 def with_window(df: DataFrame, size: int | str | None, time: str) -> DataFrame:
     """Add the tumbling ``window`` column if a size is given."""
     if size is None:
@@ -23,24 +17,28 @@ def with_window(df: DataFrame, size: int | str | None, time: str) -> DataFrame:
     return df.withColumn("window", F.window(instant(df, time), interval(size)))
 
 
-def block_number(df: DataFrame, order: str, block_rows: int | None) -> Column:
-    """Number of the block a record falls into, in whole numbers only."""
-    if block_rows is not None and block_rows < 1:
-        raise ValueError("block_rows must be at least 1")
-    missing = F.raise_error(F.lit(f"{order} is null; records without a place have no order"))
-    width = F.lit(block_rows) if block_rows is not None else block_width(df, order).scalar()
-    number = F.call_function("div", F.col(order).cast("bigint"), width.cast("bigint"))
-    return F.coalesce(number, missing.cast("bigint"))
+def block_bounds(df: DataFrame, order: str, blocks: int) -> DataFrame:
+    """One row: the places in the order that part the records into ``blocks`` of about equal rows."""
+    shares = [i / blocks for i in range(1, blocks)]
+    place = F.col(order).cast("bigint")
+    if not shares:
+        return df.select(F.array().cast("array<bigint>").alias("bounds")).limit(1)
+    return df.agg(F.percentile_approx(place, shares, 20 * blocks).alias("bounds"))
 
 
-def block_width(df: DataFrame, order: str) -> DataFrame:
-    """Offsets per block that give about ``BLOCKS`` blocks, as one row, from the offsets' range."""
-    offset = F.col(order).cast("bigint")
-    last, first = (
-        F.call_function("div", f(offset), F.lit(BLOCKS).cast("bigint")) for f in (F.max, F.min)
-    )
-    least = F.lit(LEAST_BLOCK_ROWS).cast("bigint")
-    return df.agg(F.greatest(least, last - first + 1).alias("width"))
+def block_number(order: str, blocks: int) -> Column:
+    """Number of the block a record falls into: how many of ``_bounds`` are not above its place."""
+    place = F.col(order).cast("bigint")
+    steps = [1 << i for i in range((blocks - 1).bit_length() - 1, -1, -1)]
+    bounds = F.col("_bounds")
+
+    def step(found: Column, size: Column) -> Column:
+        beyond = F.get(bounds, found + size - 1) <= place
+        return F.when(F.coalesce(beyond, F.lit(False)), found + size).otherwise(found)
+
+    number = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step) if steps else F.lit(0)
+    missing = F.raise_error(F.lit(f"{order} is null; records without a place have no order"))
+    return F.when(place.isNull(), missing.cast("int")).otherwise(number)
 
 
 def changelog(
@@ -49,7 +47,7 @@ def changelog(
     order: str | Sequence[str] = "offset",
     size: int | str | None = None,
     time: str = "timestamp",
-    block_rows: int | None = None,
+    blocks: int | None = None,
     keep_null_key: bool = False,
     carried: DataFrame | None = None,
     name: str = "count",
@@ -60,21 +58,27 @@ def changelog(
     such as the offset, unique in its topic partition; add ``"partition"`` for topics of several
     partitions. Batch input only; see ``streaming.stream_changelog`` for streams.
 
-    No key is numbered in one task: offsets are cut into blocks of ``block_rows``, by default from
-    the offsets' range. This bounds a block's records by ``block_rows`` per topic partition
-    whatever the keys are. Records are numbered inside (key, block); the counts of a key's earlier
-    blocks, summed from the counted blocks, are added. Records cross the network once.
+    No key is numbered in one task: the order is cut into ``blocks`` of about equal rows, by default as
+    many as shuffle partitions, wherever the offsets lie. Records are numbered inside (key, block);
+    the counts of a key's earlier blocks, summed from the counted blocks, are added. Records cross
+    the network once; before that their offsets are read for the cuts, and keys and offsets for the
+    blocks' counts.
 
     ``carried`` holds counts from before this input, as key columns and ``_carried``.
     """
+    if blocks is None:
+        blocks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if blocks < 1:
+        raise ValueError("blocks must be at least 1")
     order = key_columns(order)
     fields = key_columns(key)
     rows = drop_null_key(df, key, keep_null_key)
+    rows = rows.withColumn("_bounds", block_bounds(rows, order[0], blocks).scalar())
     # Struct equality takes null fields as equal, as grouping does; plain columns would not join,
     # but sort and hash faster, so a single key without nulls stays a plain column.
     plain = isinstance(key, str) and not keep_null_key
     group = F.col(fields[0]) if plain else F.struct(*fields)
-    parts = {"_key": group, "_block": block_number(df, order[0], block_rows)}
+    parts = {"_key": group, "_block": block_number(order[0], blocks)}
     if size is not None:
         parts = {"_start": F.window(instant(df, time), interval(size)).start, **parts}
     others = [c for c in df.columns if c not in fields]
@@ -84,19 +88,19 @@ def changelog(
     earlier = Window.partitionBy(*keyed).orderBy("_block")
     earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("_records").over(earlier), F.lit(0))
-    blocks = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("_records"))
-    blocks = blocks.select(*cell, before.alias("_before"))
+    counted = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("_records"))
+    counted = counted.select(*cell, before.alias("_before"))
     if carried is not None:
         start = [F.col("window.start").alias("_start")] if size is not None else []
         past = carried.select(*start, group.alias("_key"), "_carried")
         before = F.col("_before") + F.coalesce("_carried", F.lit(0))
-        blocks = blocks.join(past, keyed, "left").select(*cell, before.alias("_before"))
+        counted = counted.join(past, keyed, "left").select(*cell, before.alias("_before"))
 
     inside = Window.partitionBy(*cell).orderBy(*order)
     numbered = rows.withColumn("_number", F.row_number().over(inside).cast("bigint"))
     window = [] if size is None else [window_from(F.col("_start"), size).alias("window")]
     restored = ["_key"] if plain else [f"_key.{f}" for f in fields]
-    return numbered.join(blocks, cell, "left").select(
+    return numbered.join(counted, cell, "left").select(
         *window,
         *(F.col(c).alias(f) for c, f in zip(restored, fields)),
         *others,

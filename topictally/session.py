@@ -46,5 +46,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder name below the shared folder, used by nothing else."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder below the shared folder, used by nothing else and deleted with the session."""
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(path)
+    system.deleteOnExit(path)
+    return folder

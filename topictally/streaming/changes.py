@@ -25,7 +25,7 @@ def stream_changelog(
     size: int | str | None = None,
     delay: int | str = "1 day",
     time: str = "timestamp",
-    block_rows: int | None = None,
+    blocks: int | None = None,
     hold: bool = False,
     keep_null_key: bool = False,
     name: str = "count",
@@ -65,7 +65,7 @@ def stream_changelog(
                 rows = with_window(rows, size, time).filter(open_windows).drop("window")
         past = carried.select(*fields, "_carried")
         changes = changelog(
-            rows, key, order, size, time, block_rows, keep_null_key, carried=past, name=name
+            rows, key, order, size, time, blocks, keep_null_key, carried=past, name=name
         )
         sink(changes, batch_id)
         seen = F.lit(None).cast("bigint") if size is None else F.max(F.unix_micros(time))

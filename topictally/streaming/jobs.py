@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from threading import Lock
+
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -11,6 +13,8 @@ PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
 RESTART_CONF = "spark.sql.streaming.stopActiveRunOnRestart"
 PARTITIONS_CONF = "spark.sql.shuffle.partitions"
 
+_STARTING = Lock()
+
 
 class Job:
     """A streaming job: its name and the folder that keeps its progress and state.
@@ -41,19 +45,20 @@ class Job:
 
     def start(self, writer: DataStreamWriter, available_now: bool = False) -> StreamingQuery:
         """Start the job; ``available_now`` makes it end once all present input is read."""
-        self.spark.conf.set(PROVIDER_CONF, ROCKSDB_PROVIDER)
-        # By default Spark would stop the first of two queries on one checkpoint. Refuse instead.
-        self.spark.conf.set(RESTART_CONF, "false")
         writer = writer.queryName(self.name).option("checkpointLocation", self.checkpoint_dir)
         if available_now:
             writer = writer.trigger(availableNow=True)
-        # A query takes over the session's settings when it starts.
-        session_partitions = self.spark.conf.get(PARTITIONS_CONF)
-        self.spark.conf.set(PARTITIONS_CONF, str(self.partitions or session_partitions))
-        try:
-            return writer.start()
-        finally:
-            self.spark.conf.set(PARTITIONS_CONF, session_partitions)
+        # A query takes over the session's settings when it starts; one job starts at a time.
+        with _STARTING:
+            self.spark.conf.set(PROVIDER_CONF, ROCKSDB_PROVIDER)
+            # By default Spark would stop the first of two queries on one checkpoint. Refuse instead.
+            self.spark.conf.set(RESTART_CONF, "false")
+            session_partitions = self.spark.conf.get(PARTITIONS_CONF)
+            self.spark.conf.set(PARTITIONS_CONF, str(self.partitions or session_partitions))
+            try:
+                return writer.start()
+            finally:
+                self.spark.conf.set(PARTITIONS_CONF, session_partitions)
 
     def run(
         self,

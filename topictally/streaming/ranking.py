@@ -6,25 +6,15 @@ import heapq
 from collections.abc import Iterator, Sequence
 from typing import Any
 
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, Row, functions as F
-from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import ArrayType, StructField, StructType
+from pyspark.sql.streaming import DataStreamWriter
 
 from topictally.functions.durations import millis
 from topictally.operators.counts import key_columns, windowed_count
-from topictally.operators.ranking import top_n
+from topictally.operators.ranking import last_n, top_n
 from topictally.sources.sinks import BatchSink
 from topictally.streaming.carried import CarriedRows
-from topictally.streaming.tables import (
-    Change,
-    Items,
-    TableFold,
-    schema_with,
-    updating_aggregate,
-)
-from topictally.operators.tasks import combine_in_task
+from topictally.streaming.tables import Change, Items, TableFold
 
 
 class TopFold(TableFold):
@@ -87,24 +77,21 @@ def top_n_stream(
     ``window_start_ms``, ``window_end_ms``, group, ``version`` (higher is newer) and ``top``, an
     array of rank, item and count; see ``latest``. Counts only grow, so an item outside a list can enter
     it only when its own count changes: the new lists are the top of the changed counts and the
-    lists before, which are kept in ``state_dir``. This does not hold for the lowest items; those
-    come from ``updating_aggregate``, which needs no ``state_dir``.
+    lists before, which are kept in ``state_dir``. This does not hold for the lowest items: for them
+    the counts of all items in open windows are kept there. A null item is an item like others.
     """
     by = key_columns(by)
     if n < 1:
         raise ValueError("n must be at least 1")
     if emit not in ("final", "update"):
         raise ValueError(f"emit must be final or update, not {emit!r}")
-    if emit == "update" and not descending:
-        live = updating_aggregate(df, by, item, TopFold(n, descending), None, size, delay, time)
-        return live.writeStream.outputMode("append").foreachBatch(sink)
     if emit == "update" and state_dir is None:
-        raise ValueError("the highest items of open windows need a state_dir")
+        raise ValueError("lists of open windows need a state_dir")
     rows = df.withColumn(item, F.col(item).cast("string"))
     counts = windowed_count(rows, [*by, item], size, delay=delay, time=time)
     if emit == "update":
         spans = millis(size), millis(delay)
-        rank_changes = _rank_changes(counts, by, item, sink, n, *spans, state_dir)
+        rank_changes = _rank_changes(counts, by, item, sink, n, descending, *spans, state_dir)
         return counts.writeStream.outputMode("update").foreachBatch(rank_changes)
 
     def rank_closed(closed: DataFrame, batch_id: int) -> None:
@@ -120,11 +107,12 @@ def _rank_changes(
     item: str,
     sink: BatchSink,
     n: int,
+    descending: bool,
     size_ms: int,
     delay_ms: int,
     state_dir: str,
 ) -> BatchSink:
-    """The work of a micro-batch of changed counts, for live lists of the highest items."""
+    """The work of a micro-batch of changed counts, for live lists."""
     columns = [F.col("window.start").alias("_start"), *by, item, "count"]
     state = CarriedRows(state_dir, counts.select(*columns).schema)
     group = ["_start", *by]
@@ -134,21 +122,30 @@ def _rank_changes(
         new = changed.select(*columns, F.lit(True).alias("_new"))
         both = new.unionByName(carried.withColumn("_new", F.lit(False))).groupBy(*group, item)
         newest = both.agg(F.max("count").alias("count"), F.bool_or("_new").alias("_new"))
-        # Used twice, and the counts' state is to be updated once.
-        tops = top_n(newest, group, "count", n, ties=[item]).persist()
+        # Used several times, and the counts' state is to be updated once.
+        newest = newest.persist()
         try:
-            sink(lists(tops, batch_id), batch_id)
-            state.write(still_open(tops, carried).select(*group, item, "count"), batch_id)
+            tops = top_n(newest, group, "count", n, descending, ties=[item])
+            touched = newest.filter("_new").select(F.struct(*group).alias("_group")).distinct()
+            # Struct equality takes null fields as equal, as grouping does.
+            sink(lists(tops, touched, batch_id), batch_id)
+            held = tops if descending else newest
+            state.write(still_open(held, carried).select(*group, item, "count"), batch_id)
         finally:
-            tops.unpersist()
+            newest.unpersist()
 
-    def lists(tops: DataFrame, batch_id: int) -> DataFrame:
+    def lists(tops: DataFrame, touched: DataFrame, batch_id: int) -> DataFrame:
         rows = F.struct("rank", F.col(item).alias("item"), "count")
         found = tops.groupBy(*group).agg(
             F.bool_or("_new").alias("_new"), F.sort_array(F.collect_list(rows)).alias("top")
         )
+        if descending:
+            found = found.filter("_new")
+        else:
+            # An item that grew may have left the list, so the list tells nothing of the change.
+            found = found.withColumn("_group", F.struct(*group)).join(touched, "_group", "left_semi")
         start = F.unix_millis("_start")
-        return found.filter("_new").select(
+        return found.select(
             start.alias("window_start_ms"),
             (start + size_ms).alias("window_end_ms"),
             *by,
@@ -156,73 +153,32 @@ def _rank_changes(
             "top",
         )
 
-    def still_open(tops: DataFrame, carried: DataFrame) -> DataFrame:
+    def still_open(held: DataFrame, carried: DataFrame) -> DataFrame:
         # Late records are dropped by the watermark of the batch before, so windows are let go of
         # by what was known then. Window starts are never ahead of the records' times.
         known = carried.agg(F.max(F.unix_millis("_start"))).scalar()
-        return tops.filter(
+        return held.filter(
             F.coalesce(F.unix_millis("_start") + size_ms > known - delay_ms, F.lit(True))
         )
 
     return rank_changes
 
 
-class _LastRows(StatefulProcessor):
-    """The last ``n`` rows of a key, newest first."""
-
-    def __init__(self, keys: list[str], fields: list[str], order: list[str], n: int, row_ddl: str):
-        self.keys = keys
-        self.fields = fields
-        self.order = order
-        self.n = n
-        self.row_ddl = row_ddl
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.rows = handle.getListState("rows", self.row_ddl)
-        self.version = handle.getValueState("version", "version bigint")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = list(self.rows.get()) if self.rows.exists() else []
-        held += [tuple(row[f] for f in self.fields) for row in rows]
-        places = [self.fields.index(o) for o in self.order]
-
-        def place(row: tuple) -> list:
-            """Sorts nulls before all values, so that they are the oldest."""
-            return [(False, 0) if row[p] is None else (True, row[p]) for p in places]
-
-        last = heapq.nlargest(self.n, held, key=place)
-        self.rows.put(last)
-        version = self.version.get()[0] + 1 if self.version.exists() else 1
-        self.version.update((version,))
-        ranked = [Row(rank=i, **dict(zip(self.fields, row))) for i, row in enumerate(last, 1)]
-        yield Row(**dict(zip(self.keys, key)), version=version, last=ranked)
-
-    def close(self) -> None:
-        pass
-
-
-def last_in_task(df: DataFrame, by: list[str], order: list[str], n: int) -> DataFrame:
-    """Leave out rows that cannot be among the last ``n`` of their key, inside each task."""
-
-    def cut(rows: pa.Table) -> pa.Table:
-        # Arrow-backed columns keep nulls and large whole numbers as they are.
-        places = rows.select([*by, *order]).to_pandas(types_mapper=pd.ArrowDtype)
-        newest = places.sort_values(order, ascending=False, na_position="last")
-        kept = newest.groupby(by, dropna=False, sort=False).head(n).index
-        return rows.take(kept.to_numpy())
-
-    return combine_in_task(df, cut)
-
-
 def last_n_stream(
-    df: DataFrame, by: str | Sequence[str], order: str | Sequence[str], n: int
-) -> DataFrame:
-    """The last ``n`` rows of each key of a stream, the newest ranked 1.
-
-    Each micro-batch gives one row per changed key: the key, ``version`` (1, 2, ...) and ``last``,
-    an array of rank and the other columns. Tasks leave out rows that cannot be among the last
-    first, so a hot key sends ``n`` rows per task. Rows without a place in the order are oldest.
-    Append mode.
+    df: DataFrame,
+    by: str | Sequence[str],
+    order: str | Sequence[str],
+    sink: BatchSink,
+    n: int,
+    state_dir: str,
+) -> DataStreamWriter:
+    """The last ``n`` rows of each key of a stream, the newest ranked 1, passed on to ``sink``.
+
+    Each micro-batch gives one row per key whose list changed: the key, ``version`` (higher is newer)
+    and ``last``, an array of rank and the other columns. The new lists are the last rows of the
+    micro-batch and of the lists before, which are kept in ``state_dir``; tasks cut them to ``n``
+    rows per key before the shuffle. Rows without a place in the order are oldest, null is a key like
+    any other, and repeated rows are rows of their own.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
@@ -230,14 +186,25 @@ def last_n_stream(
     fields = [c for c in df.columns if c not in by]
     if missing := [o for o in order if o not in fields]:
         raise ValueError(f"no such column to order by: {missing}")
-    row_schema = df.select(*fields).schema
-    ranked = StructType([*StructType.fromDDL("rank bigint"), *row_schema])
-    keyed = schema_with(df, by, "version bigint")
-    out = StructType([*keyed, StructField("last", ArrayType(ranked))])
-    row_ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in row_schema)
-    rows = last_in_task(df, by, order, n)
-    processor = _LastRows(by, fields, order, n, row_ddl)
-    return rows.groupBy(*by).transformWithState(processor, out, "Append", "None")
+    state = CarriedRows(state_dir, df.schema)
+
+    def rank_last(batch: DataFrame, batch_id: int) -> None:
+        carried = state.read(batch.sparkSession, batch_id).withColumn("_new", F.lit(False))
+        both = batch.withColumn("_new", F.lit(True)).unionByName(carried)
+        last = last_n(both, by, order, n, rank="_rank").persist()
+        try:
+            row = F.struct(F.col("_rank").alias("rank"), *fields)
+            lists = last.groupBy(*by).agg(
+                F.bool_or("_new").alias("_new"), F.collect_list(row).alias("_rows")
+            )
+            ranked = F.array_sort("_rows", lambda a, b: (a["rank"] - b["rank"]).cast("int"))
+            version = F.lit(batch_id + 1).cast("bigint").alias("version")
+            sink(lists.filter("_new").select(*by, version, ranked.alias("last")), batch_id)
+            state.write(last.select(*df.columns), batch_id)
+        finally:
+            last.unpersist()
+
+    return df.writeStream.outputMode("append").foreachBatch(rank_last)
 
 
 def latest(df: DataFrame, by: str | Sequence[str], rows: str) -> DataFrame:
