@@ -251,9 +251,111 @@ def _re2(rule: secrets.Rule) -> str:
     return rule.pattern.replace(f"(?i:({words}))", f"({either})")
 
 
+#: For pages whose main text is their one article of headings and paragraphs.
+_PAGES_SQL = r"""
+WITH a AS (
+    SELECT page_id, url, string_split_regex(
+        replace(regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's'), '<br>', ' '),
+        '</?(?:p|h1)>') AS parts
+    FROM pages),
+b AS (
+    SELECT page_id, url, list_transform(parts, lambda x: trim(regexp_replace(regexp_replace(
+        replace(replace(replace(replace(regexp_replace(x, '</?b>', '', 'g'),
+            '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)),
+        '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS parts
+    FROM a),
+c AS (
+    SELECT page_id, url, array_to_string(list_filter(parts, lambda x: x <> ''), chr(10)) AS text
+    FROM b)
+SELECT page_id, url, text, length(text) AS n_chars FROM c
+"""
+
+
+def _quality_sql() -> str:
+    """Base features, both histograms of each text and language, and their nearest distances."""
+    rules = quality.Rules()
+    kinds = {
+        "lower": "[a-z]", "upper": "[A-Z]", "digit": "[0-9]", "space": r"[ \x09\x0B-\x0D]",
+        "line": r"\n", "stop": r"""[.,;:!?"'()-]""",
+    }
+    ascii_only = r"regexp_replace(text, '[^\x00-\x7F]', '', 'g')"
+    counted = {k: f"len(regexp_extract_all(text, {_quoted(c)}))" for k, c in kinds.items()}
+    counted["other"] = f"strlen(text) - length({ascii_only})"
+    counted["symbol"] = f"length({ascii_only}) - (" + " + ".join(counted[k] for k in kinds) + ")"
+    classes = " UNION ALL ".join(
+        f"SELECT doc_id, lang, '{k}' AS x, {c} AS n FROM d" for k, c in counted.items()
+    )
+    strip = _quoted(quality.STRIPPED.decode())
+    # Half the divergence of each bin to the middle; a bin that is empty on a side adds nothing there.
+    bits = (
+        "CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END"
+        " + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END"
+    )
+    distance = f"sqrt(greatest(0, sum({bits}) / 2))"
+    return rf"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, lang, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
+words AS (
+    SELECT doc_id, lang, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+windows AS (
+    SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i,
+        unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i:i + 2])) AS g FROM w),
+repeated AS (
+    SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS n FROM windows) WHERE n > 1),
+covered AS (
+    SELECT doc_id, count(DISTINCT i + k) AS n FROM repeated, range(0, 3) AS t(k) GROUP BY doc_id),
+lines AS (
+    SELECT doc_id, len(ls) - len(list_distinct(ls)) AS n FROM (
+        SELECT doc_id, list_filter(string_split(text, chr(10)),
+            lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d)),
+base AS (
+    SELECT doc_id, len(ws) AS n_words,
+        coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
+        len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, lines.n AS n_dup_lines,
+        coalesce(covered.n, 0) AS n_repeat_words
+    FROM w JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
+classes AS ({classes}),
+class_sums AS (SELECT lang, x, sum(n) / sum(sum(n)) OVER (PARTITION BY lang) AS q
+    FROM classes WHERE lang IS NOT NULL GROUP BY lang, x),
+class_far AS (
+    SELECT doc_id, min(far) AS far FROM (
+        SELECT doc_id, r.lang, {distance} AS far FROM (
+            SELECT doc_id, x, n / sum(n) OVER (PARTITION BY doc_id) AS p FROM classes) c
+        JOIN class_sums r USING (x) GROUP BY doc_id, r.lang) GROUP BY doc_id),
+stems AS (
+    SELECT doc_id, lang, translate(trim(word, {strip}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz') AS x FROM words),
+sums AS (SELECT lang, x, count(*) AS n, sum(count(*)) OVER (PARTITION BY lang) AS total
+    FROM stems WHERE lang IS NOT NULL GROUP BY lang, x),
+top AS (
+    SELECT lang, x, n / total AS q FROM sums WHERE x <> ''
+    QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, x) <= {rules.common_words}),
+own AS (SELECT doc_id, x, count(*) AS n FROM stems GROUP BY doc_id, x),
+shares AS (
+    SELECT base.doc_id, top.lang, q, coalesce(own.n, 0) / n_words AS p
+    FROM base JOIN top ON n_words > 0 LEFT JOIN own ON own.doc_id = base.doc_id AND own.x = top.x),
+word_far AS (
+    SELECT doc_id, min(far) AS far FROM (
+        SELECT doc_id, lang, {distance} AS far FROM (
+            SELECT doc_id, lang, p, q FROM shares UNION ALL
+            SELECT doc_id, lang, greatest(0, 1 - sum(p)), greatest(0, 1 - sum(q))
+            FROM shares GROUP BY doc_id, lang)
+        GROUP BY doc_id, lang) GROUP BY doc_id),
+judged AS (
+    SELECT base.*, n_words < {rules.least_words}
+            OR 100 * n_repeat_words > {rules.repeat_percent} * n_words AS base_failed,
+        (n_words >= {rules.class_words} AND c.far > {rules.class_distance})
+            OR (n_words >= {rules.word_words} AND t.far > {rules.word_distance}) AS diverges
+    FROM base LEFT JOIN class_far c USING (doc_id) LEFT JOIN word_far t USING (doc_id))
+SELECT * EXCLUDE (diverges), NOT base_failed AND NOT coalesce(diverges, false) AS kept FROM judged
+"""
+
+
 SQL = {
     "op1_exact_dedup": _DEDUP_SQL,
     "op4_jaccard_join": _jaccard_sql("documents", 4, 85),
+    "op6_html_extract": _PAGES_SQL,
+    "op7_quality_rules": _quality_sql(),
     "op8_chat_format": _CHAT_SQL,
     "op9_secret_scan": _secret_sql(),
 }
