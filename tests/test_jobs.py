@@ -166,3 +166,12 @@ def test_hourly_article_views(spark):
     counts = jobs.hourly_article_views(views).selectExpr("unix_millis(window.start) AS s", "flags", "count")
     expected = [(START_MS, "ART", 2), (START_MS, "ART-2", 1), (START_MS + HOUR, "ART", 1)]
     assert rows_of(counts, "s", "flags", "count") == expected
+
+
+def test_a_page_with_two_flags_is_one_item_of_the_list(spark):
+    """JOB-4 counts whole records, JOB-5 ranks pages by all their views."""
+    rows = [("p", "x", flags, START) for flags in ("ART", "ART", "ART,NEW", "AD")] + [("q", "x", "ART", START)]
+    views = spark.createDataFrame(rows, "page string, industry string, flags string, timestamp timestamp")
+    records = jobs.hourly_article_views(views)
+    assert rows_of(records, "page", "flags", "count") == [("p", "ART", 2), ("p", "ART,NEW", 1), ("q", "ART", 1)]
+    assert rows_of(jobs.top_pages(views), "page", "n", "rank") == [("p", 3, 1), ("q", 1, 2)]
