@@ -16,6 +16,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from topictally.llm.rows import numbered, without
 from topictally.session import scratch_folder
 
 WHITE_SPACE = r"[\x20\x09-\x0D]"
@@ -37,20 +38,41 @@ def exact_dedup(
     Returns key, ``keep_id`` (key of the row that stays), ``group_size``, ``kept`` and
     ``text_sha256`` (of the compared text, for reports only).
     """
+    folder = scratch_folder(docs.sparkSession, "exact-dedup")
+    rows = _rows(numbered(docs.select(key, text), f"{folder}/docs"), text, key)
+    return _settled(rows, folder, first_run).select(
+        F.col("id").alias(key), "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256")
+    )
+
+
+def drop_exact_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns; see ``exact_dedup``."""
     spark = docs.sparkSession
-    folder = scratch_folder(spark, "exact-dedup")
+    folder = scratch_folder(spark, "exact-copies")
+    rows = numbered(docs, f"{folder}/docs")
+    dropped = _settled(_rows(rows, text, key), folder, FIRST_RUN).filter("NOT kept")
+    dropped.select(F.col("row").alias("_row")).write.parquet(f"{folder}/dropped")
+    return without(rows, spark.read.parquet(f"{folder}/dropped"))
+
+
+def _rows(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """Numbered documents as rows to be settled."""
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     body = F.regexp_replace(whole, WHITE_SPACE, "").cast("binary")
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
+    return docs.select(
+        F.col("_row").alias("row"),
         F.col(key).alias("id"),
         F.char_length(whole).alias("points"),
         F.sha2(body, 256).alias("sha"),
         F.lit(0).cast("bigint").alias("class"),
         body.alias("rest"),
     )
-    rows.write.parquet(f"{folder}/rows")
-    open_rows = spark.read.parquet(f"{folder}/rows")
+
+
+def _settled(rows: DataFrame, folder: str, first_run: int) -> DataFrame:
+    """Every row with its group's size, the key of the row that stays, and whether it does."""
+    spark = rows.sparkSession
+    open_rows = rows
     settled = []
     run = first_run
     while True:
@@ -91,26 +113,10 @@ def exact_dedup(
         run *= GROWTH
     alone = F.col("size").isNull()
     return reduce(DataFrame.unionByName, settled).select(
-        F.col("id").alias(key),
+        "row",
+        "id",
+        "sha",
         F.when(alone, F.col("id")).otherwise(F.col("best_id")).alias("keep_id"),
         F.coalesce("size", F.lit(1).cast("bigint")).alias("group_size"),
         (alone | (F.col("row") == F.col("best_row"))).alias("kept"),
-        F.col("sha").alias("text_sha256"),
     )
-
-
-def drop_exact_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
-
-    Rows that repeat a kept row in key and text go as well, so one of them is left. Rows with a null
-    key are compared like the others.
-    """
-    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    sha = F.sha2(F.regexp_replace(whole, WHITE_SPACE, "").cast("binary"), 256)
-    # One column that is never null, so that the join and the last step share one shuffle.
-    name = F.coalesce(F.col(key).cast("string"), F.lit("null"))
-    kept = exact_dedup(docs, text, key).filter("kept")
-    kept = kept.select(F.concat_ws(":", name, "text_sha256").alias("_kept_row"))
-    named = docs.withColumn("_kept_row", F.concat_ws(":", name, sha))
-    once = named.join(kept, "_kept_row", "left_semi").dropDuplicates(["_kept_row"])
-    return once.drop("_kept_row")
