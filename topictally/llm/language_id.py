@@ -143,6 +143,8 @@ class Model:
         return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
 
 
+#: Hashes of keys are taken modulo this.
+HASHES = 1 << 30
 #: Windows that are looked up at once; keeps the arrays of a step in the processor's cache.
 AT_ONCE = 64
 
@@ -160,14 +162,21 @@ def labelled_sample(
         F.xxhash64(F.col(key).cast("string")).alias("order"),
     )
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    named = [r["lang"] for r in counts.orderBy(F.desc("n"), "lang").limit(network.languages).collect()]
+    named = counts.orderBy(F.desc("n"), "lang").limit(network.languages).collect()
+    if not named:
+        return []
+    # Rows below a share of all hashes, a few times as many as wanted, however many rows there are.
+    wanted = 4 * network.rows_per_language
+    shares = {r["lang"]: min(HASHES, -(-wanted * HASHES // r["n"])) for r in named}
+    limits = F.create_map(*(F.lit(x) for pair in shares.items() for x in pair))
+    chosen = F.pmod("order", F.lit(HASHES)) < limits[F.col("lang")]
     size = network.window * network.windows_per_row
-    bodies = rows.filter(F.col("lang").isin(named)).select(
+    bodies = rows.filter(F.col("lang").isin(list(shares)) & chosen).select(
         "lang", "order", F.substring("body", 1, size).alias("body")
     )
     place = F.row_number().over(Window.partitionBy("lang").orderBy("order", "body"))
-    chosen = bodies.withColumn("place", place).filter(F.col("place") <= network.rows_per_language)
-    return [(r["lang"], bytes(r["body"])) for r in chosen.collect()]
+    first = bodies.withColumn("place", place).filter(F.col("place") <= network.rows_per_language)
+    return [(r["lang"], bytes(r["body"])) for r in first.collect()]
 
 
 def train(
