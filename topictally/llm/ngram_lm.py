@@ -34,10 +34,11 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
 from topictally.llm.elias_fano import EliasFano, mapped
+from topictally.llm.workers import small_batches
 from topictally.session import scratch_folder
 
 #: Tokens of a block and of a shard, about; occurrences of a context for each of its buckets.
-BLOCK, SHARD, SPLIT = 3_000_000, 1_500_000, 1 << 22
+BLOCK, SHARD, SPLIT = 2_000_000, 1_500_000, 1 << 22
 #: Bytes of text for a shard of words, and the most buckets of a context.
 WORD_BYTES, BUCKETS = 8 << 20, 1 << 12
 DISCOUNT = 0.75
@@ -168,9 +169,10 @@ def _name_words(words: DataFrame, shards: int) -> DataFrame:
         total = np.bincount(place, np.concatenate(counts), minlength=len(every)).astype(np.int64)
         known = total > 0
         floor = np.uint64(-(-(shard << 32) // shards) << 32)
-        level = EliasFano(mapped(EliasFano.encode(every[known] - floor, ((1 << 32) // shards + 1) << 32)))
-        held = total[known]
-        rows = [("level", None, shard, int(known.sum()), int(total.sum()), None, None)]
+        body = EliasFano.encode(every[known] - floor, ((1 << 32) // shards + 1) << 32)
+        level, held = EliasFano(mapped(body)), total[known]
+        sums = int(known.sum()), int(total.sum())
+        rows = [("level", None, shard, *sums, body, pack(held, "<u4"))]
         for block, asked in zip(blocks, hashes):
             at = level.index(asked - floor)
             found = at >= 0
@@ -433,10 +435,11 @@ def score_corpus(
 
     Returns key, ``trained``, ``n_tokens``, ``n_known`` (tokens that trained texts have),
     ``train_tokens``, ``base_score`` (of single words) and ``score``, logarithms to base 10. The
-    model's levels stay in the shared folder until the job's folder is deleted.
+    model's levels stay in the scratch folder below the shared one until the session ends.
     """
     spark = docs.sparkSession
     folder = scratch_folder(spark, "ngram-lm")
+    small_batches(spark)
     body = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
     texts = docs.select(
         F.col(key).alias("id"), F.coalesce(trained, F.lit(False)).alias("trained"), body.alias("body")

@@ -1,4 +1,4 @@
-"""What a Python worker keeps from one task to the next."""
+"""How texts get to Python workers, and what a worker keeps from one task to the next."""
 
 from __future__ import annotations
 
@@ -6,7 +6,18 @@ import sys
 from collections.abc import Callable
 from types import ModuleType
 
+from pyspark.sql import SparkSession
+
 STORE = "_topictally_worker"
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Texts in a batch; Spark's own number would make tens of megabytes of them.
+BATCH = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session send at most ``BATCH`` rows to a worker at once; it changes no result."""
+    if int(spark.conf.get(BATCH_CONF)) > BATCH:
+        spark.conf.set(BATCH_CONF, str(BATCH))
 
 
 def kept_by_worker(name: str, make: Callable[[], object]) -> object:
