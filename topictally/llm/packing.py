@@ -20,7 +20,7 @@ import tiktoken
 from pyspark.sql import DataFrame, functions as F
 
 from topictally.llm.bpe import WORDS, byte_alphabet
-from topictally.llm.workers import kept_by_worker
+from topictally.llm.workers import kept_by_worker, small_batches
 from topictally.session import scratch_folder
 
 
@@ -247,6 +247,7 @@ def cut_documents(
     not read.
     """
     names = [key, "piece", "start", "length", "ids"]
+    small_batches(docs.sparkSession)
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = kept_by_worker(f"ids of {path}", lambda: _encoding(path)).encode_to_numpy

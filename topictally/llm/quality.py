@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from topictally.llm.workers import small_batches
+
 CLASSES = ("lower", "upper", "digit", "space", "line", "stop", "symbol", "other")
 SYMBOLS = b"#*$%&|<>"
 #: Bytes of UTF-8 that do not begin a code point.
@@ -112,7 +114,7 @@ def repeated_lines(body: bytes) -> int:
 
 
 #: Words a task counts before it hands its counts on.
-HELD_WORDS = 500_000
+HELD_WORDS = 100_000
 
 COUNTED = "lang string, kind string, name binary, n bigint"
 
@@ -134,30 +136,34 @@ def language_references(
         classes: dict[str, np.ndarray] = {}
         words: dict[str, Counter] = {}
 
-        def handed_on() -> pa.RecordBatch:
-            out = []
+        def rows(own: str, kind: str, counts: dict[bytes, int]) -> pa.RecordBatch:
+            columns = [own] * len(counts), [kind] * len(counts), list(counts), list(counts.values())
+            arrays = [pa.array(c, t) for c, t in zip(columns, schema.types)]
+            return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+        def handed_on() -> Iterator[pa.RecordBatch]:
             for own, counts in classes.items():
-                out += [(own, "class", c.encode(), int(n)) for c, n in zip(CLASSES, counts)]
+                named = {c.encode(): int(n) for c, n in zip(CLASSES, counts)}
+                yield rows(own, "class", named)
             for own, counter in words.items():
                 stems: dict[bytes, int] = {}
                 for word, n in counter.items():
                     word = stem(word)
                     stems[word] = stems.get(word, 0) + n
-                out.append((own, "total", b"", sum(stems.values())))
-                out += [(own, "word", word, n) for word, n in stems.items() if word]
-            columns = list(zip(*out)) or [()] * 4
+                yield rows(own, "total", {b"": sum(stems.values())})
+                stems.pop(b"", None)
+                yield rows(own, "word", stems)
             classes.clear()
             words.clear()
-            arrays = [pa.array(c, t) for c, t in zip(columns, schema.types)]
-            return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
         for batch in batches:
-            for own, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for own, body in zip(batch.column(0).to_pylist(), batch.column(1)):
+                body = body.as_py()
                 classes[own] = classes.get(own, 0) + class_counts(body)
                 words.setdefault(own, Counter()).update(body.split())
-            if sum(map(len, words.values())) > HELD_WORDS:
-                yield handed_on()
-        yield handed_on()
+                if sum(map(len, words.values())) > HELD_WORDS:
+                    yield from handed_on()
+        yield from handed_on()
 
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).cast("binary").alias("body")
@@ -240,6 +246,7 @@ def judge_documents(
     each. Columns of ``docs`` with a name of a result are replaced.
     """
     made = [part.split()[0] for part in JUDGED.split(", ")]
+    small_batches(docs.sparkSession)
     rows = language_references(docs, rules, text, lang)
     # A few rows for each language; of very many language labels those with most words are held.
     total = Window.partitionBy("lang")
