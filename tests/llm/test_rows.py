@@ -26,3 +26,37 @@ def test_without(spark, tmp_path):
     numbered.filter("id % 3 = 0").select("_row").write.parquet(dropped)
     left = rows.without(numbered, spark.read.parquet(dropped))
     assert left.columns == ["id"] and {r["id"] for r in left.collect()} == {i for i in range(30) if i % 3}
+
+
+def test_numbers_do_not_depend_on_how_a_scan_is_split(spark, tmp_path):
+    table = str(tmp_path / "a table%20é")
+    wide = spark.range(60_000).withColumn("text", F.sha2(F.col("id").cast("string"), 512))
+    wide.repartition(3).write.parquet(table)
+    scan = spark.read.parquet(table)
+    counted = rows.numbered(scan.filter("id > 9"), str(tmp_path / "a"))
+    name, found = "spark.sql.files.maxPartitionBytes", []
+    before = spark.conf.get(name)
+    try:
+        for size in ("300k", "100m"):
+            spark.conf.set(name, size)
+            again = counted.select("id", "_row")
+            found.append((again.rdd.getNumPartitions(), {r["id"]: r["_row"] for r in again.collect()}))
+    finally:
+        spark.conf.set(name, before)
+    assert found[0][0] != found[1][0]
+    assert found[0][1] == found[1][1] and len(set(found[0][1].values())) == 59_990
+
+
+def test_what_has_no_lasting_address_is_written(spark, tmp_path):
+    table = str(tmp_path / "table")
+    spark.range(50).write.parquet(table)
+    spark.range(50).write.json(str(tmp_path / "json"))
+    once = spark.read.parquet(table)
+    for place, docs in {
+        "twice": spark.read.parquet(table, table),
+        "drawn": once.withColumn("drawn", F.rand()),
+        "json": spark.read.json(str(tmp_path / "json")),
+    }.items():
+        counted = rows.numbered(docs, str(tmp_path / f"numbered-{place}"))
+        assert Path(tmp_path / f"numbered-{place}").exists()
+        assert counted.select("_row").distinct().count() == docs.count()
