@@ -254,3 +254,31 @@ def test_language_model_of_awkward_rows(awkward, nothing):
 def test_crc32_agrees_with_the_contract(spark):
     row = spark.range(1).select(F.crc32(F.lit("123").cast("binary"))).first()
     assert row[0] == zlib.crc32(b"123")
+
+
+def test_copies_and_rejected_texts_make_no_reference(spark, tmp_path):
+    pick = random.Random(5)
+    words = "the of and to in a is that for it was on are as with they at be this have".split()
+    prose = [" ".join(pick.choices(words, k=pick.randint(110, 160))) for _ in range(40)]
+    junk = " ".join(f"{w}{i}###" for i, w in enumerate(pick.choices(words, k=112)))
+    short = " ".join(f"%%{i}" for i in range(40))
+    rows = [(i, t, "en") for i, t in enumerate(prose)]
+    rows += [(100 + i, junk, "en") for i in range(400)] + [(600, junk, "de"), (601, None, "en"), (602, junk, None)]
+    rows += [(1000 + i, f"{short} {i}", "en") for i in range(300)]
+    table = str(tmp_path / "docs")
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string").repartition(4)
+    docs.write.parquet(table)
+    classes, counts = {}, {}
+    for own, text in [("en", t) for t in prose] + [("en", junk), ("de", junk)]:
+        classes[own] = classes.get(own, 0) + quality.class_counts(text.encode())
+        counts.setdefault(own, Counter()).update(map(quality.stem, text.encode().split()))
+    rules = quality.Rules(repeat_percent=100)
+    for source in (docs, spark.read.parquet(table)):
+        found = {(r["lang"], r["kind"], bytes(r["name"])): r["n"] for r in quality.language_references(source, rules).collect()}
+        for own in ("en", "de"):
+            assert [found[own, "class", c.encode()] for c in quality.CLASSES] == classes[own].tolist()
+            assert found[own, "total", b""] == sum(counts[own].values())
+        assert all(found["en", "word", w.encode()] == counts["en"][w.encode()] for w in words)
+        only_english = source.filter("lang = 'en' AND text IS NOT NULL")
+        kept = quality.judge_documents(only_english, rules).filter("kept").select("doc_id").collect()
+        assert {r["doc_id"] for r in kept} == set(range(40))

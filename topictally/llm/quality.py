@@ -1,7 +1,8 @@
 """Quality rules with a distribution divergence.
 
-Each language's reference is a pair of histograms over all its documents: character classes, and its
-most common words. A document is compared with every reference by Jensen-Shannon distance and judged
+Each language's reference is a pair of histograms over its distinct texts that pass the base rules:
+character classes, and its most common words. Copies of a text add nothing, so no group of copies
+becomes the reference of its language. A document is compared with every reference by Jensen-Shannon distance and judged
 by the nearest one, so a wrong language column rejects nothing. Guards of least length keep short
 texts, whose histograms say little, out of the comparison.
 """
@@ -16,7 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from topictally.llm.rows import numbered
 from topictally.llm.workers import small_batches
+from topictally.session import scratch_folder
 
 CLASSES = ("lower", "upper", "digit", "space", "line", "stop", "symbol", "other")
 SYMBOLS = b"#*$%&|<>"
@@ -113,6 +116,38 @@ def repeated_lines(body: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
+def fails_base_rules(n: int, repeats: int, rules: Rules) -> bool:
+    return n < rules.least_words or 100 * repeats > rules.repeat_percent * n
+
+
+#: Rows whose marks lie in one bitmap, as Spark's bitmap functions have it.
+MARKED_ROWS = 8 * 4096
+
+
+def first_copies(docs: DataFrame, text: str, lang: str) -> DataFrame:
+    """One row (lang, body) of ``docs`` for each distinct text of each language, nulls left out.
+
+    Texts are told apart by 256-bit digests. Only digests and row numbers are shuffled: a bit for each
+    row says whether it is the first of its copies, and the bits travel to the texts.
+    """
+    spark = docs.sparkSession
+    folder = scratch_folder(spark, "quality-copies")
+    known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").cast("binary").alias("body")
+    )
+    rows = numbered(known, f"{folder}/docs")
+    digest = F.unhex(F.sha2("body", 256)).alias("digest")
+    first = rows.groupBy("lang", digest).agg(F.min("_row").alias("row"))
+    marks = first.groupBy(F.expr(f"row div {MARKED_ROWS}").alias("block")).agg(
+        F.bitmap_construct_agg(F.expr(f"row % {MARKED_ROWS}")).alias("marks")
+    )
+    marks.write.parquet(f"{folder}/marks")
+    marks = F.broadcast(spark.read.parquet(f"{folder}/marks"))
+    byte = f"conv(hex(substring(marks, int(_row % {MARKED_ROWS} div 8) + 1, 1)), 16, 10)"
+    marked = rows.withColumn("block", F.expr(f"_row div {MARKED_ROWS}")).join(marks, "block")
+    return marked.filter(f"getbit(bigint({byte}), int(_row % 8)) = 1").select("lang", "body")
+
+
 #: Words a task counts before it hands its counts on.
 HELD_WORDS = 100_000
 
@@ -122,11 +157,11 @@ COUNTED = "lang string, kind string, name binary, n bigint"
 def language_references(
     docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: str = "lang"
 ) -> DataFrame:
-    """Histograms of every language over all its documents: lang, kind, name, n.
+    """Histograms of every language over its distinct texts: lang, kind, name, n.
 
     ``kind`` is "class" with the character classes, "total" with the number of words, or "word" with
-    the ``common_words`` most common words (ties go by word). Documents without a language or text
-    add nothing. Tasks sum before the shuffle; an empty table gives no rows.
+    the ``common_words`` most common words (ties go by word). Documents without a language or text,
+    and those that the base rules reject, add nothing. Tasks sum before the shuffle; an empty table gives no rows.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,15 +194,16 @@ def language_references(
         for batch in batches:
             for own, body in zip(batch.column(0).to_pylist(), batch.column(1)):
                 body = body.as_py()
+                split = body.split()
+                if fails_base_rules(len(split), repeated_words(split), rules):
+                    continue
                 classes[own] = classes.get(own, 0) + class_counts(body)
-                words.setdefault(own, Counter()).update(body.split())
+                words.setdefault(own, Counter()).update(split)
                 if sum(map(len, words.values())) > HELD_WORDS:
                     yield from handed_on()
         yield from handed_on()
 
-    rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(lang).cast("string").alias("lang"), F.col(text).cast("binary").alias("body")
-    )
+    rows = first_copies(docs, text, lang)
     sums = rows.mapInArrow(count, COUNTED).groupBy("lang", "kind", "name").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "name")
     ranked = sums.withColumn("place", F.row_number().over(order))
@@ -217,7 +253,7 @@ class Judge:
         symbols = len(body) - len(body.translate(None, SYMBOLS))
         repeats = repeated_words(words)
         of_classes, of_words = self.distances(body, words)
-        failed = n < rules.least_words or 100 * repeats > rules.repeat_percent * n
+        failed = fails_base_rules(n, repeats, rules)
         diverges = (n >= rules.class_words and of_classes > rules.class_distance) or (
             n >= rules.word_words and of_words > rules.word_distance
         )
