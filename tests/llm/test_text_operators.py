@@ -282,3 +282,17 @@ def test_copies_and_rejected_texts_make_no_reference(spark, tmp_path):
         only_english = source.filter("lang = 'en' AND text IS NOT NULL")
         kept = quality.judge_documents(only_english, rules).filter("kept").select("doc_id").collect()
         assert {r["doc_id"] for r in kept} == set(range(40))
+
+
+def test_every_language_is_a_reference(spark):
+    pick = random.Random(9)
+    rows = []
+    for own in range(6):
+        words = [f"{chr(97 + own)}{i}" for i in range(20)]
+        rows += [(own * 10 + i, " ".join(pick.choices(words, k=150)), f"l{own}") for i in range(8 - own)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    rules = quality.Rules(repeat_percent=100, languages=2)
+    judged = {r["doc_id"]: r for r in quality.judge_documents(docs, rules).collect()}
+    assert len(judged) == len(rows) and all(r["kept"] for r in judged.values())
+    whole = quality.judge_documents(docs, quality.Rules(repeat_percent=100)).collect()
+    assert {r["doc_id"]: r["word_distance"] for r in whole} == {k: r["word_distance"] for k, r in judged.items()}

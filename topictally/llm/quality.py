@@ -33,7 +33,7 @@ class Rules:
     """Limits of the rules; distances lie between 0 and 1.
 
     ``common_words`` bounds a reference; ``class_words`` and ``word_words`` are the least numbers of
-    words for the two comparisons. ``languages`` bounds how many references are held.
+    words for the two comparisons. ``languages`` bounds how many references are compared at once.
     """
 
     least_words: int = 50
@@ -73,14 +73,14 @@ def stem(word: bytes) -> bytes:
     return word.strip(STRIPPED).lower()
 
 
-def distance(p: np.ndarray, q: np.ndarray) -> float:
-    """Jensen-Shannon distance to base 2 of two histograms, each with a positive sum."""
-    p, q = p / p.sum(), q / q.sum()
+def distances(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Jensen-Shannon distances to base 2 of histograms, row by row, each with a positive sum."""
+    p, q = (x / x.sum(axis=-1, keepdims=True) for x in (p, q))
     middle = (p + q) / 2
     with np.errstate(divide="ignore", invalid="ignore"):
-        left = np.where(p > 0, p * np.log2(p / middle), 0.0).sum()
-        right = np.where(q > 0, q * np.log2(q / middle), 0.0).sum()
-    return float(np.sqrt(max(0.0, (left + right) / 2)))
+        left = np.where(p > 0, p * np.log2(p / middle), 0.0).sum(axis=-1)
+        right = np.where(q > 0, q * np.log2(q / middle), 0.0).sum(axis=-1)
+    return np.sqrt(np.maximum(0.0, (left + right) / 2))
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -215,34 +215,50 @@ class Judge:
 
     def __init__(self, references: list[tuple], rules: Rules):
         self.rules = rules
-        self.references = []
         by_lang: dict[str, dict[str, dict[bytes, int]]] = {}
         for lang, kind, name, n in references:
             by_lang.setdefault(lang, {}).setdefault(kind, {})[bytes(name)] = n
-        for lang, kinds in sorted(by_lang.items()):
-            classes = np.array([kinds.get("class", {}).get(c.encode(), 0) for c in CLASSES], float)
+        found = []
+        for _, kinds in sorted(by_lang.items()):
+            classes = [kinds.get("class", {}).get(c.encode(), 0) for c in CLASSES]
             top = sorted(kinds.get("word", {}).items(), key=lambda x: (-x[1], x[0]))
             top = top[: rules.common_words]
             rest = kinds.get("total", {}).get(b"", 0) - sum(n for _, n in top)
-            words = np.array([*(n for _, n in top), max(rest, 0)], float)
-            if classes.sum() and words.sum():
-                places = {word: i for i, (word, _) in enumerate(top)}
-                self.references.append((lang, classes, places, words))
+            if sum(classes) and (top or rest > 0):
+                found.append((classes, top, max(rest, 0)))
+        at_once = max(1, rules.languages)
+        self.blocks = [self._block(found[i : i + at_once]) for i in range(0, len(found), at_once)]
+
+    def _block(self, found: list[tuple]) -> tuple[np.ndarray, np.ndarray, dict[bytes, list[int]]]:
+        """Histograms as rows of matrices, the rest of the words last, and the places of each word."""
+        width = self.rules.common_words + 1
+        words = np.zeros((len(found), width))
+        places: dict[bytes, list[int]] = {}
+        for row, (_, top, rest) in enumerate(found):
+            for i, (word, n) in enumerate(top):
+                words[row, i] = n
+                places.setdefault(word, []).append(row * width + i)
+            words[row, -1] = rest
+        return np.array([classes for classes, _, _ in found], float), words, places
 
     def distances(self, body: bytes, words: list[bytes]) -> tuple[float, float]:
         """Distance of classes and of words to the nearest references; 0 without references."""
-        if not self.references or not words:
+        if not self.blocks or not words:
             return 0.0, 0.0
         own = class_counts(body).astype(float)
         stems = Counter(map(stem, words))
         far = []
-        for _, classes, places, reference in self.references:
-            counts = np.zeros(len(reference))
-            for word, i in places.items():
-                counts[i] = stems.get(word, 0)
-            counts[-1] = len(words) - counts.sum()
-            far.append((distance(own, classes), distance(counts, reference)))
-        return min(c for c, _ in far), min(w for _, w in far)
+        for classes, reference, places in self.blocks:
+            counts = np.zeros(reference.shape)
+            index, values = [], []
+            for word, n in stems.items():
+                if at := places.get(word):
+                    index += at
+                    values += [n] * len(at)
+            counts.flat[index] = values
+            counts[:, -1] = len(words) - counts.sum(axis=1)
+            far.append((distances(own, classes).min(), distances(counts, reference).min()))
+        return float(min(c for c, _ in far)), float(min(w for _, w in far))
 
     def judge(self, body: bytes) -> tuple:
         """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, distances, verdicts."""
@@ -284,12 +300,8 @@ def judge_documents(
     made = [part.split()[0] for part in JUDGED.split(", ")]
     small_batches(docs.sparkSession)
     rows = language_references(docs, rules, text, lang)
-    # A few rows for each language; of very many language labels those with most words are held.
-    total = Window.partitionBy("lang")
-    size = F.max(F.when(F.col("kind") == "total", F.col("n"))).over(total)
-    limit = rules.languages * (rules.common_words + len(CLASSES) + 1)
-    held = rows.withColumn("size", size).orderBy(F.desc("size"), "lang").limit(limit).drop("size")
-    references = [tuple(r) for r in held.collect()]
+    # A few rows for each language.
+    references = [tuple(r) for r in rows.collect()]
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(references, rules).judge
