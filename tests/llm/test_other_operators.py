@@ -239,3 +239,13 @@ def test_pipeline_survives_awkward_rows(spark, awkward, nothing, tmp_path):
                 assert out.columns == docs.columns
             out.write.parquet(str(tmp_path / f"{name}-{i}"))
             docs = spark.read.parquet(str(tmp_path / f"{name}-{i}"))
+
+
+def test_raw_elements_end_where_they_end():
+    def texts(page):
+        return [block.text for block in leaf_blocks(page)]
+
+    assert texts("<p>a</p><svg class='i'/><p>b</p><svg><text>x</text></svg><p>c</p>") == ["a", "b", "c"]
+    assert texts("<p>a</p><svg/><p>b") == ["a", "b"]
+    assert texts("<p>a</p><select-x>b</select-x><title-bar>c</title-bar><p>d</p>") == ["a", "b", "c", "d"]
+    assert texts("<p>a</p><script\n>x</script><p>b</p>") == ["a", "b"]

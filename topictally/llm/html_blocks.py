@@ -33,7 +33,10 @@ IMPLIED_END = {
 #: Ancestors at which the search for an implied end stops.
 SCOPES = frozenset("ul ol dl table td th article section main div body html aside nav".split())
 
-_RAW_BODIES = "|".join(rf"<{name}\b[^>]*>.*?(?:</{name}\s*>|\Z)" for name in RAW)
+#: Of these only svg, which is no HTML, ends at "/>".
+_RAW_BODIES = r"<svg(?=[\s/>])[^>]*/>|" + "|".join(
+    rf"<{name}(?=[\s/>])[^>]*>.*?(?:</{name}\s*>|\Z)" for name in RAW
+)
 MARKUP = re.compile(
     rf"(?P<raw>{_RAW_BODIES})|<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
