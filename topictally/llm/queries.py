@@ -13,10 +13,13 @@ from topictally.llm import (
     html_extract,
     jaccard_join,
     language_id,
+    merkle,
     ngram_lm,
     packing,
+    prefix_trie,
     quality,
     secrets,
+    top_k,
 )
 from topictally.session import scratch_folder
 
@@ -129,6 +132,40 @@ def op10_best_fit_packing(spark, sf_dir):
     return packing.pack(summed, capacity=1024)
 
 
+def op11_exact_top_k(spark, sf_dir):
+    embeddings = _table(spark, sf_dir, "embeddings")
+    return top_k.exact_top_k(embeddings, F.col("vec_id") % 20 == 0, k=20)
+
+
+def op12_prefix_trie(spark, sf_dir):
+    """The trie of all conversations after each got the first turns of its twenty's first one."""
+    whole = prefix_trie.sequences(_table(spark, sf_dir, "conversations"))
+    key = F.col("conv_id")
+    shared = F.crc32(key.cast("string").cast("binary")) % 4
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(whole, key - key % 20, shared, most=3))
+
+
+def op13_merkle_manifest(spark, sf_dir):
+    """Leaves, roots and proofs; a seventh of the rows is shown with one character more than recorded."""
+    told = F.col("n_chars").cast("decimal(38,0)")
+    tampered = F.coalesce(_remainder(7) == 0, F.lit(False))
+    shown = F.when(tampered, told + 1).otherwise(told)
+    made = merkle.manifest(_table(spark, sf_dir, "documents"), presented={"n_chars": shown})
+
+    def text(name: str):
+        return F.lower(F.hex(name))
+
+    return made.select(
+        "doc_id",
+        text("leaf").alias("leaf"),
+        text("subroot").alias("subroot"),
+        text("root").alias("root"),
+        text("proof").alias("proof_sha256"),
+        text("folded").alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -144,6 +181,9 @@ QUERIES = (
     op8_chat_format,
     op9_secret_scan,
     op10_best_fit_packing,
+    op11_exact_top_k,
+    op12_prefix_trie,
+    op13_merkle_manifest,
     pipeline,
 )
 
@@ -351,6 +391,122 @@ SELECT * EXCLUDE (diverges), NOT base_failed AND NOT coalesce(diverges, false) A
 """
 
 
+_TOP_K_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, row_number() OVER w::INT AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 20
+"""
+
+#: crc32 by its polynomial, eight shifts a byte; DuckDB has no such function.
+_CRC32 = """
+    list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({0}) + 1),
+        lambda i: ascii({0}[i])::BIGINT)), lambda c, b: list_reduce(list_prepend(xor(c, b), range(0, 8)),
+        lambda r, k: xor(r >> 1, (r & 1) * 3988292384)))
+"""
+
+
+def _crc32_sql(number: str) -> str:
+    """The unsigned crc32 of a whole number's decimal digits."""
+    return f"xor({_CRC32.format(f'(({number})::VARCHAR)')}, 4294967295)"
+
+
+def _trie_sql() -> str:
+    """Each conversation's beginnings, grouped; subtrees by joining nodes with the beginnings below them."""
+    return rf"""
+WITH RECURSIVE t AS (
+    SELECT conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id,
+        len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS words
+    FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+    SELECT conv_id, list({{'id': id, 'words': words}} ORDER BY turn NULLS FIRST, id) AS own,
+        ({_crc32_sql('conv_id')} % 4)::INT AS h
+    FROM t GROUP BY conv_id),
+r AS (
+    SELECT c.conv_id, list_concat(coalesce(f.own[1:c.h], []), c.own[c.h + 1:]) AS turns
+    FROM c LEFT JOIN c f ON f.conv_id = c.conv_id - c.conv_id % 20),
+p AS (
+    SELECT conv_id, d, len(turns) AS size, CASE WHEN d > 0 THEN turns[d].words ELSE 0 END AS words,
+        sha256(array_to_string(list_transform(turns[1:d], lambda x: x.id), ',')) AS node,
+        CASE WHEN d > 0 THEN
+            sha256(array_to_string(list_transform(turns[1:d - 1], lambda x: x.id), ',')) END AS above
+    FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM r)),
+n AS (
+    SELECT node, any_value(above) AS above, any_value(d) AS depth, min(conv_id) AS conv_id,
+        count(*) AS n_convs, (count(*) - 1) * any_value(words) AS own,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = d), '')) AS ends_sha256
+    FROM p GROUP BY node),
+k AS (SELECT above AS node, count(*) AS n_children FROM n WHERE above IS NOT NULL GROUP BY above),
+s AS (
+    SELECT node AS top, node, above, own FROM n
+    UNION ALL SELECT s.top, n.node, n.above, n.own FROM s JOIN n ON n.above = s.node),
+u AS (
+    SELECT top AS node, sum(own)::BIGINT AS saved_tokens,
+        count(*) FILTER (k.node IS NULL) AS n_leaves
+    FROM s LEFT JOIN k ON k.node = s.node GROUP BY top)
+SELECT n.conv_id, n.depth, m.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children,
+    u.n_leaves, u.saved_tokens, n.ends_sha256
+FROM n JOIN u USING (node) LEFT JOIN k USING (node) LEFT JOIN n m ON m.node = n.above
+"""
+
+
+def _merkle_sql() -> str:
+    """Levels by pairing neighbours, then proofs and folding a level at a time."""
+
+    def leaf(n_chars: str) -> str:
+        fields = ("doc_id", "source", "lang", n_chars, "text")
+        told = (f"coalesce(strlen(({f})::VARCHAR) || ':' || ({f})::VARCHAR, '-')" for f in fields)
+        return f"sha256({' || '.join(told)})"
+
+    shown = f"CASE WHEN {_crc32_sql('doc_id')} % 7 = 0 THEN n_chars + 1 ELSE n_chars END"
+
+    def levels(leaves: str) -> str:
+        return f"""
+    SELECT tree, 0 AS level, i, h, count(*) OVER (PARTITION BY tree) AS n FROM ({leaves})
+    UNION ALL
+    SELECT tree, level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 1) // 2
+    FROM {{0}} WHERE n > 1 GROUP BY tree, level, i // 2"""
+
+    def walk(name: str, nodes: str, start: str) -> str:
+        """Each document's way up: the digests beside it, and what its shown leaf folds to."""
+        return f"""
+{name} AS (
+    {start}
+    UNION ALL
+    SELECT w.row, w.tree, w.level + 1, w.i // 2, w.proof || coalesce(b.h, ''),
+        sha256(CASE WHEN w.i % 2 = 0 THEN w.folded || coalesce(b.h, '') ELSE b.h || w.folded END)
+    FROM {name} w JOIN {nodes} x ON x.tree = w.tree AND x.level = w.level AND x.i = w.i AND x.n > 1
+    LEFT JOIN {nodes} b ON b.tree = w.tree AND b.level = w.level AND b.i = xor(w.i, 1))"""
+
+    inner = "SELECT tree, i, leaf AS h FROM d"
+    outer = "SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS i, h FROM nodes WHERE n = 1"
+    first = "SELECT row, tree, 0 AS level, i, '' AS proof, shown AS folded FROM d"
+    second = """SELECT w.row, '' AS tree, 0 AS level, t.i, w.proof, w.folded FROM up w
+        JOIN (SELECT tree, row_number() OVER (ORDER BY tree) - 1 AS i FROM nodes WHERE n = 1) t USING (tree)
+        JOIN nodes x ON x.tree = w.tree AND x.level = w.level AND x.n = 1"""
+    return f"""
+WITH RECURSIVE l AS (
+    SELECT doc_id, coalesce('=' || lang, '') AS tree, {leaf('n_chars')} AS leaf, {leaf(shown)} AS shown
+    FROM documents),
+d AS (
+    SELECT *, row_number() OVER (ORDER BY tree, doc_id NULLS FIRST, leaf) AS row,
+        row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM l),
+nodes AS ({levels(inner).format('nodes')}),
+tops AS ({levels(outer).format('tops')}),
+{walk('up', 'nodes', first)},
+{walk('over_all', 'tops', second)}
+SELECT d.doc_id, d.leaf, s.h AS subroot, r.h AS root, sha256(w.proof) AS proof_sha256,
+    w.folded AS folded_root, w.folded = r.h AS verified
+FROM d JOIN nodes s ON s.tree = d.tree AND s.n = 1
+JOIN (SELECT * FROM tops WHERE n = 1) r ON true
+JOIN over_all w ON w.row = d.row AND w.level = r.level
+"""
+
+
 SQL = {
     "op1_exact_dedup": _DEDUP_SQL,
     "op4_jaccard_join": _jaccard_sql("documents", 4, 85),
@@ -358,6 +514,9 @@ SQL = {
     "op7_quality_rules": _quality_sql(),
     "op8_chat_format": _CHAT_SQL,
     "op9_secret_scan": _secret_sql(),
+    "op11_exact_top_k": _TOP_K_SQL,
+    "op12_prefix_trie": _trie_sql(),
+    "op13_merkle_manifest": _merkle_sql(),
 }
 
 
