@@ -28,7 +28,7 @@ from topictally.operators import (
     windowed_count,
 )
 from topictally.plans import jobs
-from topictally.plans.folds import ItemTotals, ViewDivisor
+from topictally.plans.folds import ITEM_TOTALS, ItemProduct, ViewDivisor
 from topictally.plans.standins import (
     EVENTS,
     SLICES,
@@ -40,7 +40,7 @@ from topictally.plans.standins import (
     table,
     time_slices,
 )
-from topictally.session import scratch_folder
+from topictally.session import Folder, scratch_folder
 from topictally.sources import (
     TopicSettings,
     batch_writer,
@@ -51,6 +51,7 @@ from topictally.sources import (
 )
 from topictally.streaming import (
     Job,
+    fold_stream,
     last_n_stream,
     latest,
     stream_changelog,
@@ -302,10 +303,10 @@ def _run_in_slices(spark, sf_dir, name, writer_of, late=False) -> DataFrame:
     """Like ``_run``, but the events arrive in parts, and the job is stopped and started between."""
     settings = _scratch(spark, name)
     job = _job(spark, settings, name)
-    arrived = f"{settings.root}/events"
-    for part in time_slices(table(spark, sf_dir, "events"), late):
-        part.write.mode("append").parquet(arrived)
-        events = spark.readStream.schema(EVENTS).parquet(arrived)
+    files = Folder(spark, settings.root)
+    for part in time_slices(table(spark, sf_dir, "events"), f"{settings.root}/parts", late):
+        files.move(f"parts/{part}", f"arrived/{part}")
+        events = spark.readStream.schema(EVENTS).parquet(f"{settings.root}/arrived/*")
         sink = batch_writer("out", settings, key=None)
         job.run(writer_of(events, sink, job), available_now=True)
     return spark.read.parquet(settings.path("out"))
@@ -448,21 +449,48 @@ def stream_bottom_pages_live(spark, sf_dir):
     return _live_pages(spark, sf_dir, False)
 
 
+def _page_table(spark, sf_dir, aggregate) -> DataFrame:
+    """The newest result per industry over the updating table of page counts."""
+    out = _run_in_slices(
+        spark,
+        sf_dir,
+        "table-fold",
+        lambda events, sink, job: updating_aggregate(
+            _articles(events), "industry", "page", aggregate, sink, job.state_dir
+        ),
+    )
+    fields = [c for c in out.columns if c not in ("industry", "version", "batch")]
+    newest = F.max_by(F.struct(*fields), "version").alias("newest")
+    return out.groupBy("industry").agg(newest).select("industry", "newest.*")
+
+
 def stream_table_fold(spark, sf_dir):
     """Pages and views per industry over the updating table of counts.
 
     A page's count changes from part to part, so its old row is removed and a new one added.
     """
+    return _page_table(spark, sf_dir, ITEM_TOTALS)
+
+
+def stream_table_product(spark, sf_dir):
+    """The same with an aggregate that Spark lacks: the product of all counts modulo a prime."""
+    return _page_table(spark, sf_dir, ItemProduct())
+
+
+def stream_fold(spark, sf_dir):
+    """A fold over the records of a stream: each user's events and the divisor of their scores."""
+    score = F.get_json_object("props", "$.k").cast("bigint").alias("n")
     out = _run_in_slices(
         spark,
         sf_dir,
-        "table-fold",
-        lambda events, sink, job: updating_aggregate(
-            _articles(events), "industry", "page", ItemTotals()
-        ).writeStream.foreachBatch(sink),
+        "fold",
+        lambda events, sink, job: fold_stream(
+            events.select("user_id", score), "user_id", ViewDivisor(), sink, job.state_dir
+        ),
     )
-    newest = F.max_by(F.struct("items", "total"), "version").alias("newest")
-    return out.groupBy("industry").agg(newest).select("industry", "newest.*")
+    newest = F.max_by(F.struct("pages", "divisor"), "version").alias("newest")
+    rows = out.groupBy("user_id").agg(newest)
+    return rows.select("user_id", F.col("newest.pages").alias("events"), "newest.divisor")
 
 
 def _last_rows(events):
@@ -557,11 +585,17 @@ def stream_broken_messages(spark, sf_dir):
 # Whole jobs, from topic to topic, stopped and started while records arrive
 
 
+def _parts(spark, sf_dir, settings):
+    folder = f"{settings.root}/parts"
+    for part in time_slices(table(spark, sf_dir, "events"), folder):
+        yield spark.read.schema(EVENTS).parquet(f"{folder}/{part}")
+
+
 def _run_job(spark, sf_dir, name, records_of, topic, output, run, **settings) -> DataFrame:
     source = _scratch(spark, name, **settings)
     sink = TopicSettings(root=source.root)
     job = _job(spark, source, name)
-    for part in time_slices(table(spark, sf_dir, "events")):
+    for part in _parts(spark, sf_dir, source):
         write_topic(records_of(part), topic, source)
         run(source, sink, job)
     return spark.read.parquet(sink.path(output))
@@ -629,7 +663,7 @@ def default_types(spark, sf_dir):
     settings = _scratch(spark, "defaults", key_type="bigint", value_type="string", encoded=True)
     sink = TopicSettings(root=settings.root)
     job = _job(spark, settings, "defaults")
-    for part in time_slices(table(spark, sf_dir, "events")):
+    for part in _parts(spark, sf_dir, settings):
         write_topic(region_records(part), jobs.REGIONS_TOPIC, settings)
         records = read_topic(spark, jobs.REGIONS_TOPIC, settings, streaming=True)
         read = records.select("key", "value")
@@ -689,6 +723,8 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             stream_top_pages_live,
             stream_bottom_pages_live,
             stream_table_fold,
+            stream_table_product,
+            stream_fold,
             stream_last_events,
             stream_windowed_updates,
             stream_hopping_updates,
@@ -923,6 +959,16 @@ def own_sql() -> dict[str, str]:
             SELECT event_type AS industry, count(DISTINCT user_id % 20) AS items,
                    count(*) AS total
             FROM events WHERE (props ->> '$.k')::INT < 50 GROUP BY ALL""",
+        # SQL multiplies 64-bit numbers modulo the prime one after the other, in wider ones.
+        "stream_table_product": """
+            SELECT industry, count(*) AS items, list_reduce(list_prepend(1::HUGEINT, list(n::HUGEINT)),
+                lambda a, n: a * (n % 2147483646 + 1) % 2147483647)::BIGINT AS product
+            FROM (SELECT event_type AS industry, user_id % 20 AS page, count(*) AS n
+                  FROM events WHERE (props ->> '$.k')::INT < 50 GROUP BY ALL)
+            GROUP BY industry""",
+        "stream_fold": """
+            SELECT user_id, count(*) AS events, list_reduce(list(n), lambda a, b: gcd(a, b)) AS divisor
+            FROM (SELECT user_id, (props ->> '$.k')::BIGINT AS n FROM events) GROUP BY user_id""",
         "stream_last_events": last_five,
         "stream_windowed_updates": f"""
             SELECT start AS window_start, region AS key, count FROM ({minute_counts})""",

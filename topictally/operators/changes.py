@@ -17,20 +17,16 @@ def with_window(df: DataFrame, size: int | str | None, time: str) -> DataFrame:
     return df.withColumn("window", F.window(instant(df, time), interval(size)))
 
 
-def block_bounds(df: DataFrame, order: str, blocks: int) -> DataFrame:
-    """One row: the places in the order that part the records into ``blocks`` of about equal rows."""
-    shares = [i / blocks for i in range(1, blocks)]
-    place = F.col(order).cast("bigint")
-    if not shares:
-        return df.select(F.array().cast("array<bigint>").alias("bounds")).limit(1)
-    return df.agg(F.percentile_approx(place, shares, 20 * blocks).alias("bounds"))
+def block_bounds(order: str, blocks: int) -> Column:
+    """An aggregate: the places in the order that part the records into ``blocks`` of about equal rows."""
+    shares = [i / blocks for i in range(1, blocks)] or [1.0]
+    return F.percentile_approx(F.col(order).cast("bigint"), shares, 20 * blocks)
 
 
-def block_number(order: str, blocks: int) -> Column:
-    """Number of the block a record falls into: how many of ``_bounds`` are not above its place."""
+def block_number(order: str, blocks: int, bounds: Column) -> Column:
+    """Number of the block a record falls into: how many of the bounds are not above its place."""
     place = F.col(order).cast("bigint")
     steps = [1 << i for i in range((blocks - 1).bit_length() - 1, -1, -1)]
-    bounds = F.col("_bounds")
 
     def step(found: Column, size: Column) -> Column:
         beyond = F.get(bounds, found + size - 1) <= place
@@ -50,6 +46,7 @@ def changelog(
     blocks: int | None = None,
     keep_null_key: bool = False,
     carried: DataFrame | None = None,
+    bounds: Sequence[int] | None = None,
     name: str = "count",
 ) -> DataFrame:
     """Every update of a count as a row: one row per record with its key's count so far.
@@ -64,7 +61,8 @@ def changelog(
     the network once; before that their offsets are read for the cuts, and keys and offsets for the
     blocks' counts.
 
-    ``carried`` holds counts from before this input, as key columns and ``_carried``.
+    ``carried`` holds counts from before this input, as key columns and ``_carried``. ``bounds`` are cuts that
+    were found before (``block_bounds``); the offsets are then not read for them.
     """
     if blocks is None:
         blocks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -73,12 +71,16 @@ def changelog(
     order = key_columns(order)
     fields = key_columns(key)
     rows = drop_null_key(df, key, keep_null_key)
-    rows = rows.withColumn("_bounds", block_bounds(rows, order[0], blocks).scalar())
+    if bounds is None:
+        cuts = rows.agg(block_bounds(order[0], blocks).alias("bounds")).scalar()
+    else:
+        cuts = F.expr(f"cast(array({', '.join(f'{b}L' for b in bounds)}) AS array<bigint>)")
+    rows = rows.withColumn("_bounds", cuts)
     # Struct equality takes null fields as equal, as grouping does; plain columns would not join,
     # but sort and hash faster, so a single key without nulls stays a plain column.
     plain = isinstance(key, str) and not keep_null_key
     group = F.col(fields[0]) if plain else F.struct(*fields)
-    parts = {"_key": group, "_block": block_number(order[0], blocks)}
+    parts = {"_key": group, "_block": block_number(order[0], blocks, F.col("_bounds"))}
     if size is not None:
         parts = {"_start": F.window(instant(df, time), interval(size)).start, **parts}
     others = [c for c in df.columns if c not in fields]

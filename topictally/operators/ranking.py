@@ -86,7 +86,11 @@ def last_n(
     by: str | Sequence[str],
     order: str | Sequence[str],
     n: int,
+    ties: Sequence[str | Column] = (),
     rank: str = "rank",
 ) -> DataFrame:
-    """The last ``n`` rows of each group, the newest ranked 1 (LST-1)."""
-    return top_n(df, by, order, n, descending=True, rank=rank)
+    """The last ``n`` rows of each group, the newest ranked 1 (LST-1).
+
+    ``ties`` decide between rows of one place in the order.
+    """
+    return top_n(df, by, order, n, descending=True, ties=ties, rank=rank)

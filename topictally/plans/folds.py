@@ -2,9 +2,9 @@
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from topictally.operators.aggregates import Fold
-from topictally.streaming.tables import TableFold
 
 
 class ViewDivisor(Fold):
@@ -23,22 +23,40 @@ class ViewDivisor(Fold):
         )
 
 
-class ItemTotals(TableFold):
-    """Items and their total, kept by addition and removal."""
+#: Items of a group and their total, as measures of ``updating_aggregate``.
+ITEM_TOTALS = {"items": lambda total: F.lit(1).cast("bigint"), "total": lambda total: total}
 
-    result = "items bigint, total bigint"
+#: A prime below the square root of what 64 bits hold, so that products stay exact.
+PRIME = 2_147_483_647
 
-    def zero(self):
-        return [0, 0]
 
-    def add(self, state, item, total):
-        return [state[0] + 1, state[1] + total]
+class ItemProduct(Fold):
+    """Items of a group, and the product of their totals modulo a prime, which can be taken back."""
 
-    def remove(self, state, item, total):
-        return [state[0] - 1, state[1] - total]
+    state = "items bigint, product bigint"
+    result = "items bigint, product bigint"
 
-    def merge(self, left, right):
-        return [left[0] + right[0], left[1] + right[1]]
+    def start(self, rows: pd.DataFrame) -> pd.DataFrame:
+        # Never 0, which has no inverse.
+        factors = rows["total"].to_numpy(np.int64) % (PRIME - 1) + 1
+        return pd.DataFrame({"items": np.ones(len(rows), dtype=np.int64), "product": factors})
 
-    def finish(self, state):
-        return {"items": state[0], "total": state[1]}
+    def merge(self, states: pd.DataFrame, firsts: np.ndarray) -> pd.DataFrame:
+        products = states["product"].to_numpy(np.int64)
+        sizes = np.diff(np.append(firsts, len(products)))
+        group = np.repeat(np.arange(len(firsts)), sizes)
+        # Neighbours of a group are multiplied until each group has one factor left.
+        while len(products) > len(firsts):
+            starts = np.flatnonzero(np.diff(group, prepend=-1))
+            place = np.arange(len(group)) - np.repeat(starts, np.diff(np.append(starts, len(group))))
+            first = np.flatnonzero(place % 2 == 0)
+            after = np.minimum(first + 1, len(group) - 1)
+            paired = (after != first) & (group[after] == group[first])
+            factor = np.where(paired, products[after], 1)
+            products, group = products[first] * factor % PRIME, group[first]
+        items = np.add.reduceat(states["items"].to_numpy(np.int64), firsts) if len(firsts) else []
+        return pd.DataFrame({"items": items, "product": products})
+
+    def negate(self, states: pd.DataFrame) -> pd.DataFrame:
+        inverses = [pow(int(p), -1, PRIME) for p in states["product"]]
+        return pd.DataFrame({"items": -states["items"], "product": np.array(inverses, dtype=np.int64)})

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from topictally.functions.windows import instant
 
 from topictally.operators.counts import count_by_key
+from topictally.session import Folder
 
 EVENTS = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
@@ -32,11 +33,11 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 SLICES = 5
 
 
-def time_slices(events: DataFrame, late: bool = False) -> Iterator[DataFrame]:
-    """The events in ``SLICES`` parts of equal time, as they would arrive one after the other.
+def time_slices(events: DataFrame, folder: str, late: bool = False) -> Iterator[str]:
+    """Folders of the events in ``SLICES`` parts of equal time, as they would arrive one after the other.
 
-    With ``late`` every 97th event comes one part after its time, and every 89th event of the first
-    part comes in the last one.
+    All are written below ``folder`` at once. With ``late`` every 97th event comes one part after its
+    time, and every 89th event of the first part comes in the last one.
     """
     micros = F.unix_micros(instant(events, "ts"))
     first, last = events.agg(F.min(micros), F.max(micros)).first()
@@ -47,9 +48,11 @@ def time_slices(events: DataFrame, late: bool = False) -> Iterator[DataFrame]:
         delayed = F.least(place + 1, F.lit(SLICES - 1))
         by_one = F.when(F.col("event_id") % 97 == 0, delayed).otherwise(place)
         place = F.when((F.col("event_id") % 89 == 0) & (place == 0), SLICES - 1).otherwise(by_one)
-    placed = events.withColumn("_place", place)
+    events.withColumn("place", place.cast("int")).write.partitionBy("place").parquet(folder)
+    written = Folder(events.sparkSession, folder)
     for i in range(SLICES):
-        yield placed.filter(F.col("_place") == i).drop("_place")
+        if written.sizes(f"place={i}"):
+            yield f"place={i}"
 
 
 def chat_messages(conversations: DataFrame) -> DataFrame:

@@ -2,13 +2,12 @@
 
 from topictally.streaming.changes import stream_changelog
 from topictally.streaming.jobs import Job
-from topictally.streaming.ranking import TopFold, last_n_stream, latest, top_n_stream
-from topictally.streaming.tables import TableFold, updating_aggregate
+from topictally.streaming.ranking import last_n_stream, latest, top_n_stream
+from topictally.streaming.tables import fold_stream, updating_aggregate
 
 __all__ = [
     "Job",
-    "TableFold",
-    "TopFold",
+    "fold_stream",
     "last_n_stream",
     "latest",
     "stream_changelog",

@@ -2,56 +2,20 @@
 
 from __future__ import annotations
 
-import heapq
-from collections.abc import Iterator, Sequence
-from typing import Any
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from topictally.functions.durations import millis
 from topictally.operators.counts import key_columns, windowed_count
 from topictally.operators.ranking import last_n, top_n
 from topictally.sources.sinks import BatchSink
-from topictally.streaming.carried import CarriedRows
-from topictally.streaming.tables import Change, Items, TableFold
+from topictally.streaming.carried import CarriedLog, CarriedState, Merge
 
-
-class TopFold(TableFold):
-    """The ``n`` highest (or lowest) items of a group, ties by item ascending.
-
-    The state is the ranked list. Where highest are wanted and totals only grow, an item outside
-    the list can enter it only by changing itself, so the list and the changes suffice. In all
-    other cases the bucket's totals are read again.
-    """
-
-    result = "top array<struct<rank: bigint, item: string, count: bigint>>"
-
-    def __init__(self, n: int, descending: bool = True):
-        if n < 1:
-            raise ValueError("n must be at least 1")
-        self.n = n
-        self.sign = -1 if descending else 1
-
-    def zero(self) -> list:
-        return []
-
-    def first(self, rows: Iterator) -> list:
-        return heapq.nsmallest(self.n, rows, key=lambda row: (self.sign * row[1], row[0]))
-
-    def apply(self, state: list, changes: Sequence[Change], items: Items) -> list:
-        grown = all(new is not None and new >= (old or 0) for _, old, new in changes)
-        if self.sign > 0 or not grown:
-            return self.first(items())
-        totals = {item: total for item, total in state}
-        totals.update({item: new for item, _, new in changes})
-        return self.first(totals.items())
-
-    def merge(self, left: list, right: list) -> list:
-        return self.first([*left, *right])
-
-    def finish(self, state: list) -> dict[str, Any]:
-        return {"top": [Row(rank=i, item=r[0], count=r[1]) for i, r in enumerate(state, 1)]}
+#: Items kept in order for each list of lowest items, as a multiple of its length.
+RESERVE = 4
 
 
 def top_n_stream(
@@ -75,10 +39,16 @@ def top_n_stream(
 
     ``emit="update"``: the new list of each group whose list changed, per micro-batch. Rows:
     ``window_start_ms``, ``window_end_ms``, group, ``version`` (higher is newer) and ``top``, an
-    array of rank, item and count; see ``latest``. Counts only grow, so an item outside a list can enter
-    it only when its own count changes: the new lists are the top of the changed counts and the
-    lists before, which are kept in ``state_dir``. This does not hold for the lowest items: for them
-    the counts of all items in open windows are kept there. A null item is an item like others.
+    array of rank, item and count; see ``latest``. What is carried lies in ``state_dir`` as a log
+    (``CarriedLog``), so a batch writes what changed. A null item is an item like others.
+
+    Highest items: counts only grow, so an item outside a list can enter it only when its own count
+    changes. The new lists are the top of the batch's changed counts and the lists before.
+
+    Lowest items: an item that grows may leave the list to one that did not change. Each group keeps
+    its lowest items in order, ``RESERVE`` times as many as the list is long, and a bound that no other
+    item is below. A changed item moves in or out by its new count. Only when growth has emptied this
+    reserve below ``n`` are all counts of the group read again, from the log of changed counts.
     """
     by = key_columns(by)
     if n < 1:
@@ -90,9 +60,9 @@ def top_n_stream(
     rows = df.withColumn(item, F.col(item).cast("string"))
     counts = windowed_count(rows, [*by, item], size, delay=delay, time=time)
     if emit == "update":
-        spans = millis(size), millis(delay)
-        rank_changes = _rank_changes(counts, by, item, sink, n, descending, *spans, state_dir)
-        return counts.writeStream.outputMode("update").foreachBatch(rank_changes)
+        lists = _LiveLists(counts, by, item, sink, n, millis(size), millis(delay), state_dir)
+        work = lists.highest if descending else lists.lowest
+        return counts.writeStream.outputMode("update").foreachBatch(work)
 
     def rank_closed(closed: DataFrame, batch_id: int) -> None:
         ranked = top_n(closed, ["window", *by], "count", n, descending, ties=[item])
@@ -101,67 +71,179 @@ def top_n_stream(
     return counts.writeStream.outputMode("append").foreachBatch(rank_closed)
 
 
-def _rank_changes(
-    counts: DataFrame,
-    by: list[str],
-    item: str,
-    sink: BatchSink,
-    n: int,
-    descending: bool,
-    size_ms: int,
-    delay_ms: int,
-    state_dir: str,
-) -> BatchSink:
+class _LiveLists:
     """The work of a micro-batch of changed counts, for live lists."""
-    columns = [F.col("window.start").alias("_start"), *by, item, "count"]
-    state = CarriedRows(state_dir, counts.select(*columns).schema)
-    group = ["_start", *by]
-
-    def rank_changes(changed: DataFrame, batch_id: int) -> None:
-        carried = state.read(changed.sparkSession, batch_id)
-        new = changed.select(*columns, F.lit(True).alias("_new"))
-        both = new.unionByName(carried.withColumn("_new", F.lit(False))).groupBy(*group, item)
-        newest = both.agg(F.max("count").alias("count"), F.bool_or("_new").alias("_new"))
-        # Used several times, and the counts' state is to be updated once.
-        newest = newest.persist()
-        try:
-            tops = top_n(newest, group, "count", n, descending, ties=[item])
-            touched = newest.filter("_new").select(F.struct(*group).alias("_group")).distinct()
-            # Struct equality takes null fields as equal, as grouping does.
-            sink(lists(tops, touched, batch_id), batch_id)
-            held = tops if descending else newest
-            state.write(still_open(held, carried).select(*group, item, "count"), batch_id)
-        finally:
-            newest.unpersist()
-
-    def lists(tops: DataFrame, touched: DataFrame, batch_id: int) -> DataFrame:
-        rows = F.struct("rank", F.col(item).alias("item"), "count")
-        found = tops.groupBy(*group).agg(
-            F.bool_or("_new").alias("_new"), F.sort_array(F.collect_list(rows)).alias("top")
-        )
-        if descending:
-            found = found.filter("_new")
-        else:
-            # An item that grew may have left the list, so the list tells nothing of the change.
-            found = found.withColumn("_group", F.struct(*group)).join(touched, "_group", "left_semi")
+
+    def __init__(self, counts: DataFrame, by, item, sink, n, size_ms, delay_ms, state_dir):
+        self.by, self.item, self.sink, self.n = by, item, sink, n
+        self.size_ms, self.delay_ms, self.state_dir = size_ms, delay_ms, state_dir
+        self.group = ["_start", *by]
+        self.columns = [F.col("window.start").alias("_start"), *by, item, "count"]
+        self.schema = counts.select(*self.columns).schema
+
+    def ranked(self, rows: DataFrame, n: int, descending: bool) -> DataFrame:
+        return top_n(rows, self.group, "count", n, descending, ties=[self.item])
+
+    def newest(self, rows: DataFrame) -> DataFrame:
+        """The newest count of each item: counts only grow."""
+        return rows.groupBy(*self.group, self.item).agg(F.max("count").alias("count"))
+
+    def log(self, name: str, merge: Merge, schema=None, parts: int | None = None) -> CarriedLog:
+        """A log by group, in a folder of its own."""
+        return CarriedLog(f"{self.state_dir}/{name}", schema or self.schema, self.group, merge, parts)
+
+    def still_open(self, state: CarriedState) -> Column | None:
+        # Late records are dropped by the watermark of the batch before, so windows are let go of
+        # by what was known then. Window starts are never ahead of the records' times.
+        known = state.facts.get("latest_start")
+        if known is None:
+            return None
+        open_windows = F.unix_millis("_start") + self.size_ms > known - self.delay_ms
+        return F.coalesce(open_windows, F.lit(True))
+
+    def append(self, state: CarriedState, rows: DataFrame) -> dict:
+        """Append a batch's counts; what the next batch must know of them."""
+        newest = state.append(rows, start=F.max(F.unix_millis("_start")))["start"]
+        known = [t for t in (state.facts.get("latest_start"), newest) if t is not None]
+        return {"latest_start": max(known, default=None)}
+
+    def tell(self, tops: DataFrame, batch_id: int) -> None:
+        """Pass on the lists made of ranked rows of groups."""
+        rows = F.struct("rank", F.col(self.item).alias("item"), "count")
+        lists = tops.groupBy(*self.group).agg(F.sort_array(F.collect_list(rows)).alias("top"))
+        self.tell_lists(lists, batch_id)
+
+    def tell_lists(self, lists: DataFrame, batch_id: int) -> None:
         start = F.unix_millis("_start")
-        return found.select(
+        told = lists.select(
             start.alias("window_start_ms"),
-            (start + size_ms).alias("window_end_ms"),
-            *by,
+            (start + self.size_ms).alias("window_end_ms"),
+            *self.by,
             F.lit(batch_id + 1).cast("bigint").alias("version"),
             "top",
         )
+        self.sink(told, batch_id)
+
+    def highest(self, changed: DataFrame, batch_id: int) -> None:
+        log = self.log("tops", lambda rows: self.ranked(self.newest(rows), self.n, True))
+        state = log.at(changed.sparkSession, batch_id)
+        # Of a batch's changed items only its own top can be in a list. Computed once, as it updates counts.
+        tops = self.ranked(changed.select(*self.columns), self.n, True).drop("rank")
+        facts = self.append(state, tops)
+        if batch_id and not state.added:  # nothing changed; Spark's own counts close windows then
+            return state.commit()
+        new = state.new().withColumn("_new", F.lit(True))
+        both = new.unionByName(state.before().withColumn("_new", F.lit(False)))
+        newest = both.groupBy(*self.group, self.item).agg(
+            F.max("count").alias("count"), F.bool_or("_new").alias("_new")
+        )
+        tops = self.ranked(newest, self.n, True)
+        changed_lists = tops.withColumn("_told", F.bool_or("_new").over(self.whole_group()))
+        self.tell(changed_lists.filter("_told"), batch_id)
+        state.commit(facts, self.still_open(state))
+
+    def whole_group(self):
+        return Window.partitionBy(*self.group)
+
+    def lowest(self, changed: DataFrame, batch_id: int) -> None:
+        spark, size = changed.sparkSession, RESERVE * self.n
+        items = self.log("counts", self.newest).at(spark, batch_id)
+        counts = changed.select(*self.columns)
+        facts = self.append(items, counts.repartition(items.parts, *self.group))
+        reserve = self.log("reserve", self._last_reserve, self.reserve_schema, items.parts)
+        reserve = reserve.at(spark, batch_id)
+        if batch_id and not items.added:
+            items.commit()
+            return reserve.commit()
+        # Both logs are dealt by group into the same number of buckets.
+        found = self._reserve(items.new(), reserve.before(items.added), size)
+        number = F.lit(batch_id).cast("bigint").alias("_batch")
+        told = reserve.append(found.select("*", number), short=F.count_if(self.is_short()))
+        if told["short"]:
+            self._refill(items, reserve, size, number)
+        ranks = F.transform(
+            F.slice("_items", 1, self.n),
+            lambda e, i: F.struct(
+                (i + 1).cast("bigint").alias("rank"), e["item"].alias("item"), e["count"].alias("count")
+            ),
+        )
+        self.tell_lists(reserve.new().select(*self.group, ranks.alias("top")), batch_id)
+        still_open = self.still_open(items)
+        items.commit(facts, still_open)
+        reserve.commit(keep=still_open)
+
+    @property
+    def entry(self) -> Column:
+        return F.struct("count", F.col(self.item).alias("item"))
+
+    @property
+    def reserve_schema(self) -> StructType:
+        """A group's lowest items in order, a bound that no other item is below, and the batch."""
+        kind = {f.name: f for f in self.schema}
+        entry = StructType([kind["count"], StructField("item", kind[self.item].dataType)])
+        fields = [StructField("_items", ArrayType(entry)), StructField("_bound", entry)]
+        return StructType([*(kind[g] for g in self.group), *fields, StructField("_batch", LongType())])
+
+    def is_short(self) -> Column:
+        return F.col("_bound").isNotNull() & (F.size("_items") < self.n)
+
+    def _last_reserve(self, rows: DataFrame) -> DataFrame:
+        last = F.max_by(F.struct("_items", "_bound"), "_batch").alias("_last")
+        rows = rows.groupBy(*self.group).agg(last, F.max("_batch").alias("_batch"))
+        return rows.select(*self.group, "_last.*", "_batch")
+
+    def _reserve(self, changed: DataFrame, old: DataFrame, size: int) -> DataFrame:
+        """The new reserves of the changed groups: old and changed items below the old bounds."""
+        none = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.reserve_schema[-3:]]
+        marks = changed.select(*self.group, *none, F.lit(True).alias("_new"))
+        both = old.select("*", F.lit(False).alias("_new")).unionByName(marks)
+        held = both.groupBy(*self.group).agg(
+            F.max_by(F.struct("_items", "_bound"), "_batch").alias("_last"), F.bool_or("_new").alias("_new")
+        )
+        held = held.filter("_new").select(*self.group, "_last.*")
 
-    def still_open(held: DataFrame, carried: DataFrame) -> DataFrame:
-        # Late records are dropped by the watermark of the batch before, so windows are let go of
-        # by what was known then. Window starts are never ahead of the records' times.
-        known = carried.agg(F.max(F.unix_millis("_start"))).scalar()
-        return held.filter(
-            F.coalesce(F.unix_millis("_start") + size_ms > known - delay_ms, F.lit(True))
+        def mark(entry: Column, is_bound: bool) -> Column:
+            return F.struct(entry["count"].alias("count"), entry["item"].alias("item"), F.lit(is_bound).alias("edge"))
+
+        bound = F.when(F.col("_bound").isNotNull(), F.array(mark(F.col("_bound"), True)))
+        entries = F.concat(
+            F.coalesce(F.transform("_items", lambda e: mark(e, False)), F.array()), F.coalesce(bound, F.array())
+        )
+        entries = held.select(*self.group, F.explode(entries).alias("_e"))
+        rows = entries.select(
+            *self.group, F.col("_e.item").alias(self.item), F.col("_e.count").alias("count"),
+            F.col("_e.edge").alias("_edge"),
+        ).unionByName(changed.withColumn("_edge", F.lit(False)))
+        rows = rows.groupBy(*self.group, self.item, "_edge").agg(F.max("count").alias("count"))
+        return self._cut(rows, size)
+
+    def _cut(self, rows: DataFrame, size: int) -> DataFrame:
+        """The lowest ``size`` items of each group up to its old bound, if it has one.
+
+        A bound is a row with ``_edge``. What comes after it is not known in full and left out; where ``size``
+        items come before it, the next one is the new bound.
+        """
+        ties = [self.item, "_edge"]
+        ranked = top_n(rows, self.group, "count", size + 1, descending=False, ties=ties)
+        before = Window.partitionBy(*self.group).orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = ranked.withColumn("_beyond", F.bool_or("_edge").over(before))
+        ranked = ranked.filter(~F.coalesce("_beyond", F.lit(False)))
+        edge = F.col("_edge") | (F.col("rank") > size)
+        return ranked.groupBy(*self.group).agg(
+            F.sort_array(F.collect_list(F.when(~edge, self.entry))).alias("_items"),
+            F.max(F.when(edge, self.entry)).alias("_bound"),
         )
 
-    return rank_changes
+    def _refill(self, items: CarriedState, reserve: CarriedState, size: int, number: Column) -> None:
+        """Take the reserves that have run short from all counts of their groups."""
+        of = F.struct(*self.group).alias("_group")
+        found = reserve.new()
+        short = found.filter(self.is_short()).select(of)
+        whole = items.new().unionByName(items.before()).withColumn("_group", of)
+        whole = self.newest(whole.join(short, "_group", "left_semi")).withColumn("_edge", F.lit(False))
+        again = self._cut(whole, size).select("*", number)
+        both = found.filter(~self.is_short()).unionByName(again)
+        reserve.replace(both.repartition(reserve.parts, *self.group))
 
 
 def last_n_stream(
@@ -176,9 +258,10 @@ def last_n_stream(
 
     Each micro-batch gives one row per key whose list changed: the key, ``version`` (higher is newer)
     and ``last``, an array of rank and the other columns. The new lists are the last rows of the
-    micro-batch and of the lists before, which are kept in ``state_dir``; tasks cut them to ``n``
-    rows per key before the shuffle. Rows without a place in the order are oldest, null is a key like
-    any other, and repeated rows are rows of their own.
+    micro-batch and of the lists before. A batch appends its own last rows to a log in ``state_dir``
+    (``CarriedLog``); tasks cut rows to ``n`` per key before the shuffle. Rows without a place in the
+    order are oldest, rows of one place go by their other columns, null is a key like any other, and
+    repeated rows are rows of their own.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
@@ -186,23 +269,28 @@ def last_n_stream(
     fields = [c for c in df.columns if c not in by]
     if missing := [o for o in order if o not in fields]:
         raise ValueError(f"no such column to order by: {missing}")
-    state = CarriedRows(state_dir, df.schema)
+    # Maps have no order.
+    comparable = [c for c in fields if "map<" not in df.schema[c].dataType.simpleString()]
+    ties = [F.col(c).desc() for c in comparable if c not in order]
+
+    def last(rows: DataFrame) -> DataFrame:
+        return last_n(rows, by, order, n, ties=ties, rank="_rank")
+
+    log = CarriedLog(state_dir, df.schema, by, lambda rows: last(rows).drop("_rank"))
 
     def rank_last(batch: DataFrame, batch_id: int) -> None:
-        carried = state.read(batch.sparkSession, batch_id).withColumn("_new", F.lit(False))
-        both = batch.withColumn("_new", F.lit(True)).unionByName(carried)
-        last = last_n(both, by, order, n, rank="_rank").persist()
-        try:
-            row = F.struct(F.col("_rank").alias("rank"), *fields)
-            lists = last.groupBy(*by).agg(
-                F.bool_or("_new").alias("_new"), F.collect_list(row).alias("_rows")
-            )
-            ranked = F.array_sort("_rows", lambda a, b: (a["rank"] - b["rank"]).cast("int"))
-            version = F.lit(batch_id + 1).cast("bigint").alias("version")
-            sink(lists.filter("_new").select(*by, version, ranked.alias("last")), batch_id)
-            state.write(last.select(*df.columns), batch_id)
-        finally:
-            last.unpersist()
+        state = log.at(batch.sparkSession, batch_id)
+        state.append(last(batch))
+        new = state.new().withColumn("_new", F.lit(True))
+        both = last(new.unionByName(state.before().withColumn("_new", F.lit(False))))
+        row = F.struct(F.col("_rank").alias("rank"), *fields)
+        lists = both.groupBy(*by).agg(
+            F.bool_or("_new").alias("_new"), F.collect_list(row).alias("_rows")
+        )
+        ranked = F.array_sort("_rows", lambda a, b: (a["rank"] - b["rank"]).cast("int"))
+        version = F.lit(batch_id + 1).cast("bigint").alias("version")
+        sink(lists.filter("_new").select(*by, version, ranked.alias("last")), batch_id)
+        state.commit()
 
     return df.writeStream.outputMode("append").foreachBatch(rank_last)
 
