@@ -640,8 +640,8 @@ def windowed_count_job_per_record(spark, sf_dir):
     return _windowed_job(spark, sf_dir, True).select("key", "value")
 
 
-def top_pages_job(spark, sf_dir):
-    out = _run_job(
+def _top_pages_job(spark, sf_dir, emit):
+    return _run_job(
         spark,
         sf_dir,
         "top-pages-job",
@@ -652,10 +652,20 @@ def top_pages_job(spark, sf_dir):
         ),
         jobs.PAGE_VIEWS_TOPIC,
         jobs.TOP_PAGES_TOPIC,
-        lambda *places: jobs.run_top_pages(spark, *places, n=3, size="1 day", available_now=True),
+        lambda *places: jobs.run_top_pages(
+            spark, *places, n=3, size="1 day", emit=emit, available_now=True
+        ),
         encoded=True,
     )
-    return _newest(out, ["key"], "value")
+
+
+def top_pages_job(spark, sf_dir):
+    return _newest(_top_pages_job(spark, sf_dir, "update"), ["key"], "value")
+
+
+def top_pages_job_closed(spark, sf_dir):
+    """Each window once, after it closed, by one streaming plan in append mode."""
+    return _top_pages_job(spark, sf_dir, "final").select("key", "value")
 
 
 def default_types(spark, sf_dir):
@@ -739,6 +749,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             windowed_count_job,
             windowed_count_job_per_record,
             top_pages_job,
+            top_pages_job_closed,
             default_types,
         )
     }
@@ -869,6 +880,7 @@ def own_sql() -> dict[str, str]:
         SELECT '{{"windowStart":' || window_start || ',"windowEnd":'
             || (window_start + {_DAY_MS}) || ',"key":"' || industry || '"}}' AS key, value
         FROM ({_top_text_sql('1 day', 3)})"""
+    closed_texts = f"{top_texts} WHERE {_closed('window_start', _DAY_MS)}"
     last_of_null = (
         "SELECT * FROM (SELECT user_id, event_id, event_type, row_number() OVER "
         "(PARTITION BY user_id ORDER BY event_id DESC) AS rank FROM (SELECT CASE WHEN user_id % 10 "
@@ -986,5 +998,6 @@ def own_sql() -> dict[str, str]:
         "windowed_count_job": _json_counts_sql(minute_counts),
         "windowed_count_job_per_record": _json_counts_sql(minute_changes),
         "top_pages_job": top_texts,
+        "top_pages_job_closed": closed_texts,
         "default_types": "SELECT event_id AS key, event_type AS value FROM events",
     }

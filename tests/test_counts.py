@@ -63,3 +63,13 @@ def test_record_key_may_have_null_fields(spark):
     df = spark.createDataFrame([("p", None, at()), ("p", None, at())], "page string, flags string, timestamp timestamp")
     got = windowed_count(df, ["page", "flags"], "1 hour")
     assert rows_of(got, "page", "flags", "count") == [("p", None, 2)]
+
+
+def test_narrow_hopping_windows_need_one_shuffle(spark):
+    rows = spark.range(1000).selectExpr("timestamp_seconds(id * 60) AS timestamp", "id % 3 AS key")
+    plans = {
+        size: windowed_count(rows, size=size, advance="1 hour")._jdf.queryExecution().executedPlan().toString()
+        for size in ("2 hours", "1 day")
+    }
+    assert plans["2 hours"].count("Exchange hashpartitioning") == 1
+    assert plans["1 day"].count("Exchange hashpartitioning") == 2

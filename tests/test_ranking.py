@@ -5,6 +5,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from topictally.operators import last_n, top_n, top_n_text
+from topictally.operators.ranking import _spread
 
 
 def counts(spark, rows):
@@ -74,3 +75,33 @@ def test_n_below_one(spark, n):
         top_n(counts(spark, TIES), "industry", "n", n)
     with pytest.raises(ValueError):
         last_n(counts(spark, TIES), "industry", "n", n)
+
+
+@pytest.mark.parametrize("n", [3, 1500])
+def test_a_hot_group_is_merged_as_a_tree(spark, n):
+    """No task gets the rows of all tasks, and ranks are those of one sort."""
+    rows = spark.range(0, 20_000, numPartitions=16).selectExpr("'hot' AS g", "id * 7919 % 20011 AS v", "id")
+    rows = rows.unionByName(spark.range(50).selectExpr("'b' AS g", "id % 5 AS v", "id"))
+    got = top_n(rows, "g", "v", n, ties=["id"], spread=4)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(g") == 2
+    assert plan.count("WindowGroupLimit") == 4
+    assert rows_of(got, "g", "v", "id", "rank") == rows_of(
+        top_n(rows, "g", "v", n, ties=["id"], spread=1), "g", "v", "id", "rank"
+    )
+
+
+def test_the_tree_is_as_wide_as_the_square_root_of_the_tasks(spark):
+    df, before = spark.range(1), spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "2000")
+        assert _spread(df, 100) == 45
+        assert _spread(df, 3) == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_last_rows_of_one_place_go_by_ties(spark):
+    rows = spark.createDataFrame([("k", 1, v) for v in (3, 1, 2)], "k string, o int, v int")
+    got = last_n(rows, "k", "o", 2, ties=[F.col("v").desc()])
+    assert rows_of(got, "v", "rank") == [(2, 2), (3, 1)]

@@ -14,6 +14,10 @@ from topictally.functions.windows import window_from, with_instant
 from topictally.operators.tasks import sum_in_task
 
 
+#: Windows a record may be copied to before the shuffle, rather than counted per pane in one of its own.
+OVERLAP = 4
+
+
 def key_columns(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
@@ -62,9 +66,11 @@ def windowed_count(
     ``delay`` is how late a record of a stream may come; ``None`` leaves a watermark set
     before. Columns: ``window``, the key columns, the count.
 
-    Where ``advance`` divides ``size``, hopping windows are counted per pane of one advance first, and
-    only the pane counts are copied to their windows. In a stream tasks do that before the shuffle,
-    and a record's lateness is that of its pane: a window closes at most one advance later.
+    Hopping windows that overlap ``OVERLAP`` times or less copy each record to its windows inside the
+    task that counts them, so there is one shuffle. Beyond that, where ``advance`` divides ``size``, records
+    are counted per pane of one advance first, and only the pane counts are copied to their windows. In
+    a stream tasks count panes before the shuffle at any overlap, and a record's lateness is that of its
+    pane: a window closes at most one advance later.
     """
     keys = key_columns(key)
     size_ms = millis(size)
@@ -84,7 +90,7 @@ def windowed_count(
         if delay is not None:
             rows = rows.withWatermark(time, interval(delay))
         return rows.groupBy(window.alias("window"), *keys).agg(_measure(weight).alias(name))
-    if panes:
+    if panes and size_ms > OVERLAP * advance_ms:
         rows = rows.groupBy(pane, *keys).agg(_measure(weight).alias("_records"))
         weight = "_records"
     # Plain timestamps as keys stay in Spark's fast aggregation path; a window struct would not.

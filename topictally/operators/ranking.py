@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -10,6 +11,8 @@ from topictally.functions.text import lines
 from topictally.functions.windows import with_window_starts
 from topictally.operators.counts import key_columns
 
+#: Rows of one group that may meet in one task.
+MET_ROWS = 100_000
 GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
@@ -25,6 +28,11 @@ def ranking_order(
     return [*named, *(F.col(t).asc() if isinstance(t, str) else t for t in ties)]
 
 
+def _spread(df: DataFrame, n: int) -> int:
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return math.isqrt(tasks - 1) + 1 if n * tasks > MET_ROWS else 1
+
+
 def top_n(
     df: DataFrame,
     by: str | Sequence[str],
@@ -33,6 +41,7 @@ def top_n(
     descending: bool = True,
     ties: Sequence[str | Column] = (),
     rank: str = "rank",
+    spread: int | None = None,
 ) -> DataFrame:
     """The first ``n`` rows of each group, with their rank from 1.
 
@@ -42,6 +51,10 @@ def top_n(
     Spark cuts each task's groups to ``n`` rows before the shuffle (``WindowGroupLimit``), so
     a hot group costs ``n`` rows per task. It does so up to a setting of the session, which is
     raised to ``n`` if it is lower; it changes no result.
+
+    So that these do not all meet in one task, they are merged as a tree: the tasks' rows of a group
+    first go to ``spread`` tasks, each of which passes ``n`` rows on. By default that is the square root of the
+    number of shuffle partitions, where these would send more than ``MET_ROWS`` rows, and else 1.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
@@ -50,6 +63,13 @@ def top_n(
     ordering = ranking_order(order, descending, ties)
     if n > int(df.sparkSession.conf.get(GROUP_LIMIT_CONF, "1000")):
         df.sparkSession.conf.set(GROUP_LIMIT_CONF, str(n))
+    spread = _spread(df, n) if spread is None else spread
+    if spread > 1:
+        # Rows of one task stay together, so each part gets the rows of as many tasks.
+        df = df.withColumn("_part", F.spark_partition_id() % spread)
+        parts = Window.partitionBy(*by, "_part").orderBy(*ordering)
+        df = df.withColumn(rank, F.row_number().over(parts)).filter(F.col(rank) <= n)
+        df = df.drop(rank, "_part")
     whole = Window.partitionBy(*by).orderBy(*ordering)
     ranked = df.withColumn(rank, F.row_number().over(whole)).filter(F.col(rank) <= n)
     return ranked.select(*columns, F.col(rank).cast("bigint").alias(rank))

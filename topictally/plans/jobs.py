@@ -28,7 +28,7 @@ from topictally.sources.sinks import batch_writer, print_table, stream_writer, w
 from topictally.sources.topics import TopicSettings, read_topic
 from topictally.streaming.changes import stream_changelog
 from topictally.streaming.jobs import Job
-from topictally.streaming.ranking import top_n_stream
+from topictally.streaming.ranking import top_n_closed, top_n_stream
 
 # Topic names, window sizes and list length the jobs have unless told otherwise.
 MESSAGES_TOPIC = "irc-messages-log"
@@ -232,7 +232,8 @@ def run_top_pages(
     """JOB-4 and JOB-5: page views to the top pages per window and industry, as text.
 
     A stream gives the newest text of each window and industry that changed, per micro-batch, or
-    with ``emit="final"`` one text once a window has closed. ``on_error`` is as in ``read_topic``.
+    with ``emit="final"`` one text once a window has closed, as one plan in append mode. ``on_error`` is
+    as in ``read_topic``.
 
     Views are JSON records, or with ``avro_schema`` (JSON text) Avro records after
     ``avro_header_bytes`` of other content.
@@ -246,23 +247,24 @@ def run_top_pages(
     if not streaming:
         texts = encode_window_key(top_pages_text(views, n, size, descending), "industry")
         return write_topic(texts, output, sink, mode="overwrite")
+    articles = keep(views, is_article())
+    if emit == "final":
+        tops = top_n_closed(articles, "industry", "page", n, size, descending=descending)
+        texts = tops.select("window", "industry", lines(F.col("top.item")).alias("value"))
+        return write_topic(encode_window_key(texts, "industry"), output, sink, job=job, **run)
     write = batch_writer(output, sink)
 
     def write_texts(ranked: DataFrame, batch_id: int) -> None:
-        if emit == "update":
-            bounds = F.struct(
-                F.timestamp_millis("window_start_ms").alias("start"),
-                F.timestamp_millis("window_end_ms").alias("end"),
-            )
-            pages = map_values(
-                ranked.select(bounds.alias("window"), "industry", F.col("top.item").alias("value")),
-                lines,
-            )
-        else:
-            pages = top_n_text(ranked, ["window", "industry"], F.col("rank").asc(), "page", n)
+        bounds = F.struct(
+            F.timestamp_millis("window_start_ms").alias("start"),
+            F.timestamp_millis("window_end_ms").alias("end"),
+        )
+        pages = map_values(
+            ranked.select(bounds.alias("window"), "industry", F.col("top.item").alias("value")),
+            lines,
+        )
         write(encode_window_key(pages, "industry"), batch_id)
 
-    articles = keep(views, is_article())
     writer = top_n_stream(
         articles,
         "industry",

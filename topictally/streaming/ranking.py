@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from topictally.functions.durations import millis
+from topictally.functions.durations import interval, millis
 from topictally.operators.counts import key_columns, windowed_count
 from topictally.operators.ranking import last_n, top_n
 from topictally.sources.sinks import BatchSink
@@ -71,6 +71,54 @@ def top_n_stream(
     return counts.writeStream.outputMode("append").foreachBatch(rank_closed)
 
 
+def top_n_closed(
+    df: DataFrame,
+    by: str | Sequence[str],
+    item: str,
+    n: int = 100,
+    size: int | str = "1 hour",
+    delay: int | str = "1 day",
+    descending: bool = True,
+    time: str = "timestamp",
+    spread: int | None = None,
+) -> DataFrame:
+    """The ``n`` items with most records per window and group, as a stream in append mode.
+
+    One plan of three aggregations with state, so it has one checkpoint and any sink: counts per item,
+    lists of the best items of each of ``spread`` parts of a group, and the lists' best. Each passes a window
+    on once it has closed. A hot group's items are spread over as many parts as there are shuffle
+    partitions, and each part sends ``n`` of them on. Columns: ``window``, the group, and ``top``, an array of
+    rank, item and count, ties by item. A null item is an item like others.
+    """
+    if n < 1:
+        raise ValueError("n must be at least 1")
+    by = key_columns(by)
+    spread = spread or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.withColumn(item, F.col(item).cast("string"))
+    counts = windowed_count(rows, [*by, item], size, delay=delay, time=time)
+    order = -F.col("count") if descending else F.col("count")
+    entry = F.struct(order.alias("order"), F.col(item).alias("item"))
+
+    def again(windows: DataFrame, *more: Column):
+        # The same window once more, now of the time at which it closes.
+        window = F.window(F.window_time("window"), interval(size)).alias("window")
+        return windows.groupBy(window, *by, *more)
+
+    def best(entries: Column) -> Column:
+        return F.slice(F.sort_array(entries), 1, n)
+
+    part = F.pmod(F.hash(item), F.lit(spread)).alias("_part")
+    parts = again(counts, part).agg(best(F.collect_list(entry)).alias("_top"))
+    tops = again(parts).agg(best(F.flatten(F.collect_list("_top"))).alias("_top"))
+    ranked = F.transform(
+        "_top",
+        lambda e, i: F.struct(
+            (i + 1).cast("bigint").alias("rank"), e["item"].alias("item"), F.abs(e["order"]).alias("count")
+        ),
+    )
+    return tops.select("window", *by, ranked.alias("top"))
+
+
 class _LiveLists:
     """The work of a micro-batch of changed counts, for live lists."""
 
