@@ -3,10 +3,11 @@ import random
 import re
 from itertools import groupby
 
+import numpy as np
 import pytest
 
 from topictally.llm import exact_dedup, jaccard_join
-from topictally.llm.components import connected_components
+from topictally.llm.components import connected_components, star_forest
 
 from .conftest import TEXTS
 
@@ -128,12 +129,14 @@ def test_drop_near_copies_keeps_one_of_each(awkward):
     assert ids == sorted([1, None, 4, 5, 6, 7, 8, 9, 11, 12, 13], key=repr)
 
 
-def test_components(spark, tmp_path):
+@pytest.mark.parametrize("at_once", [0, 200_000])
+def test_components(spark, tmp_path, at_once):
     pick = random.Random(5)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(30)]
     edges += [(200 + pick.randrange(40), 200 + pick.randrange(40)) for _ in range(30)]
     edges += [(7, 7), (None, 3), (1, 2)]
-    got = connected_components(spark.createDataFrame(edges, "a bigint, b bigint"), str(tmp_path / "c"))
+    links = spark.createDataFrame(edges, "a bigint, b bigint").repartition(7)
+    got = connected_components(links, str(tmp_path / "c"), at_once)
     found = {r["node"]: r["root"] for r in got.collect()}
     assert got.count() == len(found)
     root = {n: n for e in edges for n in e if n is not None}
@@ -143,3 +146,16 @@ def test_components(spark, tmp_path):
                 root[a] = root[b] = min(root[a], root[b])
     linked = {n for a, b in edges if a is not None and a != b for n in (a, b)}
     assert found == {n: root[n] for n in linked}
+
+
+def test_a_tasks_edges_become_stars():
+    pick = random.Random(9)
+    a = np.array([pick.randrange(300) for _ in range(250)])
+    b = np.array([pick.randrange(300) for _ in range(250)])
+    root = list(range(300))
+    for _ in range(300):
+        for x, y in zip(a, b):
+            root[x] = root[y] = min(root[x], root[y])
+    node, under = star_forest(a, b)
+    assert dict(zip(node.tolist(), under.tolist())) == {n: r for n, r in enumerate(root) if n != r}
+    assert len(star_forest(np.array([], int), np.array([], int))[0]) == 0
