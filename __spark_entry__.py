@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -22,6 +23,7 @@ from topictally.operators import (
     keep,
     last_n,
     map_values,
+    newest,
     regroup,
     rekey,
     top_n,
@@ -46,6 +48,7 @@ from topictally.sources import (
     batch_writer,
     decode_json,
     encode_window_key,
+    read_table,
     read_topic,
     write_topic,
 )
@@ -272,6 +275,26 @@ def word_count_job(spark, sf_dir):
     )
 
 
+def printed_counts(spark, sf_dir):
+    """The word count job with its rows printed where they lie, here into a file for each task."""
+    settings = _scratch(spark, "printed", encoded=True)
+    messages = chat_messages(table(spark, sf_dir, "conversations"))
+    write_topic(messages, jobs.MESSAGES_TOPIC, settings, mode="overwrite")
+    sink = TopicSettings(root=settings.root)
+    folder = f"{settings.root}/lines".removeprefix("file:")
+    os.makedirs(folder)
+
+    def show(line: str) -> None:
+        task = TaskContext.get()
+        with open(f"{folder}/{task.partitionId()}-{task.attemptNumber()}.txt", "a") as file:
+            file.write(line + "\n")
+
+    job = _job(spark, settings, "printed")
+    jobs.run_word_count(spark, settings, sink, job, streaming=False, print_updates=show)
+    printed = spark.read.schema("value string").text(f"{settings.root}/lines")
+    return decode_json(printed, "key string, count bigint", on_error="fail").select("value.*")
+
+
 # Streams
 
 
@@ -299,9 +322,9 @@ def stream_region_count(spark, sf_dir):
     return _newest_batch(out)
 
 
-def _run_in_slices(spark, sf_dir, name, writer_of, late=False) -> DataFrame:
+def _run_in_slices(spark, sf_dir, name, writer_of, late=False, settings=None) -> DataFrame:
     """Like ``_run``, but the events arrive in parts, and the job is stopped and started between."""
-    settings = _scratch(spark, name)
+    settings = settings or _scratch(spark, name)
     job = _job(spark, settings, name)
     files = Folder(spark, settings.root)
     for part in time_slices(table(spark, sf_dir, "events"), f"{settings.root}/parts", late):
@@ -312,11 +335,6 @@ def _run_in_slices(spark, sf_dir, name, writer_of, late=False) -> DataFrame:
     return spark.read.parquet(settings.path("out"))
 
 
-def _newest(out: DataFrame, by: list[str], value: str = "count") -> DataFrame:
-    """The last update of each key."""
-    return out.groupBy(*by).agg(F.max_by(value, "batch").alias(value))
-
-
 def _updates(counts: DataFrame, sink) -> DataStreamWriter:
     return counts.writeStream.outputMode("update").foreachBatch(sink)
 
@@ -329,7 +347,20 @@ def stream_region_updates(spark, sf_dir):
         "region-updates",
         lambda events, sink, job: _updates(jobs.region_count(region_records(events)), sink),
     )
-    return _newest(out, ["key"])
+    return newest(out, "key", "count")
+
+
+def stream_region_state(spark, sf_dir):
+    """The counts as the job holds them after its last part, read from its named state."""
+    settings = _scratch(spark, "region-state")
+    jobs_of = []
+
+    def writer_of(events, sink, job):
+        jobs_of.append(job)
+        return _updates(jobs.region_count(region_records(events)), sink)
+
+    _run_in_slices(spark, sf_dir, "region-state", writer_of, settings=settings)
+    return jobs_of[-1].state().select("key.key", "value.count")
 
 
 def _windowed_updates(spark, sf_dir, late=False, **settings) -> DataFrame:
@@ -342,7 +373,7 @@ def _windowed_updates(spark, sf_dir, late=False, **settings) -> DataFrame:
         ),
         late,
     )
-    return _window_to_millis(_newest(out, ["window", "key"]), "key", "count")
+    return _window_to_millis(newest(out, ["window", "key"], "count"), "key", "count")
 
 
 def stream_windowed_updates(spark, sf_dir):
@@ -578,8 +609,8 @@ def stream_broken_messages(spark, sf_dir):
     sink = TopicSettings(root=settings.root)
     job = _job(spark, settings, "stream-broken")
     jobs.run_word_count(spark, settings, sink, job, on_error="null", available_now=True)
-    counts = spark.read.parquet(sink.path(jobs.WORD_COUNTS_TOPIC))
-    return _newest(counts, ["key"], "value").select("key", F.col("value").alias("count"))
+    counts = read_table(spark, jobs.WORD_COUNTS_TOPIC, sink, "string", "bigint")
+    return counts.select("key", F.col("value").alias("count"))
 
 
 # Whole jobs, from topic to topic, stopped and started while records arrive
@@ -612,7 +643,7 @@ def region_count_job(spark, sf_dir):
         lambda *places: jobs.run_region_count(spark, *places, available_now=True),
         encoded=True,
     )
-    return _newest(out, ["key"], "value").select("key", F.col("value").alias("count"))
+    return newest(out).select("key", F.col("value").alias("count"))
 
 
 def _windowed_job(spark, sf_dir, per_record):
@@ -632,7 +663,7 @@ def _windowed_job(spark, sf_dir, per_record):
 
 def windowed_count_job(spark, sf_dir):
     """One update per count and micro-batch; the last one of each key."""
-    return _newest(_windowed_job(spark, sf_dir, False), ["key"], "value")
+    return newest(_windowed_job(spark, sf_dir, False))
 
 
 def windowed_count_job_per_record(spark, sf_dir):
@@ -660,7 +691,7 @@ def _top_pages_job(spark, sf_dir, emit):
 
 
 def top_pages_job(spark, sf_dir):
-    return _newest(_top_pages_job(spark, sf_dir, "update"), ["key"], "value")
+    return newest(_top_pages_job(spark, sf_dir, "update"))
 
 
 def top_pages_job_closed(spark, sf_dir):
@@ -723,8 +754,10 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             region_lines,
             topic_round_trip,
             word_count_job,
+            printed_counts,
             stream_region_count,
             stream_region_updates,
+            stream_region_state,
             stream_windowed_count,
             stream_hopping_count,
             stream_changes,
@@ -954,8 +987,10 @@ def own_sql() -> dict[str, str]:
             SELECT {_start_ms('1 hour')} AS window_start, event_type AS key, count(*) AS count
             FROM events GROUP BY ALL""",
         "word_count_job": _word_count_sql("conversations"),
+        "printed_counts": _word_count_sql("conversations"),
         "stream_region_count": type_counts,
         "stream_region_updates": type_counts,
+        "stream_region_state": type_counts,
         "stream_windowed_count": f"""
             SELECT start AS window_start, region AS key, count FROM ({minute_counts})
             WHERE {_closed('start', 60_000)}""",

@@ -12,6 +12,7 @@ from topictally.operators.rows import (
     regroup,
     rekey,
 )
+from topictally.operators.tables import newest
 
 __all__ = [
     "Fold",
@@ -23,6 +24,7 @@ __all__ = [
     "keep",
     "last_n",
     "map_values",
+    "newest",
     "regroup",
     "rekey",
     "top_n",

@@ -23,7 +23,7 @@ from topictally.operators.rows import (
     regroup,
     rekey,
 )
-from topictally.sources.codecs import decode_avro, encode_json, encode_window_key
+from topictally.sources.codecs import decode_avro, encode_json, encode_window_key, schema_text
 from topictally.sources.sinks import batch_writer, print_table, stream_writer, write_topic
 from topictally.sources.topics import TopicSettings, read_topic
 from topictally.streaming.changes import stream_changelog
@@ -235,14 +235,14 @@ def run_top_pages(
     with ``emit="final"`` one text once a window has closed, as one plan in append mode. ``on_error`` is
     as in ``read_topic``.
 
-    Views are JSON records, or with ``avro_schema`` (JSON text) Avro records after
-    ``avro_header_bytes`` of other content.
+    Views are JSON records, or with ``avro_schema`` (JSON text, or the path of a file that holds it) Avro
+    records after ``avro_header_bytes`` of other content.
     """
     scan = read_topic(
         spark, topic, source, "binary", "binary" if avro_schema else PAGE_VIEW, streaming, on_error
     )
     if avro_schema:
-        scan = decode_avro(scan, avro_schema, header_bytes=avro_header_bytes)
+        scan = decode_avro(scan, schema_text(spark, avro_schema), header_bytes=avro_header_bytes)
     views = scan.select("value.page", "value.industry", "value.flags", "timestamp")
     if not streaming:
         texts = encode_window_key(top_pages_text(views, n, size, descending), "industry")

@@ -9,7 +9,7 @@ from topictally.sources.codecs import (
     encode_window_key,
 )
 from topictally.sources.sinks import batch_writer, print_table, write_topic
-from topictally.sources.topics import TopicSettings, read_topic
+from topictally.sources.topics import TopicSettings, read_table, read_topic
 
 __all__ = [
     "TopicSettings",
@@ -21,6 +21,7 @@ __all__ = [
     "encode_json",
     "encode_window_key",
     "print_table",
+    "read_table",
     "read_topic",
     "write_topic",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
     BinaryType,
     DataType,
@@ -15,6 +15,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from topictally.session import Folder
+
 BAD_RECORD = "_bad_record"
 
 
@@ -85,6 +87,17 @@ def decode_json(
     return good.withColumn(column, F.col(column).dropFields(BAD_RECORD))
 
 
+def schema_text(spark: SparkSession, schema: str) -> str:
+    """An Avro schema that is given as JSON text, or as the path of a file that Spark can read."""
+    if schema.lstrip().startswith(("{", "[", '"')):
+        return schema
+    folder, _, name = schema.rpartition("/")
+    text = Folder(spark, folder or ".").read_text(name)
+    if text is None:
+        raise FileNotFoundError(f"no schema file {schema}")
+    return text
+
+
 def decode_avro(
     df: DataFrame, schema_json: str, column: str = "value", header_bytes: int = 0
 ) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from topictally.operators.tables import newest
 from topictally.sources.codecs import as_type, decode_column, decode_json
 
 # The columns of a topic besides key and value.
@@ -72,6 +73,23 @@ def envelope_schema(key_type: DataType, value_type: DataType) -> StructType:
     return StructType([*fields, *(StructField(n, t) for n, t in ENVELOPE.items())])
 
 
+def read_table(
+    spark: SparkSession,
+    topic: str,
+    settings: TopicSettings,
+    key_type: DataType | str | None = None,
+    value_type: DataType | str | None = None,
+    on_error: str = "fail",
+) -> DataFrame:
+    """An update topic as the table it stands for: key and its last value, removed keys left out.
+
+    File topics are ordered by the micro-batches ``batch_writer`` wrote, brokers' by offset. A topic whose
+    updates have no batch holds one batch; see ``operators.newest``.
+    """
+    records = read_topic(spark, topic, settings, key_type, value_type, on_error=on_error, batch=True)
+    return newest(records, order="offset" if settings.is_kafka else "batch")
+
+
 def read_topic(
     spark: SparkSession,
     topic: str,
@@ -80,6 +98,7 @@ def read_topic(
     value_type: DataType | str | None = None,
     streaming: bool = False,
     on_error: str = "fail",
+    batch: bool = False,
 ) -> DataFrame:
     """Scan a topic as key, value, topic, partition, offset, timestamp with typed key and value.
 
@@ -88,29 +107,35 @@ def read_topic(
     file topic does not store are null.
 
     ``on_error`` says what a value that is no JSON record does, as in ``decode_json``: it ends the
-    query (``"fail"``), gives null fields (``"null"``), or is left out (``"drop"``).
+    query (``"fail"``), gives null fields (``"null"``), or is left out (``"drop"``). ``batch`` adds the
+    number of the micro-batch that wrote a record of a file topic.
     """
     if on_error not in ("fail", "null", "drop"):
         raise ValueError(f"on_error must be null, fail or drop, not {on_error!r}")
     key_type = as_type(key_type or settings.key_type)
     value_type = as_type(value_type or settings.value_type)
     reader = spark.readStream if streaming else spark.read
+    more: list[str] = []
     if settings.is_kafka:
         raw = reader.format("kafka").options(**kafka_options(topic, settings, streaming)).load()
     else:
         if settings.starting != "earliest":
             raise ValueError("a file topic is always read from its first file")
         types = (BinaryType(), BinaryType()) if settings.encoded else (key_type, value_type)
-        reader = reader.format(settings.fmt).schema(envelope_schema(*types))
+        schema = envelope_schema(*types)
+        if batch:
+            more, schema = ["batch"], schema.add("batch", LongType())
+        reader = reader.format(settings.fmt).schema(schema)
         raw = reader.options(**settings.options).load(settings.path(topic))
     if not (settings.is_kafka or settings.encoded):
         return raw
     if on_error == "drop" and isinstance(value_type, StructType):
         decoded = decode_json(raw.withColumn("value", F.col("value").cast("string")), value_type, on_error=on_error)
-        return decoded.select(decode_column(F.col("key"), key_type).alias("key"), "value", *ENVELOPE)
+        return decoded.select(decode_column(F.col("key"), key_type).alias("key"), "value", *ENVELOPE, *more)
     errors = "null" if on_error == "drop" else on_error
     return raw.select(
         decode_column(F.col("key"), key_type, errors).alias("key"),
         decode_column(F.col("value"), value_type, errors).alias("value"),
         *ENVELOPE,
+        *more,
     )

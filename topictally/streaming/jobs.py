@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from threading import Lock
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from topictally.session import ROCKSDB_PROVIDER, shared_folder
@@ -43,6 +43,16 @@ class Job:
         """Folder for state the job keeps itself, next to Spark's checkpoint."""
         return f"{self.checkpoint_dir}/job-state"
 
+    def state(self, operator: int = 0) -> DataFrame:
+        """The state of one of the job's operators as it last was, by Spark's state data source.
+
+        Operators are numbered from the source. One row per key, with the structs ``key`` and ``value`` and the
+        number of the state's part, ``partition_id``; for checks, and for taking counts over into another job.
+        The job may run meanwhile, and no part of the state passes the driver.
+        """
+        reader = self.spark.read.format("statestore").option("operatorId", operator)
+        return reader.load(self.checkpoint_dir)
+
     def start(self, writer: DataStreamWriter, available_now: bool = False) -> StreamingQuery:
         """Start the job; ``available_now`` makes it end once all present input is read."""
         writer = writer.queryName(self.name).option("checkpointLocation", self.checkpoint_dir)
