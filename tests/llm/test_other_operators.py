@@ -1,5 +1,6 @@
 """Language ID, HTML extraction, chat formatting, secret scans and the pipeline."""
 
+import math
 import random
 import re
 from pathlib import Path
@@ -62,6 +63,68 @@ def test_fast_look_ups_equal_the_filters(labelled):
     assert fast.argmax(axis=1).tolist() == hidden.argmax(axis=1).tolist()
 
 
+def plain_prediction(model, text):
+    """One window after the other, one filter after the other, from the tables as they were trained."""
+    if not any(c.isalpha() for c in text or ""):
+        return "und", 0.0
+    size = model.network.window
+    body = b" " + text.encode().lower()
+    body += b" " * (-len(body) % size)
+    totals = [0.0] * len(model.labels)
+    for start in range(0, len(body), size):
+        window, hidden = body[start : start + size], []
+        for tables in model.tables:
+            for f in range(model.network.filters):
+                sums = [
+                    sum(float(table[window[at + k], f]) for k, table in enumerate(tables))
+                    for at in range(size - len(tables) + 1)
+                ]
+                hidden.append(max(0.0, max(sums) + float(model.bias[len(hidden)])))
+        scores = [
+            float(model.base[i]) + sum(h * float(model.out[j, i]) for j, h in enumerate(hidden))
+            for i in range(len(totals))
+        ]
+        norm = max(scores) + math.log(sum(math.exp(s - max(scores)) for s in scores))
+        totals = [t + s - norm for t, s in zip(totals, scores)]
+    means = [t * size / len(body) for t in totals]
+    shares = [math.exp(m - max(means)) for m in means]
+    return model.labels[means.index(max(means))], 1 / sum(shares)
+
+
+def test_language_id_is_what_single_windows_say(spark, labelled):
+    model = language_id.train(labelled)
+    texts = ["", None, "12 34", "Ka ro mi \u00e9 zw", "abc " * 90, "\u4e2d\u6587 ok"]
+    texts += [r["text"] for r in labelled.limit(6).collect()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for row in language_id.predict(docs, model).collect():
+        label, score = plain_prediction(model, texts[row["doc_id"]])
+        assert row["lang_pred"] == label
+        assert row["score"] == pytest.approx(score, rel=1e-3)
+
+
+def test_every_label_is_learned(spark):
+    """Also the rarest of very many; the sample of all together stays bounded."""
+    rows = [(i, f"word{i % 700} text", f"l{i % 700}") for i in range(1000)]
+    labelled = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    network = language_id.Network(rows=700, epochs=0)
+    sample = language_id.labelled_sample(labelled, network, "text", "lang", "doc_id")
+    assert len(sample) == 700
+    assert len(language_id.train(labelled, network).labels) == 700
+
+
+def test_long_texts_are_learned_from_all_over(spark):
+    """Texts that share their first thousand bytes differ in what is learned from them."""
+    rows = [(i, "same head " * 100 + f"{'xyz' if i % 2 else 'uvw'} " * 3000, f"l{i % 2}") for i in range(40)]
+    labelled = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    sample = language_id.labelled_sample(labelled, language_id.Network(), "text", "lang", "doc_id")
+    own = {"l0": b"uvw", "l1": b"xyz"}
+    assert all(any(own[lang] in part for part in parts) for lang, parts in sample)
+    assert all([len(p) for p in parts] == [128] * 4 for _, parts in sample)
+    model = language_id.train(labelled)
+    told = language_id.predict(labelled, model, extra=(F.col("lang"),)).collect()
+    assert all(r["lang"] == r["lang_pred"] for r in told)
+
+
 @needs_tables
 def test_language_id_on_the_tables(spark):
     got = queries.op5_language_id(spark, str(TABLES))

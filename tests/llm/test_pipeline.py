@@ -22,7 +22,7 @@ pytestmark = pytest.mark.skipif(not TABLES.exists(), reason="no test tables")
 def plain_quality(rows):
     rules = quality.Rules()
     classes, stems = {}, {}
-    for _, text, lang in rows:
+    for text, lang in {(text, lang) for _, text, lang in rows if lang and not plain_judgement(text)[-1]}:
         classes[lang] = classes.get(lang, 0) + quality.class_counts(text.encode())
         stems.setdefault(lang, Counter()).update(map(quality.stem, text.encode().split()))
     tops = {}

@@ -24,8 +24,8 @@ UNDETERMINED = "und"
 class Network:
     """Sizes of the network and of its training.
 
-    ``rows_per_language`` and ``windows_per_row`` bound the labelled sample, ``languages`` how many
-    labels are learned, the most frequent ones.
+    ``rows_per_language``, ``rows`` (of all labels together, but one of each at least) and ``windows_per_row``
+    bound the labelled sample. Every label is learned.
     """
 
     window: int = 128
@@ -33,7 +33,7 @@ class Network:
     filters: int = 16
     rows_per_language: int = 400
     windows_per_row: int = 4
-    languages: int = 500
+    rows: int = 100_000
     epochs: int = 6
     batch: int = 64
     rate: float = 0.01
@@ -151,8 +151,8 @@ AT_ONCE = 64
 
 def labelled_sample(
     labelled: DataFrame, network: Network, text: str, lang: str, key: str
-) -> list[tuple[str, bytes]]:
-    """At most ``rows_per_language`` texts of each label, cut to a bounded number of windows.
+) -> list[tuple[str, list[bytes]]]:
+    """A bounded number of texts of each label, as windows; of long texts windows at hashed places.
 
     Rows go by a hash of their key, so the sample is the same in every run and spread over the table.
     """
@@ -162,21 +162,25 @@ def labelled_sample(
         F.xxhash64(F.col(key).cast("string")).alias("order"),
     )
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    named = counts.orderBy(F.desc("n"), "lang").limit(network.languages).collect()
-    if not named:
-        return []
+    labels = counts.count()
+    most = max(1, min(network.rows_per_language, network.rows // max(1, labels)))
     # Rows below a share of all hashes, a few times as many as wanted, however many rows there are.
-    wanted = 4 * network.rows_per_language
-    shares = {r["lang"]: min(HASHES, -(-wanted * HASHES // r["n"])) for r in named}
-    limits = F.create_map(*(F.lit(x) for pair in shares.items() for x in pair))
-    chosen = F.pmod("order", F.lit(HASHES)) < limits[F.col("lang")]
-    size = network.window * network.windows_per_row
-    bodies = rows.filter(F.col("lang").isin(list(shares)) & chosen).select(
-        "lang", "order", F.substring("body", 1, size).alias("body")
-    )
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("order", "body"))
-    first = bodies.withColumn("place", place).filter(F.col("place") <= network.rows_per_language)
-    return [(r["lang"], bytes(r["body"])) for r in first.collect()]
+    share = F.least(F.lit(HASHES), F.ceil(F.lit(4 * most * HASHES) / F.col("n")))
+    chosen = rows.join(counts.select("lang", share.alias("share")), "lang")
+    chosen = chosen.filter(F.pmod("order", F.lit(HASHES)) < F.col("share"))
+    size, count = network.window, network.windows_per_row
+    long = F.length("body") > size * count
+
+    def at(i: Column) -> Column:
+        place = F.pmod(F.xxhash64("order", i), F.length("body") - size + 1).cast("int")
+        return F.col("body").substr(place + 1, F.lit(size))
+
+    places = F.transform(F.sequence(F.lit(1), F.lit(count)), at)
+    parts = F.when(long, places).otherwise(F.array("body"))
+    bodies = chosen.select("lang", "order", parts.alias("parts"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("order", "parts"))
+    first = bodies.withColumn("place", place).filter(F.col("place") <= most)
+    return [(r["lang"], [bytes(p) for p in r["parts"]]) for r in first.collect()]
 
 
 def train(
@@ -190,12 +194,15 @@ def train(
     sample = sorted(labelled_sample(labelled, network, text, lang, key))
     labels = sorted({own for own, _ in sample})
     rows, targets = [], []
-    for own, body in sample:
-        cut = windows_of(body, network.window)
-        if len(cut) > 1:
-            cut = cut[:-1]
+    numbers = {label: i for i, label in enumerate(labels)}
+    for own, parts in sample:
+        if len(parts) > 1:
+            cut = np.frombuffer(b"".join(parts).lower(), dtype=np.uint8).reshape(-1, network.window)
+        else:
+            cut = windows_of(parts[0], network.window)
+            cut = cut[:-1] if len(cut) > 1 else cut
         rows.append(cut)
-        targets.append(np.full(len(cut), labels.index(own)))
+        targets.append(np.full(len(cut), numbers[own]))
     if not rows:
         return None
     model = Model(labels, network)

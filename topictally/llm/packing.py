@@ -265,11 +265,12 @@ def cut_documents(
                     length.append(stop - at)
                     ids.append(own[4 * at : 4 * stop])
             keys = batch.column(0).take(pa.array(rows, pa.int64()))
-            counted = [pa.array(x, pa.int64()) for x in (number, start, length)]
-            yield pa.RecordBatch.from_arrays([keys, *counted, pa.array(ids, pa.binary())], names)
+            counted = [pa.array(x, pa.int64()) for x in (start, length)]
+            columns = [keys, pa.array(number, pa.int32()), *counted, pa.array(ids, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(key, F.col(text).cast("string").alias("_text_to_cut"))
     return rows.mapInArrow(
-        convert, f"`{key}` {kind}, piece bigint, start bigint, length bigint, ids binary"
+        convert, f"`{key}` {kind}, piece int, start bigint, length bigint, ids binary"
     )

@@ -312,7 +312,10 @@ SELECT page_id, url, text, length(text) AS n_chars FROM c
 
 
 def _quality_sql() -> str:
-    """Base features, both histograms of each text and language, and their nearest distances."""
+    """Base features, both histograms of each text and language, and their nearest distances.
+
+    A language's histograms count each distinct text that passes the base rules once.
+    """
     rules = quality.Rules()
     kinds = {
         "lower": "[a-z]", "upper": "[A-Z]", "digit": "[0-9]", "space": r"[ \x09\x0B-\x0D]",
@@ -355,8 +358,13 @@ base AS (
         coalesce(covered.n, 0) AS n_repeat_words
     FROM w JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
 classes AS ({classes}),
+refs AS (
+    SELECT min(doc_id) AS doc_id FROM d JOIN base USING (doc_id)
+    WHERE lang IS NOT NULL AND n_words >= {rules.least_words}
+        AND 100 * n_repeat_words <= {rules.repeat_percent} * n_words
+    GROUP BY lang, text),
 class_sums AS (SELECT lang, x, sum(n) / sum(sum(n)) OVER (PARTITION BY lang) AS q
-    FROM classes WHERE lang IS NOT NULL GROUP BY lang, x),
+    FROM classes SEMI JOIN refs USING (doc_id) GROUP BY lang, x),
 class_far AS (
     SELECT doc_id, min(far) AS far FROM (
         SELECT doc_id, r.lang, {distance} AS far FROM (
@@ -366,7 +374,7 @@ stems AS (
     SELECT doc_id, lang, translate(trim(word, {strip}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
         'abcdefghijklmnopqrstuvwxyz') AS x FROM words),
 sums AS (SELECT lang, x, count(*) AS n, sum(count(*)) OVER (PARTITION BY lang) AS total
-    FROM stems WHERE lang IS NOT NULL GROUP BY lang, x),
+    FROM stems SEMI JOIN refs USING (doc_id) GROUP BY lang, x),
 top AS (
     SELECT lang, x, n / total AS q FROM sums WHERE x <> ''
     QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, x) <= {rules.common_words}),
@@ -420,7 +428,8 @@ def _trie_sql() -> str:
     return rf"""
 WITH RECURSIVE t AS (
     SELECT conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id,
-        len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS words
+        len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS words
     FROM conversations WHERE conv_id IS NOT NULL),
 c AS (
     SELECT conv_id, list({{'id': id, 'words': words}} ORDER BY turn NULLS FIRST, id) AS own,
