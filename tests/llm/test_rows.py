@@ -1,8 +1,9 @@
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
-from topictally.llm import rows
+from topictally.llm import exact_dedup, jaccard_join, packing, rows, secrets
 
 
 def test_scans_are_numbered_in_place_and_others_written(spark, tmp_path):
@@ -60,3 +61,31 @@ def test_what_has_no_lasting_address_is_written(spark, tmp_path):
         counted = rows.numbered(docs, str(tmp_path / f"numbered-{place}"))
         assert Path(tmp_path / f"numbered-{place}").exists()
         assert counted.select("_row").distinct().count() == docs.count()
+
+
+AWKWARD = ("_row", "_FILE", "_place", "_start", "_blob", "_spans", "_clean", "_item", "_row_of_table")
+
+
+@pytest.mark.parametrize("written", [False, True])
+def test_columns_named_like_helpers_come_back(spark, tmp_path, written):
+    texts = ["a b c d e f", "a b c d e f", "token = abcdefgh12345678 is a secret", "x", None]
+    told = [(i, t, *(f"{n} {i}" for n in AWKWARD)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(told, ["doc_id", "text", *AWKWARD])
+    if written:
+        docs.write.parquet(str(tmp_path / "docs"))
+        docs = spark.read.parquet(str(tmp_path / "docs"))
+    operators = {
+        exact_dedup.drop_exact_copies: {0, 2, 3, 4},
+        jaccard_join.drop_near_copies: {0, 2, 3, 4},
+        lambda d: secrets.redact_documents(d, str(tmp_path / "ledger")): set(range(5)),
+    }
+    for operator, kept in operators.items():
+        out = operator(docs)
+        assert out.columns == docs.columns
+        found = {r["doc_id"]: r for r in out.collect()}
+        assert set(found) == kept
+        assert all(r[n] == f"{n} {i}" for i, r in found.items() for n in AWKWARD)
+    pieces = docs.withColumn("length", F.lit(3))
+    out = packing.pack(pieces, 10)
+    assert out.columns == [*pieces.columns, "sequence_id", "offset"]
+    assert all(r[n] == f"{n} {r['doc_id']}" for r in out.collect() for n in AWKWARD)

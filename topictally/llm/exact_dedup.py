@@ -16,7 +16,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from topictally.llm.rows import numbered, without
+from topictally.llm.rows import apart_from, numbered, without
 from topictally.session import scratch_folder
 
 WHITE_SPACE = r"[\x20\x09-\x0D]"
@@ -45,6 +45,7 @@ def exact_dedup(
     )
 
 
+@apart_from("_row", "_file", "_place", "_start")
 def drop_exact_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; see ``exact_dedup``."""
     spark = docs.sparkSession

@@ -20,6 +20,7 @@ import tiktoken
 from pyspark.sql import DataFrame, functions as F
 
 from topictally.llm.bpe import WORDS, byte_alphabet
+from topictally.llm.rows import apart_from
 from topictally.llm.workers import kept_by_worker, small_batches
 from topictally.session import scratch_folder
 
@@ -171,6 +172,7 @@ def _evolve_islands(items: DataFrame, islands: int, capacity: int, evolution, la
     return spread.groupBy("island").applyInArrow(evolve, PLACED)
 
 
+@apart_from("_item")
 def pack(pieces: DataFrame, capacity: int, evolution: Evolution = Evolution()) -> DataFrame:
     """All rows of ``pieces`` with ``sequence_id`` and ``offset``, in few sequences.
 

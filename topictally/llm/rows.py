@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -14,6 +16,38 @@ NO_HOST = re.compile(r"^([A-Za-z][\w+.-]*):///")
 FILE_ROWS = 1 << 40
 
 
+def apart_from(*names: str) -> Callable:
+    """For operators that give a table's columns back: their helper columns may be named as in the table.
+
+    A column named like a helper, in any case, has another name while the operator works.
+    """
+
+    def decorate(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @wraps(operator)
+        def run(docs: DataFrame, *args, **settings) -> DataFrame:
+            taken = [c for c in docs.columns if c.lower() in names]
+            if not taken:
+                return operator(docs, *args, **settings)
+            used = {*names, *(c.lower() for c in docs.columns)}
+            aside: dict[str, str] = {}
+            for name in taken:
+                other = f"{name}_of_table"
+                while other.lower() in used:
+                    other += "_"
+                used.add(other.lower())
+                aside[name] = other
+            out = operator(_renamed(docs, aside), *args, **settings)
+            return _renamed(out, {other: name for name, other in aside.items()})
+
+        return run
+
+    return decorate
+
+
+def _renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    return df.select(*(F.col(f"`{c}`").alias(names.get(c, c)) for c in df.columns))
+
+
 def numbered(docs: DataFrame, folder: str, name: str = "_row") -> DataFrame:
     """``docs`` with a unique number in each row.
 

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from topictally.llm.rows import apart_from
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -188,6 +190,7 @@ def findings(paths: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) ->
     )
 
 
+@apart_from("_blob", "_spans", "_clean")
 def redact_documents(
     docs: DataFrame,
     ledger: str,
