@@ -145,6 +145,8 @@ class Model:
 
 #: Hashes of keys are taken modulo this.
 HASHES = 1 << 30
+#: Labels whose shares fit into any task.
+FEW_LABELS = 10_000
 #: Windows that are looked up at once; keeps the arrays of a step in the processor's cache.
 AT_ONCE = 64
 
@@ -166,8 +168,7 @@ def labelled_sample(
     most = max(1, min(network.rows_per_language, network.rows // max(1, labels)))
     # Rows below a share of all hashes, a few times as many as wanted, however many rows there are.
     share = F.least(F.lit(HASHES), F.ceil(F.lit(4 * most * HASHES) / F.col("n")))
-    chosen = rows.join(counts.select("lang", share.alias("share")), "lang")
-    chosen = chosen.filter(F.pmod("order", F.lit(HASHES)) < F.col("share"))
+    shares = counts.select("lang", share.alias("share"))
     size, count = network.window, network.windows_per_row
     long = F.length("body") > size * count
 
@@ -177,7 +178,10 @@ def labelled_sample(
 
     places = F.transform(F.sequence(F.lit(1), F.lit(count)), at)
     parts = F.when(long, places).otherwise(F.array("body"))
-    bodies = chosen.select("lang", "order", parts.alias("parts"))
+    # Windows, not texts, meet the shares; these are broadcast only where labels are known to be few.
+    cut = rows.select("lang", "order", parts.alias("parts"))
+    cut = cut.join(F.broadcast(shares) if labels <= FEW_LABELS else shares, "lang")
+    bodies = cut.filter(F.pmod("order", F.lit(HASHES)) < F.col("share")).drop("share")
     place = F.row_number().over(Window.partitionBy("lang").orderBy("order", "parts"))
     first = bodies.withColumn("place", place).filter(F.col("place") <= most)
     return [(r["lang"], [bytes(p) for p in r["parts"]]) for r in first.collect()]
