@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 from pathlib import Path
 
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from topictally.llm import chat, html_extract, language_id, queries, secrets
 from topictally.llm.html_blocks import leaf_blocks
-from topictally.llm.labelled_pages import LABEL, labelled_pages
+from topictally.llm.labelled_pages import labelled_pages
 
 from .conftest import TEXTS
 
@@ -159,9 +160,7 @@ def test_blocks_of_untidy_html():
 def test_chain_on_held_out_pages(chain):
     wrong = total = 0
     for page in labelled_pages(100, seed=12345):
-        blocks = leaf_blocks(page)
-        labels = [int(any(LABEL in s.split()[1:] for s in b.path)) for b in blocks]
-        plain = [b._replace(path=tuple(html_extract._unlabelled(s) for s in b.path)) for b in blocks]
+        plain, labels = html_extract.labelled_blocks(page)
         wrong += sum(a != b for a, b in zip(labels, chain.viterbi(plain)))
         total += len(labels)
     assert wrong <= 0.015 * total
@@ -312,3 +311,39 @@ def test_raw_elements_end_where_they_end():
     assert texts("<p>a</p><svg/><p>b") == ["a", "b"]
     assert texts("<p>a</p><select-x>b</select-x><title-bar>c</title-bar><p>d</p>") == ["a", "b", "c", "d"]
     assert texts("<p>a</p><script\n>x</script><p>b</p>") == ["a", "b"]
+
+
+def test_articles_in_plain_containers(chain):
+    sentences = [f"This is sentence {i} of an article that goes on for a while." for i in range(4)]
+    body = "".join(f"<p>{s}</p>" for s in sentences)
+    text = "\n".join(sentences)
+    around = "<nav><a href='/'>Home</a> <a href='/b'>Blog</a></nav>{}<footer>© 2024 Somebody</footer>"
+    for page in ("{}", "<body>{}</body>", "<div>{}</div>", "<body><div>{}</div></body>", "<div><div><div>{}</div></div></div>"):
+        assert html_extract.main_text(page.format(body), chain) == text
+        assert html_extract.main_text(around.format(page.format(body)), chain) == text
+        assert html_extract.main_text(page.format("<h1>Title</h1>" + body), chain) == "Title\n" + text
+    for page in ("<p>{}</p>", "<body><div>{}</div></body>", "{}"):
+        assert html_extract.main_text(page.format(sentences[0]), chain) == sentences[0]
+
+
+@pytest.mark.parametrize(
+    "part",
+    ["<script ", "<script>", '<a "', "<a b='", "<div>x", "<!--", "<!", "<title></title ", "<span><center>x<p>", "<"],
+)
+def test_time_grows_with_the_page(chain, part):
+    page = part * ((1 << 20) // len(part))
+    begun = time.monotonic()
+    html_extract.main_text(page, chain)
+    # By the square it would be minutes to hours.
+    assert time.monotonic() - begun < 20
+
+
+def test_tags_end_as_in_browsers():
+    def texts(page):
+        return [block.text for block in leaf_blocks(page)]
+
+    assert texts("<p title=it's>a</p><p>b's</p>") == ["a", "b's"]
+    assert texts("<p>a</p><img alt='x > y'><p>b") == ["a", "b"]
+    assert texts("<p>a</p><p class='open>b</p>c") == ["a", "b", "c"]
+    assert texts("<p>a</p><a href=") == ["a"]
+    assert texts("<table><tr><td>a<p>b<td>c<tr><td>d</table>e") == ["a", "b", "c", "d", "e"]

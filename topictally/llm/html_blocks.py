@@ -1,4 +1,8 @@
-"""Leaf blocks of a page: the runs of text between block-level tags, with their ancestors."""
+"""Leaf blocks of a page: the runs of text between block-level tags, with their ancestors.
+
+A page is read once from front to back, and no place in it is looked at again from another one, so the
+time grows with the page's length whatever stands in it. Blocks share their ancestors.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +11,7 @@ from html import unescape
 from typing import NamedTuple
 
 #: Elements of HTML whose content is no text, or whose tag has no end.
-RAW = ("script", "style", "textarea", "title", "noscript", "template", "svg", "iframe", "select")
+RAW = frozenset("script style textarea title noscript template svg iframe select".split())
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
@@ -33,33 +37,43 @@ IMPLIED_END = {
 #: Ancestors at which the search for an implied end stops.
 SCOPES = frozenset("ul ol dl table td th article section main div body html aside nav".split())
 
-#: Of these only svg, which is no HTML, ends at "/>".
-_RAW_BODIES = r"<svg(?=[\s/>])[^>]*/>|" + "|".join(
-    rf"<{name}(?=[\s/>])[^>]*>.*?(?:</{name}\s*>|\Z)" for name in RAW
-)
-MARKUP = re.compile(
-    rf"(?P<raw>{_RAW_BODIES})|<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.DOTALL | re.IGNORECASE,
-)
+#: Elements that end one of these, by their name.
+ENDED_BY = {
+    name: tuple(ended for ended, ending in IMPLIED_END.items() if name in ending)
+    for name in frozenset().union(*IMPLIED_END.values())
+}
+
+#: What begins markup: a tag's name, a comment, or a declaration.
+OPENING = re.compile(r"<(?:(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)|(?P<comment>!--)|[!?])")
+#: What may end a tag, or begin a quoted value in which ">" does not.
+CLOSING = re.compile(r"""=\s*(["'])|>""")
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE) for name in RAW}
 ATTRIBUTE = re.compile(
     r"""(?i)\b(class|id|role|hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"""
 )
 
 
+class Step(NamedTuple):
+    """An open element: its name, and which features it has that none of its ancestors has."""
+
+    parent: Step | None
+    name: str
+    own: tuple[str, ...]
+
+
 class Block(NamedTuple):
-    """Text of a leaf block, its ancestors from the root, and what stood inside it."""
+    """Text of a leaf block, its innermost ancestor, and what stood inside it."""
 
     text: str
-    path: tuple[str, ...]
+    step: Step | None
     linked: int
     controls: int
 
 
-def _labels(name: str, rest: str) -> str:
-    """A tag with its class, id and role words, as ``name word word``."""
+def _words(rest: str) -> list[str]:
+    """The class, id and role words of a tag."""
     if not rest or rest.isspace():
-        return name
+        return []
     words = []
     for found in ATTRIBUTE.finditer(rest):
         kind, value = found[1].lower(), (found[2] or "").strip("\"'").lower()
@@ -67,7 +81,71 @@ def _labels(name: str, rest: str) -> str:
             words += re.findall(r"[a-z]+", value)
         elif kind == "hidden" or "display:none" in value.replace(" ", ""):
             words.append("hidden")
-    return " ".join([name, *dict.fromkeys(words)])
+    return list(dict.fromkeys(words))
+
+
+class Tags:
+    """Ends of tags in a page, each found by going on from the last one."""
+
+    def __init__(self, html: str):
+        self.html = html
+        #: Where the last quotes stand: one after which there is no other begins no value.
+        self.last = {quote: html.rfind(quote) for quote in "\"'"}
+
+    def end(self, at: int) -> int:
+        """The place of the ">" of a tag that is open at ``at``; -1 if the page ends in it."""
+        while found := CLOSING.search(self.html, at):
+            at = found.end()
+            if not found[1]:
+                return at - 1
+            if at <= self.last[found[1]]:
+                at = self.html.index(found[1], at) + 1
+        return -1
+
+
+class Elements:
+    """The open elements. Opening and closing one takes the same time at every depth."""
+
+    def __init__(self):
+        self.steps: list[Step] = []
+        #: Depths at which elements of a name are open, and those of all scopes.
+        self.depths: dict[str, list[int]] = {}
+        self.scopes: list[int] = []
+        self.held: set[str] = set()
+
+    def open(self, name: str, words: list[str]) -> None:
+        depth = len(self.steps)
+        features = [f"inside {name}", *(f"class {word}" for word in words)]
+        parent = self.steps[-1] if self.steps else None
+        if parent:
+            features.append(f"{parent.name}>{name}")
+        own = tuple(f for f in features if f not in self.held)
+        self.held.update(own)
+        self.steps.append(Step(parent, name, own))
+        self.depths.setdefault(name, []).append(depth)
+        if name in SCOPES:
+            self.scopes.append(depth)
+
+    def inside(self, name: str) -> bool:
+        return bool(self.depths.get(name))
+
+    def cut(self, depth: int) -> None:
+        """Close the elements from this depth on."""
+        while len(self.steps) > depth:
+            step = self.steps.pop()
+            self.depths[step.name].pop()
+            if step.name in SCOPES:
+                self.scopes.pop()
+            self.held.difference_update(step.own)
+
+    def end(self, name: str) -> None:
+        self.cut(self.depths[name][-1])
+
+    def begin(self, name: str) -> None:
+        """Close the innermost element that the start of ``name`` ends, if its scope has one."""
+        ended = [self.depths[n][-1] for n in ENDED_BY.get(name, ()) if self.inside(n)]
+        if ended and max(ended) >= (self.scopes[-1] if self.scopes else 0):
+            self.cut(max(ended))
 
 
 def leaf_blocks(html: str) -> list[Block]:
@@ -75,71 +153,73 @@ def leaf_blocks(html: str) -> list[Block]:
 
     Scripts, styles, comments and other raw content have no text. Character references are decoded
     once, white space becomes single spaces. Unclosed and misplaced tags are taken as browsers do in
-    the common cases: a paragraph ends where a block begins, an end tag without a start is ignored.
+    the common cases: a paragraph ends where a block begins, an end tag without a start is ignored, a
+    tag or comment in which the page ends is no text. A page without a tag is one block.
     """
     blocks: list[Block] = []
-    names: list[str] = []
-    labels: list[str] = []
     parts: list[str] = []
-    state = {"linked": 0, "controls": 0}
-    path: tuple[str, ...] = ()
+    elements, tags = Elements(), Tags(html)
+    linked = controls = 0
+    step: Step | None = None
 
     def close() -> None:
+        nonlocal linked, controls
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                blocks.append(Block(text, path, state["linked"], state["controls"]))
+                blocks.append(Block(text, step, linked, controls))
             parts.clear()
-        state["linked"] = state["controls"] = 0
+        linked = controls = 0
 
     def say(text: str) -> None:
-        nonlocal path
+        nonlocal step, linked
         if not parts:
-            if text.isspace():
+            if not text or text.isspace():
                 return
-            path = tuple(labels)
+            step = elements.steps[-1] if elements.steps else None
         parts.append(text)
-        if "a" in names:
-            state["linked"] += len(text)
+        if elements.inside("a"):
+            linked += len(text)
 
     at = 0
-    for found in MARKUP.finditer(html):
-        if found.start() > at:
-            say(html[at : found.start()])
-        at = found.end()
-        name = found["name"]
+    while found := OPENING.search(html, at):
+        say(html[at : found.start()])
+        name, at = found["name"], found.end()
         if name is None:
-            if found["raw"] and not found[0][1:7].lower().startswith(("script", "style")):
-                state["controls"] += found[0][1:9].lower() in ("textarea", "select>")
+            mark = "-->" if found["comment"] else ">"
+            stop = html.find(mark, at)
+            at = len(html) if stop < 0 else stop + len(mark)
             continue
-        name = name.lower()
+        stop = tags.end(at)
+        if stop < 0:
+            at = len(html)
+            break
+        name, rest, at = name.lower(), html[at:stop], stop + 1
         if found["end"]:
-            if name in names:
+            if elements.inside(name):
                 if name not in INLINE:
                     close()
-                while names:
-                    labels.pop()
-                    if names.pop() == name:
-                        break
+                elements.end(name)
+            continue
+        if name in RAW:
+            controls += name in ("textarea", "select")
+            # Of these only svg, which is no HTML, ends at "/>".
+            if name != "svg" or not rest.endswith("/"):
+                raw = RAW_END[name].search(html, at)
+                stop = tags.end(raw.end()) if raw else -1
+                at = len(html) if stop < 0 else stop + 1
             continue
         if name == "br":
             if parts:
                 parts.append(" ")
             continue
         if name in ("input", "button"):
-            state["controls"] += 1
+            controls += 1
         if name not in INLINE:
             close()
-            for depth in range(len(names) - 1, -1, -1):
-                if name in IMPLIED_END.get(names[depth], ()):
-                    del names[depth:], labels[depth:]
-                    break
-                if names[depth] in SCOPES:
-                    break
-        if name not in VOID and not found["rest"].endswith("/"):
-            names.append(name)
-            labels.append(_labels(name, found["rest"]))
-    if at < len(html):
-        say(html[at:])
+            elements.begin(name)
+        if name not in VOID and not rest.endswith("/"):
+            elements.open(name, _words(rest))
+    say(html[at:])
     close()
     return blocks

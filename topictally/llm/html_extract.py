@@ -14,22 +14,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from topictally.llm.html_blocks import Block, leaf_blocks
+from topictally.llm.html_blocks import Block, Step, leaf_blocks
 from topictally.llm.labelled_pages import LABEL, labelled_pages
 
 REST, MAIN = 0, 1
 
 
-def features(block: Block) -> list[str]:
-    """What the model sees of a block, without its neighbours."""
-    text, path = block.text, block.path
-    own = path[-1].split()[0] if path else "none"
-    found = ["always", f"tag {own}"]
-    for step in path:
-        for i, word in enumerate(step.split()):
-            found.append(f"class {word}" if i else f"inside {word}")
-    tags = [step.split()[0] for step in path]
-    found += [f"{outer}>{inner}" for outer, inner in zip(tags, tags[1:])]
+def own_features(block: Block) -> list[str]:
+    """What the model sees of a block but for what its ancestors are."""
+    text = block.text
+    found = ["always", f"tag {block.step.name if block.step else 'none'}"]
     length = len(text)
     found.append(f"length {min(length.bit_length(), 9)}")
     share = 10 * block.linked // max(length, 1)
@@ -40,7 +34,17 @@ def features(block: Block) -> list[str]:
         found.append("sentence")
     if "©" in text or "(c)" in text[:40].lower():
         found.append("copyright")
-    return list(dict.fromkeys(found))
+    return found
+
+
+def features(block: Block) -> list[str]:
+    """What the model sees of a block, without its neighbours."""
+    found = own_features(block)
+    step = block.step
+    while step:
+        found += step.own
+        step = step.parent
+    return found
 
 
 class Chain:
@@ -50,8 +54,22 @@ class Chain:
         self.weights, self.steps, self.first = weights, steps, first
 
     def scores(self, blocks: list[Block]) -> np.ndarray:
+        """The blocks' weights for label main; what ancestors add is summed once for each of them."""
         get = self.weights.get
-        return np.array([sum(get(f, 0.0) for f in features(b)) for b in blocks])
+        sums: dict[int, float] = {}
+
+        def above(step: Step | None) -> float:
+            new = []
+            while step and id(step) not in sums:
+                new.append(step)
+                step = step.parent
+            total = sums[id(step)] if step else 0.0
+            for step in reversed(new):
+                total += sum(get(f, 0.0) for f in step.own)
+                sums[id(step)] = total
+            return total
+
+        return np.array([above(b.step) + sum(get(f, 0.0) for f in own_features(b)) for b in blocks])
 
     def viterbi(self, blocks: list[Block]) -> list[int]:
         """The most probable labels of a page's blocks."""
@@ -140,18 +158,29 @@ def train(
 
 
 def train_on_labelled_pages(pages: Iterable[str] | None = None) -> Chain:
-    """A chain fitted to pages whose main elements carry the label attribute."""
-    examples = []
-    for page in labelled_pages() if pages is None else pages:
-        blocks = leaf_blocks(page)
-        labels = [int(any(LABEL in step.split()[1:] for step in b.path)) for b in blocks]
-        plain = [b._replace(path=tuple(_unlabelled(step) for step in b.path)) for b in blocks]
-        examples.append((plain, labels))
-    return train(examples)
+    """A chain fitted to pages whose main elements carry the label."""
+    return train(map(labelled_blocks, labelled_pages() if pages is None else pages))
 
 
-def _unlabelled(step: str) -> str:
-    return " ".join(word for word in step.split() if word != LABEL)
+def labelled_blocks(page: str) -> tuple[list[Block], list[int]]:
+    """A labelled page's blocks without their label, and whether each is main.
+
+    An element named by the label itself is not there for the model, only its text is.
+    """
+    blocks, labels = [], []
+    for block in leaf_blocks(page):
+        steps = []
+        step = block.step
+        while step:
+            steps.append(step)
+            step = step.parent
+        labels.append(int(any(LABEL in f for step in steps for f in step.own)))
+        plain = None
+        for step in reversed(steps):
+            if step.name != LABEL:
+                plain = Step(plain, step.name, tuple(f for f in step.own if LABEL not in f))
+        blocks.append(block._replace(step=plain))
+    return blocks, labels
 
 
 def main_text(html: str, chain: Chain) -> str:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import random
 from collections.abc import Iterator
 
-#: Class word of elements that belong to the article.
+#: Class word of elements that belong to the article, and name of elements around text without a tag.
 LABEL = "labelledmain"
 PAGES = 400
 
@@ -94,6 +94,10 @@ CONTAINERS = (
     "<div class='post'><div class='text'>{body}</div></div>",
     "<div role='main'>{body}</div>",
     "<div class='page'>{body}</div>",
+    "<div>{body}</div>",
+    "<div><div>{body}</div></div>",
+    "<div><div><div>{body}</div></div></div>",
+    "{body}",
     "{body}",
 )
 #: Parts of an article; {m} is the label.
@@ -117,6 +121,17 @@ PARTS = (
     "<figure {m}><img src='x'><figcaption>{line}</figcaption></figure>",
     "<div {m}>{long}</div>",
     "<section {m}><h2>{short}</h2><p>{long}</p></section>",
+    "<div {m}><p>{long}</p><p>{line}</p></div>",
+    f"<{LABEL}>{{long}}</{LABEL}>",
+)
+#: Pages of a single block.
+LONE = (
+    f"<{LABEL}>{{long}}</{LABEL}>",
+    f"<{LABEL}>{{line}}</{LABEL}>",
+    "<p {m}>{long}</p>",
+    "<p {m}>{line}</p>",
+    "<div><p {m}>{line}</p></div>",
+    "<div {m}>{line}</div>",
 )
 TITLES = (
     "<h1 {m}>{title}</h1>",
@@ -161,8 +176,13 @@ class Layouts:
 
     def page(self) -> str:
         mark = f"class='{LABEL}'"
-        inside = [self.fill(self.random.choice(TITLES), mark)]
-        for _ in range(self.random.randint(0, 12)):
+        if self.random.random() < 0.15:
+            lone = self.fill(self.random.choice(LONE), mark)
+            return lone if self.random.random() < 0.5 else f"<html><body>{lone}</body></html>"
+        inside = []
+        if self.random.random() < 0.7:
+            inside.append(self.fill(self.random.choice(TITLES), mark))
+        for _ in range(self.random.randint(0 if inside else 1, 12)):
             inside.append(self.fill(self.random.choice(PARTS), mark))
             for layouts in (ADVERTS, SIDEBARS, SHARING, NOTICES, FORMS):
                 inside += self.some(layouts, 0.04)
@@ -184,9 +204,13 @@ class Layouts:
         ]
         if self.random.random() < 0.3:
             before, after = before[:-1], before[-1:] + after
+        if self.random.random() < 0.2:
+            before, after = [], []
         body = "".join([*before, container, *after])
         if self.random.random() < 0.3:
             body = f"<div class='wrapper'>{body}</div>"
+        if self.random.random() < 0.1:
+            return body
         return f"<html><head><title>{self.words(1, 6)}</title></head><body>{body}</body></html>"
 
 
