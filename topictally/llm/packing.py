@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from topictally.llm.bpe import WORDS, byte_alphabet
 from topictally.llm.rows import apart_from
-from topictally.llm.workers import kept_by_worker, small_batches
+from topictally.llm.workers import frees, kept_by_worker, small_batches
 from topictally.session import scratch_folder
 
 
@@ -251,6 +251,7 @@ def cut_documents(
     names = [key, "piece", "start", "length", "ids"]
     small_batches(docs.sparkSession)
 
+    @frees
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = kept_by_worker(f"ids of {path}", lambda: _encoding(path)).encode_to_numpy
         for batch in batches:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from topictally.llm.rows import numbered
-from topictally.llm.workers import small_batches
+from topictally.llm.workers import frees, small_batches
 from topictally.session import scratch_folder
 
 CLASSES = ("lower", "upper", "digit", "space", "line", "stop", "symbol", "other")
@@ -164,6 +164,7 @@ def language_references(
     and those that the base rules reject, add nothing. Tasks sum before the shuffle; an empty table gives no rows.
     """
 
+    @frees
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
             [("lang", pa.string()), ("kind", pa.string()), ("name", pa.binary()), ("n", pa.int64())]
@@ -303,6 +304,7 @@ def judge_documents(
     # A few rows for each language.
     references = [tuple(r) for r in rows.collect()]
 
+    @frees
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(references, rules).judge
         for batch in batches:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import inspect
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from types import ModuleType
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 STORE = "_topictally_worker"
@@ -29,3 +32,32 @@ def kept_by_worker(name: str, make: Callable[[], object]) -> object:
     if name not in store:
         store[name] = make()
     return store[name]
+
+
+def give_back() -> None:
+    """Return memory that this process has freed to the system; idle workers live on between stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def frees(run: Callable) -> Callable:
+    """``run``, a function of a task's batches or of a group's table, that then gives memory back."""
+    if inspect.isgeneratorfunction(run):
+
+        def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            try:
+                yield from run(batches)
+            finally:
+                give_back()
+
+        return of_batches
+
+    def of_group(table: pa.Table) -> pa.Table:
+        try:
+            return run(table)
+        finally:
+            give_back()
+
+    return of_group
