@@ -1,5 +1,6 @@
 """BPE, quality rules, packing and the language model against plain versions."""
 
+import bisect
 import math
 import random
 import zlib
@@ -159,6 +160,64 @@ def test_pack(spark, island):
     assert len(bins) - 2 <= len(rooms) * (1 if island > 500 else 1.1)
 
 
+def packed_alone(lengths, **sizes):
+    """The bins of one island, after a look at what they hold."""
+    bins = packing.Islander(lengths, 1024, packing.Evolution(**sizes), 7).evolve()
+    assert sorted(d for _, held in bins for d in held) == list(range(len(lengths)))
+    assert all(fill == sum(lengths[d] for d in held) <= 1024 for fill, held in bins)
+    return len(bins)
+
+
+def plain_best_fit(lengths, capacity=1024):
+    rooms = []
+    for length in sorted(lengths, reverse=True):
+        at = bisect.bisect_left(rooms, length)
+        room = rooms.pop(at) if at < len(rooms) else capacity
+        bisect.insort(rooms, room - length)
+    return len(rooms)
+
+
+def test_search_finds_what_best_fit_does_not():
+    pick = random.Random(5)
+    lengths = [pick.randint(200, 500) for _ in range(4000)]
+    best_fit = plain_best_fit(lengths)
+    assert packed_alone(lengths, generations=0) > 0.98 * best_fit
+    assert packed_alone(lengths) <= 0.97 * best_fit
+    # Bins of three that are all full: the optimum is known.
+    lengths = []
+    for _ in range(500):
+        one, other = pick.randint(250, 450), pick.randint(250, 450)
+        lengths += [one, other, 1024 - one - other]
+    assert plain_best_fit(lengths) > 530
+    assert packed_alone(lengths) <= 505 < packed_alone(lengths, generations=0) - 5
+
+
+def test_crossover_injects_whole_bins():
+    lengths = [6, 5, 5, 4, 6, 4]
+    islander = packing.Islander(lengths, 10, packing.Evolution(slack=0), 1)
+    into = [(10, [1, 2]), (6, [0]), (8, [3, 5]), (6, [4])]
+    source = [(10, [0, 3]), (10, [4, 5]), (10, [1, 2])]
+    sizes = set()
+    for _ in range(20):
+        child = islander.crossed(into, source)
+        assert sorted(d for _, held in child for d in held) == list(range(6))
+        assert all(fill == sum(lengths[d] for d in held) <= 10 for fill, held in child)
+        sizes.add(len(child))
+    # What is injected and dissolved is chosen at random; no child is worse than both parents.
+    assert min(sizes) == 3 and max(sizes) <= 4
+    assert len(islander.evolve(into)) == 3
+
+
+def test_bins_migrate_between_islands(spark):
+    pick = random.Random(8)
+    lengths = [pick.randint(200, 500) for _ in range(3000)]
+    pieces = spark.createDataFrame([(n,) for n in lengths], "length int")
+    packed = packing.pack(pieces, 1024, packing.Evolution(island=500))
+    bins = packed.groupBy("sequence_id").agg(F.sum("length").alias("fill"), F.count("*").alias("n")).collect()
+    assert sum(b["n"] for b in bins) == 3000 and max(b["fill"] for b in bins) <= 1024
+    assert len(bins) <= 0.98 * plain_best_fit(lengths)
+
+
 def test_pack_refuses_what_cannot_fit(spark, nothing):
     with pytest.raises(ValueError):
         packing.pack(spark.createDataFrame([(11,)], "length int"), 10)

@@ -1,10 +1,12 @@
 """Best-fit packing by a grouping genetic algorithm on islands.
 
 A gene is a whole bin. Crossover injects well-filled bins of one parent into another, removes the
-bins that hold one of their documents, and best-fits the documents this displaced. Each island is
-one group of bounded size. After each round the elite, the bins that are full but for a few tokens,
-is settled, and the documents of all other bins migrate to fewer islands, where the leftovers of
-many islands meet. So the islands of the last round are few, and nothing is ever held in one place.
+bins that hold one of their documents, and best-fits the documents this displaced: a bin gets the
+one or two of them that leave the least room in it. An island is one group of bounded size, whose
+search stops when generations bring no gain. After each round the bins that are full but for a few
+tokens are settled. All other bins of an island's best packing migrate, as whole bins, to fewer
+islands: there they are an individual of the first population, and crossover injects its bins into
+packings made anew of all that came together. Nothing is ever held in one place.
 """
 
 from __future__ import annotations
@@ -27,11 +29,16 @@ from topictally.session import scratch_folder
 
 @dataclass(frozen=True)
 class Evolution:
-    """Sizes of the search. ``slack`` is how many tokens a bin of the elite may lack."""
+    """Sizes of the search.
+
+    ``slack`` is how many tokens a settled bin may lack, ``patience`` the generations without gain
+    after which an island stops.
+    """
 
     island: int = 8192
     population: int = 4
-    generations: int = 8
+    generations: int = 80
+    patience: int = 8
     rounds: int = 6
     slack: int = 2
     seed: int = 7
@@ -79,6 +86,60 @@ class Islander:
                 full.append(one)
         return full + [one for same in room for one in same]
 
+    def fit_sets(self, bins: list[Bin], documents: list[int]) -> list[Bin]:
+        """Best fit of one or two documents at a time: the fullest bins first, then new ones.
+
+        A new bin begins with the longest document left. What is put into a bin is what leaves the
+        least room in it, and its rest is filled in the same way.
+        """
+        lengths, capacity = self.lengths, self.capacity
+        waiting: list[list[int]] = [[] for _ in range(capacity + 1)]
+        mask = 0
+        for document in documents:
+            waiting[lengths[document]].append(document)
+            mask |= 1 << lengths[document]
+
+        def best(left: int) -> tuple[int, ...]:
+            """The one or two lengths with the largest sum up to ``left``."""
+            fits = mask & ((2 << left) - 1)
+            if not fits:
+                return ()
+            high = one = fits.bit_length() - 1
+            found: tuple[int, ...] = (one,)
+            while high < left and one * 2 > high:
+                other = mask & ((2 << min(left - one, one)) - 1)
+                if other & (1 << one) and len(waiting[one]) < 2:
+                    other ^= 1 << one
+                if other:
+                    both = one + other.bit_length() - 1
+                    if both > high:
+                        high, found = both, (one, both - one)
+                fits ^= 1 << one
+                if not fits:
+                    break
+                one = fits.bit_length() - 1
+            return found
+
+        made = []
+        begun = sorted(bins, reverse=True, key=lambda one: one[0])
+        at = 0
+        while at < len(begun) or mask:
+            if at < len(begun):
+                fill, held = begun[at]
+                held, at = list(held), at + 1
+            else:
+                fill, held = 0, []
+            chosen = best(capacity - fill) if held else (mask.bit_length() - 1,)
+            while chosen:
+                for length in chosen:
+                    held.append(waiting[length].pop())
+                    if not waiting[length]:
+                        mask ^= 1 << length
+                    fill += length
+                chosen = best(capacity - fill)
+            made.append((fill, held))
+        return made
+
     def first(self, noise: float) -> list[Bin]:
         """A packing from scratch, longest documents first but for some noise."""
         lengths, span = self.lengths, noise * self.capacity
@@ -92,10 +153,10 @@ class Islander:
         return -len(bins), sum(fill * fill for fill, _ in bins)
 
     def crossed(self, into: list[Bin], source: list[Bin]) -> list[Bin]:
-        """``into`` with whole well-filled bins of ``source``, and the worst bins dissolved."""
+        """``into`` with whole well-filled bins of ``source``, and some of its own bins dissolved."""
         nearly = self.capacity - self.evolution.slack
-        good = [one for one in source if one[0] >= nearly]
-        injected = [one for one in good if self.random.random() < 0.5]
+        well = sum(fill for fill, _ in source) / len(source)
+        injected = [one for one in source if one[0] >= well and self.random.random() < 0.5]
         taken = bytearray(len(self.lengths))
         for _, held in injected:
             for document in held:
@@ -108,30 +169,39 @@ class Islander:
                 kept.append(one)
             else:
                 displaced += one[1]
-        displaced.sort(key=lambda d: -self.lengths[d])
-        return self.fit(kept, displaced)
-
-    def evolve(self) -> list[Bin]:
-        total = sum(self.lengths)
-        fewest = -(-total // self.capacity)
-        people = [self.first(0.05 * i) for i in range(self.evolution.population)]
+        return self.fit_sets(kept, displaced)
+
+    def evolve(self, immigrants: list[Bin] = ()) -> list[Bin]:
+        """The best packing found; ``immigrants``, bins of all documents, are one to begin with."""
+        fewest = -(-sum(self.lengths) // self.capacity)
+        people = [list(immigrants)] if immigrants else []
+        makers = [lambda: self.first(0.0), lambda: self.fit_sets([], list(range(len(self.lengths))))]
+        while len(people) < self.evolution.population:
+            people.append(makers.pop(0)() if makers else self.first(0.05 * len(people)))
+        people.sort(key=self.fitness, reverse=True)
+        idle = 0
         for _ in range(self.evolution.generations):
-            people.sort(key=self.fitness, reverse=True)
-            if len(people[0]) == fewest:
+            if len(people[0]) <= fewest or idle == self.evolution.patience:
                 break
-            best = people[: max(2, len(people) // 2)]
-            while len(best) < self.evolution.population:
-                into, source = self.random.sample(people[: max(2, len(people) // 2)], 2)
-                best.append(self.crossed(into, source))
-            people = best
-        return max(people, key=self.fitness)
+            parents = people[: max(2, len(people) // 2)]
+            children = []
+            while len(parents) + len(children) < self.evolution.population:
+                into, source = self.random.sample(parents, 2)
+                children.append(self.crossed(into, source))
+            before = self.fitness(people[0])
+            people = sorted([*parents, *children], key=self.fitness, reverse=True)
+            idle = 0 if self.fitness(people[0]) > before else idle + 1
+        return people[0]
 
 
 PLACED = "item bigint, length bigint, sequence_id bigint, offset bigint, settled boolean"
 
 
 def _evolve_islands(items: DataFrame, islands: int, capacity: int, evolution, last: bool, turn: int):
-    """One round: rows (item, length) to rows with their bin and place in it."""
+    """One round: rows (item, length, home) to rows with their bin and place in it.
+
+    ``home`` is the bin with which an item comes, null in the first round.
+    """
     schema = pa.schema(
         [
             ("item", pa.int64()),
@@ -147,7 +217,13 @@ def _evolve_islands(items: DataFrame, islands: int, capacity: int, evolution, la
         items = table.column("item").to_numpy()[order]
         lengths = table.column("length").to_numpy()[order]
         seed = evolution.seed * 1_000_003 + turn * 7919 + key[0].as_py()
-        bins = Islander(lengths.tolist(), capacity, evolution, seed).evolve()
+        islander = Islander(lengths.tolist(), capacity, evolution, seed)
+        immigrants: dict[int, Bin] = {}
+        if turn:
+            for i, home in enumerate(table.column("home").to_numpy()[order].tolist()):
+                fill, held = immigrants.get(home, (0, []))
+                immigrants[home] = (fill + islander.lengths[i], [*held, i])
+        bins = islander.evolve(list(immigrants.values()))
         members = np.array([d for _, held in bins for d in held], dtype=np.int64)
         counts = np.array([len(held) for _, held in bins])
         fills = np.array([fill for fill, _ in bins])
@@ -166,9 +242,9 @@ def _evolve_islands(items: DataFrame, islands: int, capacity: int, evolution, la
             schema=schema,
         )
 
-    # Mixed anew each round, so that leftovers meet others.
-    island = F.pmod(F.xxhash64("item", F.lit(turn)), F.lit(islands))
-    spread = items.select("item", "length", island.alias("island"))
+    # Mixed anew each round, by whole bins, so that these meet others.
+    island = F.pmod(F.xxhash64(F.coalesce("home", "item"), F.lit(turn)), F.lit(islands))
+    spread = items.select("item", "length", "home", island.alias("island"))
     return spread.groupBy("island").applyInArrow(evolve, PLACED)
 
 
@@ -191,7 +267,8 @@ def pack(pieces: DataFrame, capacity: int, evolution: Evolution = Evolution()) -
     wrong = numbered.filter(length.isNull() | (length > capacity) | (length < 0))
     if not wrong.isEmpty():
         raise ValueError(f"a piece has no length from 0 to {capacity}")
-    items = numbered.select(F.col("_item").alias("item"), length.alias("length"))
+    alone = F.lit(None).cast("bigint").alias("home")
+    items = numbered.select(F.col("_item").alias("item"), length.alias("length"), alone)
     items = items.filter((F.col("length") < capacity) & (F.col("length") > 0))
     left, turn = items.count(), 0
     settled = None
@@ -204,7 +281,7 @@ def pack(pieces: DataFrame, capacity: int, evolution: Evolution = Evolution()) -
         placed = spark.read.schema(PLACED).parquet(place)
         done = placed.filter("settled").select("item", "sequence_id", "offset")
         settled = done if settled is None else settled.union(done)
-        items = placed.filter("NOT settled").select("item", "length")
+        items = placed.filter("NOT settled").select("item", "length", F.col("sequence_id").alias("home"))
         left, turn = items.count(), turn + 1
     if settled is None:
         alone = F.col("_item").alias("sequence_id"), F.lit(0).cast("bigint").alias("offset")
