@@ -245,6 +245,9 @@ def _evolve_islands(items: DataFrame, islands: int, capacity: int, evolution, la
     # Mixed anew each round, by whole bins, so that these meet others.
     island = F.pmod(F.xxhash64(F.coalesce("home", "item"), F.lit(turn)), F.lit(islands))
     spread = items.select("item", "length", "home", island.alias("island"))
+    # Islands are few bytes and much work, so Spark must not join them by their bytes.
+    parts = min(islands, 4 * int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spread = spread.repartition(parts, "island")
     return spread.groupBy("island").applyInArrow(evolve, PLACED)
 
 
