@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from topictally.llm.bpe import WORDS, byte_alphabet
 from topictally.llm.rows import apart_from
-from topictally.llm.workers import frees, kept_by_worker, small_batches
+from topictally.llm.workers import frees, give_back, kept_by_worker, small_batches
 from topictally.session import scratch_folder
 
 
@@ -308,9 +308,12 @@ def _encoding(path: str) -> tiktoken.Encoding:
         for token, i in stored["model"]["vocab"].items()
         if token not in special
     }
-    return tiktoken.Encoding(
+    made = tiktoken.Encoding(
         path, pat_str=WORDS.pattern, mergeable_ranks=ranks, special_tokens=special
     )
+    del stored, alphabet, special, ranks
+    give_back()
+    return made
 
 
 def cut_documents(

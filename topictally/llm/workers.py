@@ -34,8 +34,14 @@ def kept_by_worker(name: str, make: Callable[[], object]) -> object:
     return store[name]
 
 
+def kept_in_task(name: str, make: Callable[[], object]) -> object:
+    """As ``kept_by_worker``, until ``give_back``."""
+    return kept_by_worker("in task", dict).setdefault(name, make())
+
+
 def give_back() -> None:
     """Return memory that this process has freed to the system; idle workers live on between stages."""
+    kept_by_worker("in task", dict).clear()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
     if trim:
